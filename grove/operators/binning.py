@@ -7,7 +7,6 @@ A feature with boundaries ``b_0 < b_1 < ...`` maps a value to the number of boun
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -71,7 +70,9 @@ def select_features(table: DataFrame, min_occurrences: int = SPARSE_MIN_OCCURREN
     return counts.filter(F.col("occurrences") >= max(1, min_occurrences))
 
 
-def sparse_value_summary(table: DataFrame, min_occurrences: int = SPARSE_MIN_OCCURRENCES) -> DataFrame:
+def sparse_value_summary(
+    table: DataFrame, min_occurrences: int = SPARSE_MIN_OCCURRENCES, absent_value: float = VALUE_MIN
+) -> DataFrame:
     """Value summary of the selected features plus one row per feature for the rows without it."""
     summary = value_summary(table, rescale=False)
     totals = table.agg(
@@ -84,7 +85,7 @@ def sparse_value_summary(table: DataFrame, min_occurrences: int = SPARSE_MIN_OCC
         .filter(F.col("_w") > F.col("fw") + 1e-5)
         .select(
             "feature",
-            F.lit(VALUE_MIN).alias("value"),
+            F.lit(absent_value).alias("value"),
             (F.col("_w") - F.col("fw")).alias("w"),
             (F.col("_wy") - F.col("fwy")).alias("wy"),
             (F.col("_n") - F.col("fn")).alias("n"),
@@ -92,7 +93,7 @@ def sparse_value_summary(table: DataFrame, min_occurrences: int = SPARSE_MIN_OCC
     )
     present = summary.join(kept.select("feature"), "feature", "left_semi")
     both = present.unionByName(absent)
-    # A present value may itself be the lowest one.
+    # A present value may itself be the one that stands for absence.
     return both.groupBy("feature", "value").agg(F.sum("w").alias("w"), F.sum("wy").alias("wy"), F.sum("n").alias("n"))
 
 
@@ -237,11 +238,20 @@ def _fit_distributed(summary: DataFrame, max_bins: int, least: float, l2: float,
 
 @dataclass
 class BinSet:
-    """Boundaries per feature. ``sparse`` sets hold the kept features only; absent means bin 0."""
+    """Boundaries per feature. ``sparse`` sets hold the kept features only.
+
+    An absent sparse cell is the lowest bin, or the bin of value 0 when ``missing`` is ``zero``.
+    """
 
     boundaries: dict[int, np.ndarray]
     gains: dict[int, float] = field(default_factory=dict)
     sparse: bool = False
+    missing: str = "lowest"
+
+    def default_bin(self, feature: int) -> int:
+        if self.missing == "lowest" or not self.sparse:
+            return 0
+        return int(np.searchsorted(self.boundaries[feature], 0.0, side="left"))
 
     @property
     def features(self) -> list[int]:
@@ -263,12 +273,12 @@ class BinSet:
 
     def save(self, spark: SparkSession, path: str) -> None:
         kind = F.lit("sparse" if self.sparse else "dense").alias("layout")
-        self.to_df(spark).select("*", kind).write.mode("overwrite").parquet(path)
+        self.to_df(spark).select("*", kind, F.lit(self.missing).alias("missing")).write.mode("overwrite").parquet(path)
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> BinSet:
         df = spark.read.parquet(path)
-        grouped = df.groupBy("feature", "gain", "layout").agg(
+        grouped = df.groupBy("feature", "gain", "layout", "missing").agg(
             F.sort_array(F.collect_list(F.when(F.col("hi") < float("inf"), F.col("hi")))).alias("boundaries")
         )
         rows = grouped.collect()
@@ -276,6 +286,7 @@ class BinSet:
             {r["feature"]: np.array(r["boundaries"], float) for r in rows},
             {r["feature"]: r["gain"] for r in rows},
             any(r["layout"] == "sparse" for r in rows),
+            "zero" if any(r["missing"] == "zero" for r in rows) else "lowest",
         )
 
 
@@ -287,6 +298,44 @@ def _collect_bins(fitted: DataFrame, sparse: bool, extra: list[tuple]) -> BinSet
     return BinSet({r[0]: np.array(r[1], float) for r in rows}, {r[0]: float(r[2]) for r in rows}, sparse)
 
 
+def _midpoints(summary: DataFrame, max_bins: int) -> DataFrame:
+    """Boundaries between all distinct values of the features that have at most ``max_bins`` of them."""
+    few = summary.groupBy("feature").agg(F.count(F.lit(1)).alias("_v")).filter(F.col("_v") <= max_bins)
+    values = summary.join(few, "feature", "left_semi").groupBy("feature").agg(
+        F.sort_array(F.collect_list("value")).alias("v")
+    )
+    between = F.expr("transform(slice(v, 2, size(v)), (x, i) -> 0.5D * (x + v[i]))")
+    return values.select("feature", between.alias("boundaries"), F.lit(0.0).alias("gain"))
+
+
+def fit_fine_bins(
+    table: DataFrame,
+    max_bins: int = DENSE_MAX_BINS,
+    min_occurrences: int = 1,
+    local_values: int = LOCAL_VALUES,
+    target_rows: int = TARGET_ROWS,
+) -> BinSet:
+    """Every distinct value its own bin where ``max_bins`` allows it, greedy bins for other features.
+
+    For sparse tables an absent cell counts as the value 0.
+    """
+    sparse = table.schema["features"].dataType.typeName() == "map"
+    summary = sparse_value_summary(table, min_occurrences, 0.0) if sparse else value_summary(table)
+    summary = cut_lineage(summary)
+    fine = _collect_bins(_midpoints(summary, max_bins), sparse, [])
+    rest = summary.filter(~F.col("feature").isin(fine.features))
+    if not rest.isEmpty():
+        fitted, extra = _fit(rest, max_bins, 1.0, BIN_L2, local_values, target_rows)
+        greedy = _collect_bins(fitted, sparse, extra)
+        fine.boundaries.update(greedy.boundaries)
+        fine.gains.update(greedy.gains)
+    summary.unpersist()
+    if sparse:
+        fine.missing = "zero"
+        fine.boundaries = {f: b for f, b in fine.boundaries.items() if len(b)}
+    return fine
+
+
 def _fit(summary: DataFrame, max_bins: int, least: float, l2: float, local_values: int, target_rows: int):
     sizes = summary.groupBy("feature").agg(F.count(F.lit(1)).alias("values"))
     large = [r["feature"] for r in sizes.filter(F.col("values") > local_values).collect()]
@@ -372,22 +421,24 @@ def dense_bins(bins: BinSet, features: str = "features") -> Column:
 
 
 def sparse_bins(spark: SparkSession, bins: BinSet, features: str = "features") -> Column:
-    """MAP<INT, DOUBLE> to MAP<INT, INT> of kept features with bins above 0."""
+    """MAP<INT, DOUBLE> to MAP<INT, INT> of kept features whose bin is not that of absence."""
     names = np.array(bins.features, np.int64)
     sizes = np.array([len(bins.boundaries[f]) for f in bins.features], np.int64)
     starts = np.concatenate([[0], np.cumsum(sizes)])
     flat = np.concatenate([bins.boundaries[f] for f in bins.features]) if len(names) else np.zeros(0)
-    shared = spark.sparkContext.broadcast((names, starts, flat))  # at most MAX_BOUNDARIES values
+    absent = np.array([bins.default_bin(f) for f in bins.features], np.int32)
+    shared = spark.sparkContext.broadcast((names, starts, flat, absent))  # at most MAX_BOUNDARIES values
 
     @F.arrow_udf("map<int,int>")
     def search(column: pa.Array) -> pa.Array:
-        names, starts, flat = shared.value
+        names, starts, flat, absent = shared.value
         first = column.offsets[0].as_py()
         offsets = column.offsets.to_numpy() - first
         count = int(offsets[-1])
         keys = column.keys.slice(first, count).to_numpy(zero_copy_only=False)
         x = column.items.slice(first, count).to_numpy(zero_copy_only=False)
         found = np.zeros(count, np.int32)
+        kept = np.zeros(count, bool)
         if len(names) and count:
             at = np.minimum(np.searchsorted(names, keys), len(names) - 1)
             order = np.argsort(at, kind="stable")
@@ -397,7 +448,7 @@ def sparse_bins(spark: SparkSession, bins: BinSet, features: str = "features") -
                 if len(group):
                     a = at[group[0]]
                     found[group] = np.searchsorted(flat[starts[a] : starts[a + 1]], x[group], side="left")
-        kept = found > 0
+                    kept[group] = found[group] != absent[a]
         counts = np.concatenate([[0], np.cumsum(kept)])[offsets].astype(np.int32)
         return pa.MapArray.from_arrays(
             pa.array(counts), pa.array(keys[kept].astype(np.int32)), pa.array(found[kept].astype(np.int32))
