@@ -1 +1,8 @@
 """grove: regularized decision forests as Spark jobs."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Task functions travel with their code, so executors need no installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -1,4 +1,4 @@
-"""Losses and their derivatives as column expressions.
+"""Losses and their derivatives as SQL expressions over a score and a label.
 
 ``g`` is the negative first derivative and ``h`` the second derivative, both before the row weight.
 Two families exist: the leaf-wise engine's and the binned engine's.
@@ -14,15 +14,11 @@ LEAFWISE_TRAINABLE = ("LS", "Expo", "Log", "Logit", "LogRe", "LogRe2", "Abs")
 LEAFWISE_VALUE_ONLY = ("ModLS", "ModHuber")
 EXPO_FAMILY = ("Expo", "Log", "Logit", "LogRe", "LogRe2")
 BINNED_TRAINABLE = ("LS", "MODLS", "LOGISTIC")
-EXPONENT_BOUND = 500.0
+EXPONENT_BOUND = "500D"
 
 CLASSIFICATION = ("Expo", "Log", "Logit", "ModLS", "ModHuber", "MODLS", "LOGISTIC")
 
 
-def bounded_exp(x: Column) -> Column:
-    return F.exp(F.greatest(F.lit(-EXPONENT_BOUND), F.least(F.lit(EXPONENT_BOUND), x)))
-
-
 def check_loss(loss: str, engine: str, trainable: bool = True) -> None:
     names = BINNED_TRAINABLE if engine == "binned" else LEAFWISE_TRAINABLE
     if engine != "binned" and not trainable:
@@ -31,68 +27,68 @@ def check_loss(loss: str, engine: str, trainable: bool = True) -> None:
         raise ValueError(f"loss {loss!r} is not one of {names}")
 
 
-def loss_value(loss: str, score: Column, label: Column, engine: str = "leafwise", shift: Column | float = 0.0) -> Column:
+def _exp(x: str) -> str:
+    return f"exp(greatest(-{EXPONENT_BOUND}, least({EXPONENT_BOUND}, {x})))"
+
+
+def loss_sql(loss: str, s: str, y: str, engine: str = "leafwise", shift: float = 0.0) -> str:
     check_loss(loss, engine, trainable=False)
-    margin = score * label
-    residual = label - score
+    margin, residual = f"({s} * {y})", f"({y} - {s})"
+    half_square = f"{residual} * {residual} / 2"
     if engine == "binned":
-        if loss == "LS":
-            return residual * residual
-        if loss == "MODLS":
-            return F.when(margin < 1, (margin - 1) * (margin - 1)).otherwise(F.lit(0.0))
-        return F.log1p(F.exp(-margin))
-    half_square = residual * residual / 2
-    if loss == "LS":
-        return half_square
-    if loss == "Expo":
-        return bounded_exp(-(margin - shift))
-    if loss == "Log":
-        return F.log1p(bounded_exp(-margin))
-    if loss == "Logit":
-        return F.log1p(bounded_exp(-2 * margin))
-    if loss == "LogRe":
-        q = 1 / (1 + bounded_exp(-score))
-        return -label * F.log(q) - (1 - label) * F.log(1 - q)
-    if loss == "LogRe2":
-        return 2 * F.log1p(bounded_exp(-residual)) + residual - 2 * F.log(F.lit(2.0))
-    if loss == "ModLS":
-        return F.when(margin <= 1, half_square).otherwise(F.lit(0.0))
-    if loss == "ModHuber":
-        return F.when(margin <= -1, -2 * margin).when(margin < 1, half_square).otherwise(F.lit(0.0))
-    return F.abs(residual)
-
-
-def derivatives(
-    loss: str, score: Column, label: Column, engine: str = "leafwise", shift: Column | float = 0.0
-) -> tuple[Column, Column]:
+        return {
+            "LS": f"{residual} * {residual}",
+            "MODLS": f"CASE WHEN {margin} < 1 THEN ({margin} - 1) * ({margin} - 1) ELSE 0D END",
+            "LOGISTIC": f"log1p(exp(-{margin}))",
+        }[loss]
+    q = f"(1 / (1 + {_exp(f'-({s})')}))"
+    return {
+        "LS": half_square,
+        "Expo": _exp(f"-({margin} - {float(shift)!r}D)"),
+        "Log": f"log1p({_exp(f'-{margin}')})",
+        "Logit": f"log1p({_exp(f'-2 * {margin}')})",
+        "LogRe": f"(-{y} * ln({q}) - (1 - {y}) * ln(1 - {q}))",
+        "LogRe2": f"(2 * log1p({_exp(f'-{residual}')}) + {residual} - 2 * ln(2D))",
+        "ModLS": f"CASE WHEN {margin} <= 1 THEN {half_square} ELSE 0D END",
+        "ModHuber": f"CASE WHEN {margin} <= -1 THEN -2 * {margin} WHEN {margin} < 1 THEN {half_square} ELSE 0D END",
+        "Abs": f"abs({residual})",
+    }[loss]
+
+
+def derivative_sql(loss: str, s: str, y: str, engine: str = "leafwise", shift: float = 0.0) -> tuple[str, str]:
     """``(g, h)``; ``shift`` is the mean margin that keeps ``Expo`` in range."""
     check_loss(loss, engine)
-    one = F.lit(1.0)
+    margin, residual = f"({s} * {y})", f"({y} - {s})"
     if loss == "LS":
-        return label - score, one
-    margin = score * label
+        return residual, "1D"
     if loss == "MODLS":
-        past = margin > 1
         return (
-            F.when(past, F.lit(0.0)).otherwise(label - score),
-            F.when(past, F.greatest(F.lit(0.1), one - 5 * (margin - 1))).otherwise(one),
+            f"CASE WHEN {margin} > 1 THEN 0D ELSE {residual} END",
+            f"CASE WHEN {margin} > 1 THEN greatest(0.1D, 1 - 5 * ({margin} - 1)) ELSE 1D END",
         )
     if loss == "LOGISTIC":
-        p = 1 / (1 + F.exp(-score))
-        return F.when(label > 0, one).otherwise(F.lit(0.0)) - p, p * (1 - p)
+        p = f"(1 / (1 + exp(-({s}))))"
+        return f"CASE WHEN {y} > 0 THEN 1D ELSE 0D END - {p}", f"{p} * (1 - {p})"
+    if loss == "Abs":
+        return f"CASE WHEN {y} > {s} THEN 1D ELSE -1D END", "0D"
     if loss == "Expo":
-        e = bounded_exp(-(margin - shift))
-        return label * e, label * label * e
-    if loss == "Log":
-        e = bounded_exp(-margin)
-        return label * e / (1 + e), label * label * e / (1 + e) / (1 + e)
-    if loss == "Logit":
-        e = bounded_exp(-2 * margin)
-        return 2 * label * e / (1 + e), 4 * label * label * e / (1 + e) / (1 + e)
+        e = _exp(f"-({margin} - {float(shift)!r}D)")
+        return f"{y} * {e}", f"{y} * {y} * {e}"
+    if loss in ("Log", "Logit"):
+        k = 1 if loss == "Log" else 2
+        e = _exp(f"-{k} * {margin}")
+        return f"{k} * {y} * {e} / (1 + {e})", f"{k * k} * {y} * {y} * {e} / (1 + {e}) / (1 + {e})"
     if loss == "LogRe":
-        q = 1 / (1 + bounded_exp(-score))
-        return label - q, q * (1 - q)
-    if loss == "LogRe2":
-        q = 1 / (1 + bounded_exp(label - score))
-        return 1 - 2 * q, 2 * q * (1 - q)
-    return F.when(label > score, one).otherwise(F.lit(-1.0)), F.lit(0.0)
+        q = f"(1 / (1 + {_exp(f'-({s})')}))"
+        return f"({y} - {q})", f"{q} * (1 - {q})"
+    q = f"(1 / (1 + {_exp(residual)}))"
+    return f"(1 - 2 * {q})", f"2 * {q} * (1 - {q})"
+
+
+def loss_value(loss: str, score: str, label: str, engine: str = "leafwise", shift: float = 0.0) -> Column:
+    return F.expr(loss_sql(loss, score, label, engine, shift))
+
+
+def derivatives(loss: str, score: str, label: str, engine: str = "leafwise", shift: float = 0.0) -> tuple[Column, Column]:
+    g, h = derivative_sql(loss, score, label, engine, shift)
+    return F.expr(g), F.expr(h)

@@ -123,12 +123,16 @@ def at_leaves(tree, sql: Callable[[int], str]) -> Callable[[int], str | None]:
     return lambda i: sql(i) if tree.nodes[i].left < 0 else None
 
 
+def forest_sql(trees: Sequence, access: Access, base: str) -> str:
+    terms = [base] + [tree_case(t, access, at_leaves(t, lambda i, t=t: number(t.nodes[i].weight))) for t in trees]
+    return " + ".join(f"({term})" for term in terms)
+
+
 def forest_value(trees: Sequence, access: Access, constant: float = 0.0) -> Column:
     """Constant plus the weight of the leaf reached in every tree."""
     trees = list(trees)
     if sum(len(t.nodes) for t in trees) <= CASE_NODES:
-        terms = [number(constant)] + [tree_case(t, access, at_leaves(t, lambda i, t=t: number(t.nodes[i].weight))) for t in trees]
-        return F.expr(" + ".join(f"({term})" for term in terms))
+        return F.expr(forest_sql(trees, access, number(constant)))
     flat = FlatForest(trees, access.binned)
     fills = access.fills(flat.used)
 

@@ -39,7 +39,7 @@ def evaluate(
         (F.sum(F.when((s > 0) == (y > 0), w).otherwise(F.lit(0.0))) / total).alias("accuracy"),
         F.sqrt(F.sum(w * error) / total).alias("rmse"),
         F.sum(w * error).alias("squared_error"),
-        (F.sum(w * loss_value(loss, s, y, engine)) / total).alias("mean_loss"),
+        (F.sum(w * loss_value(loss, score, label, engine)) / total).alias("mean_loss"),
     )
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from grove.forest import Forest, Node, Tree
 from grove.functions import gains
-from grove.functions.losses import CLASSIFICATION, EXPO_FAMILY, check_loss, loss_value
+from grove.functions.losses import CLASSIFICATION, EXPO_FAMILY, check_loss, loss_sql
 from grove.operators.correct import MAX_GRAM, gram_update
 from grove.operators.penalty import Shape, derivative_matrix, leaf_terms, split_terms
 from grove.operators.splits import best_splits, split_candidates, split_gain
@@ -558,7 +558,7 @@ class LeafwiseTrainer:
     def _correct_by_jobs(self, groups: list, columns: list, w: np.ndarray, branch: bool) -> np.ndarray:
         """One job per tree and sweep; a tree's leaves are disjoint, so each update is exact."""
         rows = self.rows
-        kept_df, first = rows.df, True
+        kept_df = rows.df
         lo, spans = 0, []
         for t, group in groups:
             spans.append((t, group, slice(lo, lo + len(group))))
@@ -578,12 +578,11 @@ class LeafwiseTrainer:
                 rows.pending = [*rows.pending, change]
                 if sum(len(c.nodes) for c in rows.pending) > 100:
                     old = rows.df
-                    rows._store(rows.score()) if not (branch and first) else rows_store_keeping(rows)
-                    first = first and old is not kept_df
+                    rows.store_current(keep_old=branch and old is kept_df)
                     rows.pending = []
             if self.p.intercept:
-                g, h = rows.derivatives(rows.score())
-                sums = rows.df.agg(F.sum(g).alias("g"), F.sum(h).alias("h")).first()
+                g, h = rows.derivative_sql()
+                sums = rows.scored().selectExpr(f"sum({g}) AS g", f"sum({h}) AS h").first()
                 delta = (sums["g"] - nlam * self.var_constant) * self.p.learning_rate / (sums["h"] + nlam)
                 self.var_constant += delta
                 moved.append(np.array([delta]))
@@ -594,13 +593,10 @@ class LeafwiseTrainer:
         return w
 
     def _monitor(self) -> tuple[float, dict]:
-        s, y, n = self.rows.score(), F.col("label"), F.col("n")
-        loss = F.col("weight") * loss_value(self.p.loss, s, y)
-        row = self.rows.df.agg(
-            (F.sum(loss) / F.lit(self.nn)).alias("loss"),
-            F.sum(F.when(s > 0, n)).alias("called"),
-            F.sum(F.when(y > 0, n)).alias("positive"),
-            F.sum(F.when((s > 0) & (y > 0), n)).alias("hits"),
+        loss = loss_sql(self.p.loss, "_s", "label")
+        row = self.rows.scored().selectExpr(
+            f"sum(weight * ({loss})) / {self.nn!r}D AS loss", "sum(IF(_s > 0, n, 0)) AS called",
+            "sum(IF(label > 0, n, 0)) AS positive", "sum(IF(_s > 0 AND label > 0, n, 0)) AS hits",
         ).first()
         extra = {}
         if self.p.loss in CLASSIFICATION:
@@ -637,10 +633,3 @@ def _change_tree(tree: Tree, group: list[int], delta: np.ndarray) -> Tree:
 
     copy(0, -1, 0)
     return out
-
-
-def rows_store_keeping(rows: TrainingRows) -> None:
-    """Store the score without giving up the table it came from (a branch returns to it)."""
-    from grove.session import cut_lineage
-
-    rows.df = cut_lineage(rows.df.withColumn("score", rows.score()))

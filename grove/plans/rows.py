@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grove.forest import Tree
-from grove.functions.losses import derivatives
-from grove.functions.trees import Access, forest_value, tree_case
+from grove.functions.losses import derivative_sql
+from grove.functions.trees import Access, forest_sql, forest_value, number, tree_case
 from grove.operators.binning import BinSet, apply_bins
 from grove.operators.histogram import node_histogram, node_histogram_sparse
 from grove.session import cut_lineage
@@ -20,6 +20,8 @@ DRIVER_CELLS = 10_000_000
 # Pending trees are folded into the stored score before their expression gets long.
 PENDING_NODES = 100
 SMALL_TABLE = 8_000_000
+ROWS_PER_TASK = 50_000
+SMALL_PARTS = 16
 
 
 def binned_rows(table: DataFrame, bins: BinSet, n_rows: int) -> DataFrame:
@@ -54,7 +56,12 @@ def maybe_collapse(rows: DataFrame, loss: str, n_rows: int) -> DataFrame:
         return rows
     key = F.xxhash64("bins") if loss == "LS" else F.xxhash64("bins", "label")
     distinct = rows.agg(F.approx_count_distinct(key)).first()[0]
-    return collapse(rows, loss) if distinct < 0.5 * n_rows else rows
+    if distinct >= 0.5 * n_rows:
+        return rows
+    merged = collapse(rows, loss)
+    # Few rows are left: fewer, fuller partitions save a shuffle or at least most of its tasks.
+    parts = -(-distinct // ROWS_PER_TASK)
+    return merged.coalesce(parts) if parts <= SMALL_PARTS else merged
 
 
 class TrainingRows:
@@ -79,16 +86,23 @@ class TrainingRows:
 
     # ------------------------------------------------------------ scores
 
-    def score(self) -> Column:
-        if not self.pending:
-            return F.col("score")
-        return F.col("score") + forest_value(self.pending, self.access)
+    def score_sql(self) -> str:
+        """The current score; ``settle`` keeps the pending trees few."""
+        return forest_sql(self.pending, self.access, "score")
 
     def _store(self, score: Column) -> None:
         old = self.df
         self.df = cut_lineage(old.withColumn("score", score))
         old.unpersist()
 
+    def store_current(self, keep_old: bool = False) -> None:
+        """Store the current score; ``keep_old`` leaves the table it came from for a return to it."""
+        score = F.expr(self.score_sql())
+        if keep_old:
+            self.df = cut_lineage(self.df.withColumn("score", score))
+        else:
+            self._store(score)
+
     def settle(self, growing: int) -> None:
         """Fold pending trees into the stored score, except the last ``growing`` ones."""
         done = self.pending[: len(self.pending) - growing]
@@ -102,12 +116,16 @@ class TrainingRows:
         self._store(forest_value(done, self.access, constant))
         self.pending = list(trees[len(done) :])
 
-    def derivatives(self, score: Column) -> tuple[Column, Column]:
-        g, h = derivatives(self.loss, score, F.col("label"), self.engine, self.shift)
-        return F.col("weight") * g, F.col("weight") * h
+    def derivative_sql(self, s: str = "_s") -> tuple[str, str]:
+        g, h = derivative_sql(self.loss, s, "label", self.engine, self.shift)
+        return f"weight * ({g})", f"weight * ({h})"
+
+    def scored(self, *extra: str) -> DataFrame:
+        """The stored rows with their current score ``_s`` (and more SQL expressions)."""
+        return self.df.selectExpr("label", "weight", "n", "bins", f"{self.score_sql()} AS _s", *extra)
 
     def mean_margin(self) -> float:
-        row = self.df.agg((F.sum(self.score() * F.col("label") * F.col("n")) / F.sum("n")).alias("m")).first()
+        row = self.scored().selectExpr("sum(_s * label * n) / sum(n) AS m").first()
         return float(np.clip(row["m"] or 0.0, -500.0, 500.0))
 
     # ------------------------------------------------------------ sums
@@ -117,12 +135,12 @@ class TrainingRows:
 
     def histogram(self, slot: str, deltas: list[float]) -> DataFrame:
         """Histogram per slot; ``slot`` is SQL (NULL: not wanted), ``deltas`` are added to its scores."""
-        placed = self.df.select("*", self.score().alias("_s"), F.expr(slot).cast("int").alias("node")).filter("node IS NOT NULL")
+        score = "_s"
         if any(deltas):
-            shifts = F.array(*[F.lit(float(d)) for d in deltas])
-            placed = placed.withColumn("_s", F.col("_s") + F.element_at(shifts, F.col("node") + 1))
-        g, h = self.derivatives(F.col("_s"))
-        rows = placed.select("node", "bins", g.alias("g"), h.alias("h"), "n")
+            score = f"(_s + element_at(array({', '.join(map(number, deltas))}), node + 1))"
+        g, h = self.derivative_sql(score)
+        placed = self.scored(f"CAST({slot} AS INT) AS node").where("node IS NOT NULL")
+        rows = placed.selectExpr("node", "bins", f"{g} AS g", f"{h} AS h", "n")
         if self.sparse:
             known = [(f, self.bins.default_bin(f)) for f in self.features]
             return node_histogram_sparse(rows, self.spark.createDataFrame(known, "feature int, absent int"))
@@ -141,14 +159,9 @@ class TrainingRows:
         """``g`` and ``h`` sums of disjoint nodes of one tree."""
         inside = {n: i for i, n in enumerate(group)}
         slot = tree_case(tree, self.access, lambda i: str(inside[i]) if i in inside else ("-1" if tree.nodes[i].left < 0 else None))
-        g, h = self.derivatives(F.col("_s"))
-        sums = (
-            self.df.select("label", "weight", self.score().alias("_s"), F.expr(slot).alias("slot"))
-            .filter("slot >= 0")
-            .groupBy("slot")
-            .agg(F.sum(g).alias("g"), F.sum(h).alias("h"))
-            .collect()
-        )
+        g, h = self.derivative_sql()
+        per_slot = self.scored(f"{slot} AS slot").where("slot >= 0").groupBy("slot")
+        sums = per_slot.agg(F.expr(f"sum({g}) AS g"), F.expr(f"sum({h}) AS h")).collect()
         gs, hs = np.zeros(len(group)), np.zeros(len(group))
         for r in sums:
             gs[r["slot"]], hs[r["slot"]] = r["g"], r["h"]

@@ -33,4 +33,4 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     done = kept.checkpoint(eager=True)
     kept.unpersist()
-    return done.persist(StorageLevel.MEMORY_AND_DISK)
+    return done.persist()
