@@ -516,3 +516,9 @@ def relayout(df: DataFrame, kind: str, dense: str | None, sparse: list[str], wid
             entries = f"map_filter(transform_keys({name}, (k, v) -> k + {offsets[i]}), (k, v) -> v > 0)"
         maps.append(entries)
     return df.withColumn("bins", F.expr(f"map_concat({', '.join(maps)})")).drop(*groups)
+
+
+def revert_cuts(nodes: DataFrame, bins: DataFrame) -> DataFrame:
+    """Add ``cut``, the original value behind each split's ``bin``: the upper edge of that bin."""
+    edges = bins.select("feature", "bin", F.col("hi").alias("cut"))
+    return nodes.drop("cut").join(edges, ["feature", "bin"], "left")

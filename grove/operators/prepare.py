@@ -157,3 +157,14 @@ def density_profile(table: DataFrame) -> DataFrame:
         F.when(ratio < SPARSE_BELOW_RATIO, F.lit("sparse")).otherwise(F.lit("dense")).alias("by_table"),
         F.when(share >= DENSE_FROM_PRESENCE, F.lit("dense")).otherwise(F.lit("sparse")).alias("by_feature"),
     )
+
+
+def init_constant(df: DataFrame, loss: str, label: str = "label", weight: str | None = None) -> DataFrame:
+    """The best constant score: the mean label, or its log-odds for the logistic losses (labels +1 / -1)."""
+    if weight is not None and loss in ("Log", "Logit"):
+        raise ValueError("a weighted constant is not defined for logistic losses")
+    mean = F.avg(label) if weight is None else F.sum(F.col(label) * F.col(weight)) / F.sum(weight)
+    if loss in ("Log", "Logit"):
+        odds = F.log((1 + mean) / (1 - mean))
+        mean = odds if loss == "Log" else odds / 2
+    return df.agg(mean.alias("constant"))

@@ -1 +1 @@
-
+"""Text and table sources and sinks."""

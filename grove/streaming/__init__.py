@@ -1 +1 @@
-
+"""Scoring unbounded tables."""
