@@ -96,7 +96,9 @@ def read_sparse(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
         raise ValueError("the first line must be: sparse <number of features>")
     width = int(words[1])
     tokens = F.filter(_tokens(), lambda t: t != "")
-    rows = lines.filter("row_id > 0").select((F.col("row_id") - 1).alias("row_id"), _entries(tokens, 1.0).alias("e"))
+    # The header line is emptied rather than only filtered: it must never be parsed, whatever runs first.
+    body = lines.withColumn("value", F.expr("IF(row_id = 0, '', value)"))
+    rows = body.select((F.col("row_id") - 1).alias("row_id"), _entries(tokens, 1.0).alias("e")).filter("row_id >= 0")
     keys = _keys(F.col("e"))
     bad = rows.agg(
         F.count_if(F.size(F.array_distinct(keys)) < F.size(keys)).alias("repeated"),
