@@ -7,10 +7,10 @@ A feature with boundaries ``b_0 < b_1 < ...`` maps a value to the number of boun
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,8 +32,6 @@ LOCAL_VALUES = 500_000
 MAX_BOUNDARIES = 20_000_000  # of the whole set: it is held by the driver and by every worker
 CASE_BOUNDARIES = 300
 
-_SUMMARY = "feature int, value double, w double, wy double, n bigint"
-
 
 # ---------------------------------------------------------------- summaries
 
@@ -74,7 +72,10 @@ def sparse_value_summary(
     table: DataFrame, min_occurrences: int = SPARSE_MIN_OCCURRENCES, absent_value: float = VALUE_MIN
 ) -> DataFrame:
     """Value summary of the selected features plus one row per feature for the rows without it."""
-    summary = value_summary(table, rescale=False)
+    return _add_absent(value_summary(table, rescale=False), table, min_occurrences, absent_value)
+
+
+def _add_absent(summary: DataFrame, table: DataFrame, min_occurrences: int, absent_value: float) -> DataFrame:
     totals = table.agg(
         F.sum("weight").alias("_w"), F.sum(F.col("weight") * F.col("label")).alias("_wy"), F.count(F.lit(1)).alias("_n")
     )
@@ -130,12 +131,10 @@ def best_cut(
     return best.select(*keys, "b.*")
 
 
-def _greedy(pdf: pd.DataFrame, max_bins: int, least: float, l2: float) -> tuple[list[float], float]:
-    """Best-first cuts of one feature whose distinct values fit one task."""
-    pdf = pdf.sort_values("value")
-    x = pdf["value"].to_numpy(float)
-    w = np.concatenate([[0.0], np.cumsum(pdf["w"].to_numpy(float))])
-    y = np.concatenate([[0.0], np.cumsum(pdf["wy"].to_numpy(float))])
+def _greedy(x: np.ndarray, weight: np.ndarray, target: np.ndarray, max_bins: int, least: float, l2: float) -> tuple[list[float], float]:
+    """Best-first cuts of one feature whose distinct values, in order, fit one task."""
+    w = np.concatenate([[0.0], np.cumsum(weight)])
+    y = np.concatenate([[0.0], np.cumsum(target)])
 
     def search(b: int, e: int) -> tuple[float, int]:
         if e - b < 2:
@@ -163,11 +162,36 @@ def _greedy(pdf: pd.DataFrame, max_bins: int, least: float, l2: float) -> tuple[
 
 
 def _fit_local(summary: DataFrame, max_bins: int, least: float, l2: float) -> DataFrame:
-    def per_feature(pdf: pd.DataFrame) -> pd.DataFrame:
-        cuts, gain = _greedy(pdf, max_bins, least, l2)
-        return pd.DataFrame({"feature": [pdf["feature"].iloc[0]], "boundaries": [cuts], "gain": [gain]})
-
-    return summary.groupBy("feature").applyInPandas(per_feature, "feature int, boundaries array<double>, gain double")
+    """Greedy cuts feature by feature; a task walks over its share of the features in order."""
+
+    def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def fitted(features: list, parts: list[np.ndarray]) -> pa.RecordBatch:
+            found = [_greedy(*np.ascontiguousarray(p.T), max_bins, least, l2) for p in parts]
+            columns = [pa.array(features, pa.int32()), pa.array([c for c, _ in found], pa.list_(pa.float64())), pa.array([g for _, g in found], pa.float64())]
+            return pa.RecordBatch.from_arrays(columns, names=["feature", "boundaries", "gain"])
+
+        open_feature, held = None, []  # the feature that may go on in the next batch
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            names = batch.column("feature").to_numpy(zero_copy_only=False)
+            cells = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("value", "w", "wy")])
+            features, parts = [], []
+            for part in np.split(np.arange(len(names)), np.flatnonzero(np.diff(names)) + 1):
+                name = int(names[part[0]])
+                if open_feature is not None and name != open_feature:
+                    features.append(open_feature)
+                    parts.append(np.concatenate(held))
+                    held = []
+                open_feature = name
+                held.append(cells[part])
+            if features:
+                yield fitted(features, parts)
+        if open_feature is not None:
+            yield fitted([open_feature], [np.concatenate(held)])
+
+    ordered = summary.select("feature", "value", "w", "wy").repartition("feature").sortWithinPartitions("feature", "value")
+    return ordered.mapInArrow(per_task, "feature int, boundaries array<double>, gain double")
 
 
 def _bucket_of(boundaries: str, value: str) -> Column:
@@ -320,11 +344,13 @@ def fit_fine_bins(
     For sparse tables an absent cell counts as the value 0.
     """
     sparse = table.schema["features"].dataType.typeName() == "map"
-    summary = sparse_value_summary(table, min_occurrences, 0.0) if sparse else value_summary(table)
-    summary = cut_lineage(summary)
+    summary = cut_lineage(value_summary(table, rescale=not sparse))
+    if sparse:
+        summary = cut_lineage(_add_absent(summary, table, min_occurrences, 0.0))
     fine = _collect_bins(_midpoints(summary, max_bins), sparse, [])
-    rest = summary.filter(~F.col("feature").isin(fine.features))
-    if not rest.isEmpty():
+    many = summary.groupBy("feature").agg(F.count(F.lit(1)).alias("_v")).filter(F.col("_v") > max_bins)
+    rest = summary.join(many, "feature", "left_semi")
+    if not many.isEmpty():
         fitted, extra = _fit(rest, max_bins, 1.0, BIN_L2, local_values, target_rows)
         greedy = _collect_bins(fitted, sparse, extra)
         fine.boundaries.update(greedy.boundaries)
@@ -375,7 +401,9 @@ def fit_sparse_bins(
     target_rows: int = TARGET_ROWS,
 ) -> BinSet:
     """Bins of a MAP column; only the ``max_features`` features of largest positive gain are kept."""
-    summary = cut_lineage(sparse_value_summary(table, min_occurrences))
+    present = cut_lineage(value_summary(table, rescale=False))
+    summary = cut_lineage(_add_absent(present, table, min_occurrences, VALUE_MIN))
+    present.unpersist()
     fitted, extra = _fit(summary, max_bins, min_bucket_weight, l2, local_values, target_rows)
     if extra:
         fitted = fitted.unionByName(fitted.sparkSession.createDataFrame(extra, fitted.schema))
@@ -441,14 +469,14 @@ def sparse_bins(spark: SparkSession, bins: BinSet, features: str = "features") -
         kept = np.zeros(count, bool)
         if len(names) and count:
             at = np.minimum(np.searchsorted(names, keys), len(names) - 1)
-            order = np.argsort(at, kind="stable")
-            order = order[names[at[order]] == keys[order]]
-            cuts = np.flatnonzero(np.diff(at[order], prepend=-1))
-            for group in np.split(order, cuts[1:]):
-                if len(group):
-                    a = at[group[0]]
-                    found[group] = np.searchsorted(flat[starts[a] : starts[a + 1]], x[group], side="left")
-                    kept[group] = found[group] != absent[a]
+            # One binary search over all cells at once, each within its own feature's boundaries.
+            lo, hi = starts[at], starts[at + 1]
+            while np.any(lo < hi):
+                mid = (lo + hi) // 2
+                below = (lo < hi) & (flat[np.minimum(mid, len(flat) - 1)] < x)
+                lo, hi = np.where(below, mid + 1, lo), np.where(below, hi, np.minimum(mid, hi))
+            found = (lo - starts[at]).astype(np.int32)
+            kept = (names[at] == keys) & (found != absent[at])
         counts = np.concatenate([[0], np.cumsum(kept)])[offsets].astype(np.int32)
         return pa.MapArray.from_arrays(
             pa.array(counts), pa.array(keys[kept].astype(np.int32)), pa.array(found[kept].astype(np.int32))

@@ -36,7 +36,7 @@ def training_table(
     """``(row_id?, features, label, weight)``.
 
     ``features`` is a list of numeric columns, one ARRAY column (dense) or one MAP<INT, DOUBLE>
-    column (sparse, absent entries are missing).
+    column (sparse, absent entries are missing). ``label`` and ``weight`` may be SQL expressions.
     """
     if isinstance(features, str):
         kind = df.schema[features].dataType.typeName()
@@ -48,8 +48,8 @@ def training_table(
             x = F.array(clean_value(F.col(features)))
     else:
         x = F.array(*[clean_value(F.col(c)) for c in features])
-    y = F.col(label) if isinstance(label, str) else label
-    w = F.lit(1.0) if weight is None else F.col(weight) if isinstance(weight, str) else weight
+    y = F.expr(label) if isinstance(label, str) else label
+    w = F.lit(1.0) if weight is None else F.expr(weight) if isinstance(weight, str) else weight
     columns = [F.col(key).alias("row_id")] if key else []
     return df.select(*columns, x.alias("features"), y.cast("double").alias("label"), w.cast("double").alias("weight"))
 

@@ -9,7 +9,7 @@ from grove.operators import folds as fold_ops
 from grove.operators import metrics, prepare
 from grove.operators.score import binary_flag, binary_proba, multi_proba, predict_class
 from grove.queries import register
-from grove.queries.inputs import FEATURES, PRICE, keyed_orders, lineitem, price_table, read
+from grove.queries.inputs import keyed_orders, lineitem, price_table, read
 
 # ---------------------------------------------------------------- preparation
 

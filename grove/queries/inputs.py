@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grove.operators.prepare import training_table
-from grove.session import ensure_checkpoint_dir
+from grove.session import cut_lineage, ensure_checkpoint_dir
 
 FEATURES = ["l_quantity", "l_discount", "l_tax"]
-PRICE = F.expr("l_extendedprice / 1000")
-RETURNED = F.expr("IF(l_returnflag = 'R', 1.0D, -1.0D)")
+PRICE = "l_extendedprice / 1000"
+RETURNED = "IF(l_returnflag = 'R', 1.0D, -1.0D)"
 
 # lineitem as rows of three features q, d, t with label y and weight w.
 ROWS_SQL = """rows_ AS (SELECT l_quantity AS q, l_discount AS d, l_tax AS t, l_extendedprice / 1000 AS y,
@@ -34,7 +34,7 @@ def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "lineitem")
 
 
-def price_table(spark: SparkSession, sf_dir: str, label: Column = PRICE, weight: str | None = None) -> DataFrame:
+def price_table(spark: SparkSession, sf_dir: str, label: str = PRICE, weight: str | None = None) -> DataFrame:
     return training_table(lineitem(spark, sf_dir), FEATURES, label, weight)
 
 
@@ -59,6 +59,8 @@ def document_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, feature, value)``: token counts of the labelled documents."""
     labels = read(spark, sf_dir, "labels").select("doc_id")
     docs = read(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id", "left_semi")
+    # Spread by document first: tokens are then counted and gathered where they are made.
+    docs = docs.repartition("doc_id")
     tokens = docs.select("doc_id", F.explode(F.split("text", " ")).alias("tok")).filter("tok <> ''")
     feature = F.expr("CAST(conv(substr(md5(tok), 1, 7), 16, 10) AS INT)").alias("feature")
     return tokens.select("doc_id", feature).groupBy("doc_id", "feature").agg(
@@ -66,11 +68,15 @@ def document_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def document_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sparse training table of token counts with the quality label; one row per labelled document."""
+def document_table(spark: SparkSession, sf_dir: str, keep: bool = False) -> DataFrame:
+    """Sparse training table of token counts with the quality label; one row per labelled document.
+
+    ``keep`` writes it to the checkpoint folder for queries that pass over it several times.
+    """
     rows = document_cells(spark, sf_dir).groupBy("doc_id").agg(
         F.map_from_entries(F.collect_list(F.struct("feature", "value"))).alias("features")
     )
     labels = read(spark, sf_dir, "labels")
     joined = rows.join(labels, "doc_id").withColumn("y", F.expr("IF(quality = 1, 1.0D, -1.0D)"))
-    return training_table(joined, "features", "y", key="doc_id")
+    table = training_table(joined, "features", "y", key="doc_id")
+    return cut_lineage(table) if keep else table

@@ -19,7 +19,7 @@ from grove.queries import forest_sql as S
 from grove.queries import register
 from grove.queries.inputs import FEATURES, RETURNED, ROWS_SQL, document_table, lineitem, price_table, read, scratch
 
-CENTRED = F.expr("l_extendedprice / 1000 - 53")
+CENTRED = "l_extendedprice / 1000 - 53"
 L1, L2, RATE = 1.0, 10.0, 0.5
 
 _W = "WITH " + ROWS_SQL + ", "
@@ -56,7 +56,7 @@ def minimum_slice(spark, sf):
         table, BinnedParams(n_estimators=1, max_depth=3, l1=L1, l2=L2, tree_gain_ratio=1e-9), bins=B.fit_fine_bins(table)
     )
     scored = fitted.forest.transform(
-        df.select("l_returnflag", CENTRED.alias("label"), F.array(*FEATURES).alias("features"))
+        df.select("l_returnflag", F.expr(CENTRED).alias("label"), F.array(*FEATURES).alias("features"))
     )
     out = metrics.evaluate(scored, "LS", by=["l_returnflag"], engine="binned")
     return _round(out, 6, "accuracy", "rmse", "mean_loss").select("l_returnflag", "n", "accuracy", "rmse", "mean_loss")
@@ -127,7 +127,7 @@ def t_forest_binned_modls(spark, sf):
 @register("t_forest_sparse")
 def t_forest_sparse(spark, sf):
     """The binned engine on token counts of all labelled documents."""
-    table = document_table(spark, sf)
+    table = document_table(spark, sf, keep=True)
     params = BinnedParams(n_estimators=2, max_depth=2, loss="LOGISTIC", l1=0.0, l2=5.0, tree_gain_ratio=0.1)
     return metrics.evaluate(fit_forest(table, params).forest.transform(table), "LOGISTIC", engine="binned")
 
@@ -186,7 +186,7 @@ def t_warm_start(spark, sf):
 @register("t_path")
 def t_path(spark, sf):
     """Train on most rows, predict the rest with every model of the path."""
-    table = training_table(read(spark, sf, "orders"), ["o_custkey"], F.expr("o_totalprice / 1000"), key="o_orderkey")
+    table = training_table(read(spark, sf, "orders"), ["o_custkey"], "o_totalprice / 1000", key="o_orderkey")
     split = holdout(table, 0.25, "row_id")
     fitted = fit_forest(split.filter("NOT is_test").select("features", "label", "weight"), _leafwise())
     return transform_many(split.filter("is_test"), fitted.path, ["row_id"])
@@ -417,7 +417,7 @@ def w_penalty_opt(spark, sf):
 
 @register("c_cross_validate")
 def c_cross_validate(spark, sf):
-    table = training_table(read(spark, sf, "orders"), ["o_custkey"], F.expr("o_totalprice / 1000"), key="o_orderkey")
+    table = training_table(read(spark, sf, "orders"), ["o_custkey"], "o_totalprice / 1000", key="o_orderkey")
     return cross_validate(folds(table, 2, "row_id"), _leafwise(max_leaf=6, opt_interval=3, test_interval=3))
 
 

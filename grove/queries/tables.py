@@ -9,7 +9,7 @@ from grove.operators import binning as B
 from grove.operators import correct, histogram, route, splits
 from grove.queries import register
 from grove.queries.inputs import (
-    BINS_SQL, CELLS_SQL, PRICE, RETURNED, ROWS_SQL, TOKENS_SQL, document_cells, document_table, lineitem, price_table, read, scratch,
+    BINS_SQL, CELLS_SQL, PRICE, ROWS_SQL, TOKENS_SQL, document_cells, document_table, lineitem, price_table, read, scratch,
 )
 
 
@@ -95,7 +95,7 @@ _SPARSE_SUMMARY = """, kept AS (SELECT feature, sum(w) AS fw, sum(w * y) AS fwy,
     "WITH " + TOKENS_SQL + _SPARSE_SUMMARY + " SELECT CAST(feature AS BIGINT) AS feature, value, round(w, 6) AS w, round(wy, 6) AS wy, CAST(n AS BIGINT) AS n FROM summ",
 )
 def b_sparse_summary(spark, sf):
-    return _round(_big(B.sparse_value_summary(document_table(spark, sf)), "feature", "n"), 6, "w", "wy")
+    return _round(_big(B.sparse_value_summary(document_table(spark, sf, keep=True)), "feature", "n"), 6, "w", "wy")
 
 
 @register(
@@ -105,7 +105,7 @@ def b_sparse_summary(spark, sf):
  FROM best ORDER BY round(gain, 9) DESC, feature LIMIT 50""",
 )
 def b_fit_sparse_top(spark, sf):
-    cut = B.best_cut(B.sparse_value_summary(document_table(spark, sf))).withColumn("gain", F.round("gain", 9))
+    cut = B.best_cut(B.sparse_value_summary(document_table(spark, sf, keep=True))).withColumn("gain", F.round("gain", 9))
     top = B.top_features(cut, 50)
     shown = F.when(F.col("cut") < -1e30, F.lit(-1.0)).otherwise(F.round("cut", 6))
     return _big(top.select("feature", F.round("gain", 6).alias("gain"), shown.alias("cut")), "feature")
@@ -113,7 +113,7 @@ def b_fit_sparse_top(spark, sf):
 
 @register("b_fit_sparse_bins")
 def b_fit_sparse_bins(spark, sf):
-    return B.fit_sparse_bins(document_table(spark, sf), max_features=1000).to_df(spark)
+    return B.fit_sparse_bins(document_table(spark, sf, keep=True), max_features=1000).to_df(spark)
 
 
 _BIN_COUNTS = "WITH " + BINS_SQL + " SELECT CAST(feature AS BIGINT) AS feature, CAST(bin AS BIGINT) AS bin, count(*) AS n, round(sum(y), 6) AS label_sum FROM binned GROUP BY feature, bin"
@@ -158,7 +158,7 @@ _DOC_BINS = TOKENS_SQL + """, kept AS (SELECT feature FROM docs GROUP BY feature
     "WITH " + _DOC_BINS + " SELECT CAST(feature AS BIGINT) AS feature, CAST(bin AS BIGINT) AS bin, count(*) AS n, round(sum(y), 6) AS label_sum FROM dbins GROUP BY feature, bin",
 )
 def b_apply_sparse(spark, sf):
-    table = document_table(spark, sf)
+    table = document_table(spark, sf, keep=True)
     binned = B.apply_bins(table, B.fit_fine_bins(table, max_bins=100_000, min_occurrences=5))
     cells = binned.select("label", F.explode("bins").alias("feature", "bin"))
     df = cells.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("label_sum"))
@@ -229,7 +229,7 @@ _CAND = _NODES + """, k AS (SELECT *, sum(g) OVER w AS gl, CAST(sum(h) OVER w AS
 
 def _rows(spark, sf):
     table = price_table(spark, sf).withColumn("ln", F.lit(0))
-    li = lineitem(spark, sf).select(F.array("l_quantity", "l_discount", "l_tax").alias("features"), PRICE.alias("label"), F.lit(1.0).alias("weight"), "l_linenumber")
+    li = lineitem(spark, sf).select(F.array("l_quantity", "l_discount", "l_tax").alias("features"), F.expr(PRICE).alias("label"), F.lit(1.0).alias("weight"), "l_linenumber")
     binned = B.apply_bins(li, B.fit_fine_bins(table))
     return binned.select(
         F.expr("l_linenumber % 2").alias("node"), "bins", F.expr("label - 40").alias("g"), F.lit(1.0).alias("h"), F.lit(1).cast("bigint").alias("n"), "label"
@@ -272,7 +272,7 @@ def h_wide(spark, sf):
  FROM pres p JOIN tot t ON p.node = t.node GROUP BY t.node, p.feature HAVING max(t.n) > sum(p.n))""" + _HIST_OUT,
 )
 def h_sparse(spark, sf):
-    table = document_table(spark, sf)
+    table = document_table(spark, sf, keep=True)
     binned = B.apply_bins(table, B.fit_fine_bins(table, max_bins=100_000, min_occurrences=5))
     rows = binned.selectExpr("int(row_id % 2) AS node", "bins", "label AS g", "1D AS h", "1L AS n")
     return _hist_out(histogram.node_histogram_sparse(rows))
