@@ -201,7 +201,7 @@ class BinnedTrainer:
             self.rows.pending = [*self.rows.pending, copy.deepcopy(tree)]  # later changes are added apart
             if corrective:
                 self.correct()
-            self.rows.settle(0)
+            self.rows.settle(0.0, self.trees, 0)
             if p.save_frequency and len(self.trees) % p.save_frequency == 0 and len(self.trees) < p.n_estimators:
                 self._emit()
         self._emit()
@@ -275,4 +275,4 @@ class BinnedTrainer:
             g, h = rows.group_sums(tree, leaves)
             change = _change_tree(tree, leaves, self._update(tree, leaves, g, h))
             rows.pending = [*rows.pending, change]
-            rows.settle(0)
+            rows.settle(0.0, self.trees, 0)

@@ -20,7 +20,7 @@ from grove.functions.losses import CLASSIFICATION, EXPO_FAMILY, check_loss, loss
 from grove.operators.correct import MAX_GRAM, gram_update
 from grove.operators.penalty import Shape, derivative_matrix, leaf_terms, split_terms
 from grove.operators.splits import best_splits, split_candidates, split_gain
-from grove.plans.rows import TrainingRows, best_of, frontier_sql
+from grove.plans.rows import PENDING_NODES, TrainingRows, best_of, frontier_sql
 
 ROOT = (-1, 0)
 AHEAD = 16  # leaves split in advance per job
@@ -369,11 +369,10 @@ class LeafwiseTrainer:
         self.step += 1
         self.stats.pop(key, None)
         self.stats.pop(ROOT, None)
-        if self.p.n_tree_search > 1 or self.ready:
+        if at_root:
+            self.rows.settle(self.var_constant, self.trees, self._growing())
+        if at_root or self.p.n_tree_search > 1 or self.ready:
             self._forget()  # every candidate is searched anew
-        elif at_root:
-            self._forget()
-            self.rows.settle(self._growing())
         else:
             chosen = (tree.nodes[i].feature, c["bin"])
             for side, child in enumerate(children):
@@ -420,7 +419,7 @@ class LeafwiseTrainer:
             self.var_constant, self.rows.pending = constant, pending
             self.rows.shift, self.scale = shift, scale
             if self.rows.df is not df:
-                self.rows.df.unpersist()
+                self.rows.df.unpersist()  # never the fixed rows: a branch that moved has its own scores
                 self.rows.df = df
         self.path.append(forest)
 
@@ -576,10 +575,9 @@ class LeafwiseTrainer:
                 w[span] = new
                 change = _change_tree(self.trees[t], group, delta)
                 rows.pending = [*rows.pending, change]
-                if sum(len(c.nodes) for c in rows.pending) > 100:
-                    old = rows.df
-                    rows.store_current(keep_old=branch and old is kept_df)
-                    rows.pending = []
+                if sum(len(c.nodes) for c in rows.pending) > PENDING_NODES:
+                    self._write_weights(columns, w)
+                    rows.rescore(self.var_constant, self.trees, 0, keep_old=branch and rows.df is kept_df)
             if self.p.intercept:
                 g, h = rows.derivative_sql()
                 sums = rows.scored().selectExpr(f"sum({g}) AS g", f"sum({h}) AS h").first()

@@ -65,10 +65,14 @@ def maybe_collapse(rows: DataFrame, loss: str, n_rows: int) -> DataFrame:
 
 
 class TrainingRows:
-    """Rows whose current score is the stored column plus the trees changed since it was stored."""
+    """Rows whose current score is the stored column plus the trees changed since it was stored.
+
+    ``fixed`` is written once; ``df`` is the same rows with the stored score, kept in memory or on disk.
+    """
 
     def __init__(self, df: DataFrame, bins: BinSet, loss: str, engine: str):
-        self.df = cut_lineage(df)
+        self.fixed = cut_lineage(df)
+        self.df = self.fixed
         self.spark = df.sparkSession
         self.bins, self.loss, self.engine = bins, loss, engine
         self.sparse = bins.sparse
@@ -83,6 +87,7 @@ class TrainingRows:
 
     def close(self) -> None:
         self.df.unpersist()
+        self.fixed.unpersist()
 
     # ------------------------------------------------------------ scores
 
@@ -90,30 +95,24 @@ class TrainingRows:
         """The current score; ``settle`` keeps the pending trees few."""
         return forest_sql(self.pending, self.access, "score")
 
-    def _store(self, score: Column) -> None:
-        old = self.df
-        self.df = cut_lineage(old.withColumn("score", score))
-        old.unpersist()
-
-    def store_current(self, keep_old: bool = False) -> None:
-        """Store the current score; ``keep_old`` leaves the table it came from for a return to it."""
-        score = F.expr(self.score_sql())
-        if keep_old:
-            self.df = cut_lineage(self.df.withColumn("score", score))
-        else:
-            self._store(score)
-
-    def settle(self, growing: int) -> None:
-        """Fold pending trees into the stored score, except the last ``growing`` ones."""
+    def settle(self, constant: float, trees: list[Tree], growing: int) -> None:
+        """Store the score anew once the finished pending trees get many."""
         done = self.pending[: len(self.pending) - growing]
         if sum(len(t.nodes) for t in done) > PENDING_NODES:
-            self._store(F.col("score") + forest_value(done, self.access))
-            self.pending = self.pending[len(done) :]
+            self.rescore(constant, trees, growing)
 
-    def rescore(self, constant: float, trees: list[Tree], growing: int) -> None:
-        """All weights changed: store the score of the finished trees anew."""
+    def rescore(self, constant: float, trees: list[Tree], growing: int, keep_old: bool = False) -> None:
+        """Store the score of all trees but the last ``growing`` ones.
+
+        It is always derived from the fixed rows and the current forest, so nothing is written and the
+        lineage stays one step long however often this is called. ``keep_old`` leaves the table of
+        before in place, for a return to it.
+        """
         done = trees[: len(trees) - growing]
-        self._store(forest_value(done, self.access, constant))
+        old = self.df
+        self.df = self.fixed.withColumn("score", forest_value(done, self.access, constant)).persist()
+        if old is not self.fixed and not keep_old:
+            old.unpersist()
         self.pending = list(trees[len(done) :])
 
     def derivative_sql(self, s: str = "_s") -> tuple[str, str]:

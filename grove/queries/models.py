@@ -140,6 +140,28 @@ def _explained(fitted, table, loss="LS"):
     return evaluate_path(table, fitted.path, loss)
 
 
+# Two leaves: the best root split under lambda 0.2, then ten damped sweeps towards the optimum under 0.05.
+@register(
+    "t_leafwise_first_tree",
+    _W + "base AS (SELECT q, d, t, y - (SELECT avg(y) FROM rows_) AS y FROM rows_), " + S.domain("base") + f""",
+ h AS (SELECT f.feature, {S.VALUE.format(f='f.feature')} AS value, sum(y) AS g, CAST(count(*) AS DOUBLE) AS n FROM base, (VALUES (0), (1), (2)) f(feature) GROUP BY 1, 2),
+ k AS (SELECT feature, value, sum(g) OVER w AS gl, sum(n) OVER w AS nl, sum(g) OVER p AS gt, sum(n) OVER p AS nt FROM h
+ WINDOW w AS (PARTITION BY feature ORDER BY value), p AS (PARTITION BY feature)),
+ b AS (SELECT *, gl * gl / (nl + 0.3 * nt) + (gt - gl) * (gt - gl) / (nt - nl + 0.3 * nt) AS gain FROM k WHERE nl >= 20 AND nt - nl >= 20
+ QUALIFY row_number() OVER (ORDER BY gain DESC, feature, value) = 1),
+ s AS (SELECT '<=' AS side, gl AS g, nl AS n FROM b UNION ALL SELECT '>', gt - gl, nt - nl FROM b)
+ SELECT CAST(feature AS VARCHAR) || side || CAST(round(0.5 * (value + (SELECT min(v.value) FROM domain v WHERE v.feature = b.feature AND v.value > b.value)), 5) AS VARCHAR) AS rule,
+ CAST(s.n AS BIGINT) AS n, round(s.g / (s.n + 0.075 * nt) + power(0.5, 10) * (s.g / (s.n + 0.3 * nt) - s.g / (s.n + 0.075 * nt)), 8) AS weight,
+ round((SELECT avg(y) FROM rows_), 6) AS constant FROM b, s""",
+)
+def t_leafwise_first_tree(spark, sf):
+    forest = fit_forest(price_table(spark, sf), _leafwise(max_leaf=2, l2=0.05, sl2=0.2, reg_depth=1.5)).forest
+    nodes = forest.nodes_df(spark)
+    leaves = nodes.filter("left < 0").select("tree", F.col("node").alias("leaf"), "n")
+    named = explain.rules(nodes).join(leaves, ["tree", "leaf"]).withColumn("constant", F.lit(round(forest.constant, 6)))
+    return _round(named, 8, "weight").select("rule", "n", "weight", "constant")
+
+
 @register("t_forest_leafwise")
 def t_forest_leafwise(spark, sf):
     table = price_table(spark, sf)
