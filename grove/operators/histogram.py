@@ -74,31 +74,35 @@ def _partial_sums(rows: DataFrame, n_nodes: int, sizes: list[int]) -> DataFrame:
     return rows.select("node", "bins", "g", "h", "n").mapInArrow(partial, _PARTIAL)
 
 
-def node_histogram_sparse(rows: DataFrame, features: DataFrame | None = None) -> DataFrame:
+def node_histogram_sparse(rows: DataFrame, absent: DataFrame | None = None, totals: bool = False) -> DataFrame:
     """``rows`` has ``node, bins MAP<INT, INT>, g, h, n``; absence is the node total minus what is present.
 
-    Only present entries are exploded. ``features`` (``feature, absent``: the bin of absence, else 0)
-    adds features that a node does not hold at all; without it they have no cut anyway and are left out.
+    Only present entries are exploded. ``absent`` (``feature, absent``) names the bin that stands for
+    absence, else it is 0. A feature that no row of a node holds has no cut there and is left out; with
+    ``totals`` every node also gets a row of its totals under feature -1, from which it can be filled in.
     """
     present = _sum_cells(rows.select("node", "g", "h", "n", F.explode("bins").alias("feature", "bin")))
-    totals = node_totals(rows).select("node", F.col("g").alias("tg"), F.col("h").alias("th"), F.col("n").alias("tn"))
+    per_node = node_totals(rows)
+    whole = F.broadcast(per_node.select("node", F.col("g").alias("tg"), F.col("h").alias("th"), F.col("n").alias("tn")))
     sums = present.groupBy("node", "feature").agg(
         F.sum("g").alias("g"), F.sum("h").alias("h"), F.sum("n").cast("bigint").alias("n")
     )
-    if features is None:
+    if absent is None:
         sums = sums.withColumn("absent", F.lit(0))
     else:
-        grid = totals.select("node").crossJoin(F.broadcast(features))  # nodes x features, model-sized
-        sums = grid.join(sums, ["node", "feature"], "left").na.fill(0, ["g", "h", "n"])
-    absent = sums.join(F.broadcast(totals), "node").select(
+        sums = sums.join(F.broadcast(absent), "feature")  # one row per kept feature
+    rest = sums.join(whole, "node").select(
         "node",
-        F.col("feature").cast("int").alias("feature"),
+        "feature",
         F.col("absent").cast("int").alias("bin"),
         (F.col("tg") - F.col("g")).alias("g"),
         (F.col("th") - F.col("h")).alias("h"),
         (F.col("tn") - F.col("n")).alias("n"),
     )
-    return present.unionByName(absent.filter("n > 0"))
+    hist = present.unionByName(rest.filter("n > 0"))
+    if totals:
+        hist = hist.unionByName(per_node.select("node", F.lit(-1).alias("feature"), F.lit(0).alias("bin"), "g", "h", "n"))
+    return hist
 
 
 def sibling_histogram(parent: DataFrame, child: DataFrame) -> DataFrame:

@@ -99,9 +99,10 @@ class BinnedTrainer:
             ahead[i] = (self.rows.features[c["position"]], c["bin"], len(keys), len(keys) + 1)
             keys += [(i, 0), (i, 1)]
             starts += [c["w_left"], c["w_right"]]
-        hist = self.rows.histogram(frontier_sql(tree, self.rows.access, wanted, ahead), starts)
+        collected = self.rows.fits_driver(len(keys))
+        hist = self.rows.histogram(frontier_sql(tree, self.rows.access, wanted, ahead), starts, totals=collected)
         l1, l2 = self.p.l1, self.p.l2
-        if self.rows.fits_driver(len(keys)):
+        if collected:
             found = self.rows.collect_histogram(hist, len(keys))
             out = {}
             for s, key in enumerate(keys):

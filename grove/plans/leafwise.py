@@ -289,8 +289,9 @@ class LeafwiseTrainer:
         return [i for _, i in scored[:AHEAD]]
 
     def _collect(self, slot: str, keys: list, deltas: list[float], early: dict) -> None:
-        hist = self.rows.histogram(slot, deltas)
-        if self.rows.fits_driver(len(keys)):
+        collected = self.rows.fits_driver(len(keys))
+        hist = self.rows.histogram(slot, deltas, totals=collected)
+        if collected:
             found = self.rows.collect_histogram(hist, len(keys))
             for s, key in enumerate(keys):
                 if key[0] == "ahead":

@@ -132,8 +132,11 @@ class TrainingRows:
     def fits_driver(self, n_nodes: int) -> bool:
         return n_nodes * len(self.features) * max(self.sizes) <= DRIVER_CELLS
 
-    def histogram(self, slot: str, deltas: list[float]) -> DataFrame:
-        """Histogram per slot; ``slot`` is SQL (NULL: not wanted), ``deltas`` are added to its scores."""
+    def histogram(self, slot: str, deltas: list[float], totals: bool = True) -> DataFrame:
+        """Histogram per slot; ``slot`` is SQL (NULL: not wanted), ``deltas`` are added to its scores.
+
+        ``totals`` is for ``collect_histogram``, which completes sparse histograms with them.
+        """
         score = "_s"
         if any(deltas):
             score = f"(_s + element_at(array({', '.join(map(number, deltas))}), node + 1))"
@@ -142,16 +145,23 @@ class TrainingRows:
         rows = placed.selectExpr("node", "bins", f"{g} AS g", f"{h} AS h", "n")
         if self.sparse:
             known = [(f, self.bins.default_bin(f)) for f in self.features]
-            return node_histogram_sparse(rows, self.spark.createDataFrame(known, "feature int, absent int"))
+            return node_histogram_sparse(rows, self.spark.createDataFrame(known, "feature int, absent int"), totals)
         return node_histogram(rows, len(deltas), self.sizes)
 
     def collect_histogram(self, hist: DataFrame, n_slots: int) -> np.ndarray:
         """``[slot, (g, h, n), feature position, bin]``; the caller has checked ``fits_driver``."""
         out = np.zeros((n_slots, 3, len(self.features), max(self.sizes)))
         pdf = hist.toPandas()
-        at = pdf["feature"].map(self.position).to_numpy(int)
+        cells = pdf[pdf["feature"] >= 0]
+        at = cells["feature"].map(self.position).to_numpy(int)
         for k, name in enumerate("ghn"):
-            out[pdf["node"].to_numpy(int), k, at, pdf["bin"].to_numpy(int)] = pdf[name].to_numpy(float)
+            out[cells["node"].to_numpy(int), k, at, cells["bin"].to_numpy(int)] = cells[name].to_numpy(float)
+        if self.sparse:
+            absent = np.array([self.bins.default_bin(f) for f in self.features])
+            for r in pdf[pdf["feature"] < 0].itertuples():
+                unheld = np.flatnonzero(out[r.node, 2].sum(axis=1) == 0)
+                for k, value in enumerate((r.g, r.h, r.n)):
+                    out[r.node, k, unheld, absent[unheld]] = value
         return out
 
     def group_sums(self, tree: Tree, group: list[int]) -> tuple[np.ndarray, np.ndarray]:
