@@ -2,25 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.storagelevel import StorageLevel
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use ``spark.checkpoint.dir``; only a local session without one gets a fresh temporary folder."""
+def ensure_checkpoint_dir(spark: SparkSession, folder: str | None = None) -> str:
+    """The folder for checkpoints and scratch tables: the session's own, ``spark.checkpoint.dir``, or ``folder``.
+
+    It must be shared by the driver and all executors. Without any of the three this raises ``ValueError``.
+    """
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or folder
     if not configured:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        configured = tempfile.mkdtemp(prefix="grove-checkpoint-")
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     context.setCheckpointDir(configured)
-    return configured
+    return context.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
