@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grove.llm import chat, line_dedup, packing, pieces, register
-from grove.llm.common import read
+from grove.llm import chat, line_dedup, packing, pieces, quality_rules, register, simhash
+from grove.llm.common import read, saved
 
 WINDOW, END_ID = 4096, 2
 
@@ -19,6 +19,55 @@ def vocabulary(name: str) -> bytes:
         return f.read()
 
 
+def hex_digits(c):
+    return F.lpad(F.lower(F.hex(c)), 16, "0")
+
+
+@register("op5_simhash")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, and how like they are."""
+    ahead = simhash.with_next(read(spark, sf_dir, "documents", "doc_id", "text"))
+    changed = simhash.edited(F.col("text"), F.col("next_text"))
+    sha = F.sha2(changed, 256)
+    # Digests travel as four longs each: numbers stay in the hash aggregation, strings would not.
+    quarters = [F.conv(F.substring(sha, 16 * i + 1, 16), 16, -10).cast("long").alias(f"sha_{i}") for i in range(4)]
+    both = ahead.select(
+        "bucket", "place", "doc_id", "next_bucket", "next_place", F.length("text").cast("long").alias("n_chars"),
+        F.col("text"), changed.alias("changed"), *quarters,
+    )
+    carry = ("doc_id", "n_chars", "next_bucket", "next_place", *[f"sha_{i}" for i in range(4)])
+    texts = both.select(
+        "bucket", "place", *carry,
+        F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("text").alias("t")), F.struct(F.lit(1).alias("kind"), F.col("changed").alias("t")))).alias("x"),
+    ).select("bucket", "place", *carry, "x.kind", F.col("x.t").alias("text"))
+    marks = saved(simhash.with_fingerprints(texts, ["bucket", "place", "kind"], carry=carry), "simhash")
+    own, other = marks.where("kind = 0"), marks.where("kind = 1")
+    own = own.join(other.select("bucket", "place", F.col("fingerprint").alias("edited")), ["bucket", "place"])
+    ahead_of = marks.where("kind = 0").select(F.col("bucket").alias("next_bucket"), F.col("place").alias("next_place"), F.col("fingerprint").alias("next"))
+    own = own.join(ahead_of, ["next_bucket", "next_place"])
+    return own.select(
+        "doc_id",
+        "n_chars",
+        F.concat(*[hex_digits(F.col(f"sha_{i}")) for i in range(4)]).alias("edited_sha256"),
+        hex_digits(F.col("fingerprint")).alias("fingerprint"),
+        hex_digits(F.col("edited")).alias("edited_fingerprint"),
+        simhash.likeness(F.col("fingerprint"), F.col("edited")).alias("near_edited"),
+        simhash.likeness(F.col("fingerprint"), F.col("next")).alias("near_next"),
+    )
+
+
+@register("simhash_search")
+def simhash_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every document whose id is divisible by 100: how many documents lie within 3 bits of it, by the block tables."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    marks = saved(simhash.with_fingerprints(docs, ["doc_id"]), "simhash")
+    counts = marks.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n"))
+    asked = marks.where("doc_id % 100 = 0")
+    found = simhash.find_within(asked, marks).join(counts, "fingerprint")
+    totals = found.groupBy("query").agg(F.sum("n").alias("n_near"))
+    return asked.join(totals, asked["fingerprint"] == totals["query"]).select("doc_id", hex_digits(F.col("query")).alias("fingerprint"), "n_near")
+
+
 PACK_SEQUENCE = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
 
@@ -56,6 +105,37 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+WS = r"[^\x20\x09-\x0D]"
+# Words, then windows of 8 by position; a window's position is repeated if its words are found twice; the counts follow.
+OP9_SQL = rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, coalesce(source, '') AS host FROM documents),
+ w AS (SELECT r, regexp_extract_all(text, '{WS}+') AS ws FROM d),
+ ww AS (SELECT r, unnest(range(1, len(ws) - 6)) AS i, ws FROM w WHERE len(ws) >= 8),
+ g AS (SELECT r, i, array_to_string(ws[i:i+7], ' ') AS win FROM ww),
+ rep AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, win) AS c FROM g) WHERE c > 1),
+ cover AS (SELECT r, sum(least(8, coalesce(nx - i, 8))) AS n FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS nx FROM rep) GROUP BY r),
+ ln AS (SELECT r, doc_id, text, host, unnest(string_split(text, chr(10))) AS line FROM d),
+ good AS (SELECT *, lower_ascii AS key FROM (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_ascii FROM ln) WHERE lower_ascii <> ''),
+ dup AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM good GROUP BY r),
+ hosts AS (SELECT host, count(DISTINCT text) AS n FROM d GROUP BY host),
+ freq AS (SELECT g.host, key FROM good g JOIN hosts h ON g.host = h.host GROUP BY g.host, key, h.n
+  HAVING count(DISTINCT g.text) > 20 AND count(DISTINCT g.text) > 0.05 * h.n),
+ gone AS (SELECT r, sum(len(regexp_extract_all(line, '{WS}+'))) AS n FROM good JOIN freq USING (host, key) GROUP BY r),
+ base AS (SELECT d.r, d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+  CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines,
+  CAST(coalesce(cover.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(gone.n, 0) AS BIGINT) AS n_removed_words
+  FROM d JOIN w ON d.r = w.r LEFT JOIN dup ON d.r = dup.r LEFT JOIN cover ON d.r = cover.r LEFT JOIN gone ON d.r = gone.r)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_removed_words,
+ n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+ NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND NOT (n_words - n_removed_words < 0.2 * n_words) AS kept FROM base"""
+
+
+@register("op9_quality_rules", OP9_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict for all documents; a document's host is its source."""
+    return quality_rules.judge(read(spark, sf_dir, "documents")).drop("text_hash")
+
+
 OP10_SQL = r"""WITH all_turns AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations UNION ALL
  SELECT * FROM (VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')) v(conv_id, turn, role, text)),
  marked AS (SELECT *, replace(replace(text, '&', '&amp;'), '<', '&lt;') AS inside,
