@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from grove.llm.common import pick, utf8
 
 MARK = "▁"
-CACHE = 200_000  # segments or pairs that a task remembers
+CACHE = 300_000  # segments or pairs that a task remembers
 
 
 class PieceCodec:
@@ -48,12 +48,15 @@ class PieceCodec:
         for s in self.score.values():
             seen[s] = seen.get(s, 0) + 1
         # single characters need no merge, so their scores don't matter
-        self.tied = {self.id[p] for p, s in self.score.items() if seen[s] > 1 and len(p) > 1}
+        tied = [p for p, s in self.score.items() if seen[s] > 1 and len(p) > 1]
+        self.tied = [p for p in tied if not any(q in p for q in tied if q != p)]
+        self.decimal = [str(i) for i in range(n)]
+        self.plain = [p.replace(MARK, " ") if p in self.id else None for p in self.pieces]
         line = "" if any("\n" in p for p in self.id) else "\n"
         self.segments = re.compile(f"{MARK}*[^{MARK}{line}]+|{MARK}+" + ("|\n" if line else "")).findall
         self.found = ahocorasick.Automaton()
         for p, i in self.id.items():
-            if i in self.tied or self.merged(p) == [i]:
+            if self.merged(p) == [i]:
                 self.found.add_word(p, i)
         self.found.make_automaton()
         self.length = [len(p) for p in self.pieces]
@@ -109,6 +112,9 @@ class PieceCodec:
 
         One pass of longest matches goes along as long as each is taken; after a shorter piece it starts anew there.
         """
+        for some in self.tied:
+            if some in text:
+                return self.merged(text)
         n, pairs, shorter, length = len(text), self.pairs, self.shorter, self.length
         failed = bytearray(n + 1)
         ids: list[int] = []
@@ -116,8 +122,6 @@ class PieceCodec:
         matches, pos, left = self.found.iter_long(text), 0, -1
         piece = next(matches)[1]
         while True:
-            if piece in self.tied:
-                return self.merged(text)
             taken = piece
             while piece >= 0:
                 if not failed[pos + length[piece]]:
@@ -166,6 +170,10 @@ class PieceCodec:
 
     def raw_text(self, ids: list[int]) -> str:
         """Text of ``ids`` with the leading blank still there."""
+        try:
+            return "".join([self.plain[i] for i in ids])
+        except TypeError:  # there are bytes or special ids
+            pass
         out: list[str] = []
         run = bytearray()
         for i in [*ids, None]:
@@ -185,7 +193,7 @@ class PieceCodec:
 
     def both(self, text: str) -> tuple[int, bytes, str]:
         """Number of ids, the ids as decimals joined by commas, and the decoded text."""
-        known, found = self.known, []
+        known, decimal, found = self.known, self.decimal, []
         for s in self.cut(text):
             hit = known.get(s)
             if hit is None:
@@ -195,7 +203,7 @@ class PieceCodec:
                 hit = self.older.get(s)
                 if hit is None:
                     ids = self.segment(s)
-                    hit = len(ids), ",".join(map(str, ids)).encode(), self.raw_text(ids)
+                    hit = len(ids), ",".join([decimal[i] for i in ids]).encode(), self.raw_text(ids)
                 known[s] = hit
             found.append(hit)
         back = "".join([x[2] for x in found])
