@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grove.llm import chat, line_dedup, packing, pieces, quality_rules, register, simhash
-from grove.llm.common import read, saved
+from grove.llm import chat, line_dedup, packing, pieces, quality_rules, register, simhash, warc
+from grove.llm.common import read, saved, scratch_path
 
 WINDOW, END_ID = 4096, 2
 
@@ -19,6 +19,29 @@ def vocabulary(name: str) -> bytes:
         return f.read()
 
 
+OP2_SQL = """WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+ d AS (SELECT page_id, strlen(h) AS payload_bytes, sha256(h) AS payload_digest FROM p),
+ f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+ CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to FROM f"""
+
+
+@register("op2_warc", OP2_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as an archive with revisit records, read back."""
+    pages = read(spark, sf_dir, "pages", "page_id", "url", "html")
+    path = scratch_path(spark, "warc")
+    boundary = warc.write_archive(pages.toDF("record_id", "url", "payload"), path, min_bytes=100)
+    got = warc.resolved_headers(warc.read_archive(spark, path, boundary))
+    return got.select(
+        F.col("record_id").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
 def hex_digits(c):
     return F.lpad(F.lower(F.hex(c)), 16, "0")
 
