@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grove.llm import chat, line_dedup, packing, pieces, quality_rules, register, simhash, warc
+from grove.llm import chat, line_dedup, near_dup, packing, pieces, quality_rules, register, simhash, warc
 from grove.llm.common import read, saved, scratch_path
 
 WINDOW, END_ID = 4096, 2
@@ -194,3 +194,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("loss", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@register("op4_simhash_near_dup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents under 4-word SimHash fingerprints at most 4 bits apart."""
+    return near_dup.near_duplicates(read(spark, sf_dir, "documents"), words=4, radius=4)
