@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from grove.llm.common import pick, saved, utf8
 
 HASHES = 3
+SALTS = 16  # parts of a key's documents that meet its decision apart
 SLICE = 4096  # bytes of a filter that travel together
 LINES_GUESS = 8  # filter sizing only: expected lines of a document that are long enough
 
@@ -169,10 +170,11 @@ def dedup_lines(
         holders.groupBy("key")
         .agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keeper"))
         .where(F.col("n") >= min_docs)
-        .select("key", "keeper")
+        .select("key", "keeper", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     )
     drops = (
-        found.join(shared, "key")
+        found.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+        .join(shared, ["key", "salt"])
         .where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
         .groupBy("doc_id")
         .agg(F.collect_set("key").alias("keys"))
