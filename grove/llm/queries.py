@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grove.llm import chat, line_dedup, near_dup, packing, pieces, quality_rules, register, simhash, warc
+from grove.llm import chat, line_dedup, near_dup, packing, pieces, quality_model, quality_rules, register, simhash, toxicity, warc
 from grove.llm.common import read, saved, scratch_path
+from grove.llm.sampling import id_remainder
 
 WINDOW, END_ID = 4096, 2
 
@@ -200,3 +201,30 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents under 4-word SimHash fingerprints at most 4 bits apart."""
     return near_dup.near_duplicates(read(spark, sf_dir, "documents"), words=4, radius=4)
+
+
+@register("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learnt outside the held-out fifth; with the number of offending sentences."""
+    docs, labels = read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels, "toxic", id_remainder("doc_id", 5) != 0)
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        (id_remainder("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("offending").alias("n_offending"),
+    )
+
+
+@register("op3_quality_classifier")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learnt outside the held-out third."""
+    docs, labels = read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "labels")
+    model = quality_model.fit(docs, labels, "quality", id_remainder("doc_id", 3) != 1)
+    return quality_model.score(docs, model).select(
+        "doc_id",
+        (id_remainder("doc_id", 3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
