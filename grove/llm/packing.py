@@ -8,15 +8,16 @@ grows with the input, and each has at most one badly filled window at its end.
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grove.llm.common import pick, saved, utf8
+from grove.llm.common import pick, saved, utf8, worker_state
 
 GROUP = 20_000  # pieces that are packed together
-WORDS = 400_000  # words whose ids a task remembers
+WORDS = 800_000  # words whose ids a task remembers
 
 
 class WindowTree:
@@ -69,7 +70,11 @@ def best_fit_decreasing(lengths: list[int], window: int) -> list[tuple[int, int]
 
 
 class WordTokenizer:
-    """Ids of texts by a tokenizer that drops white space, so that every word stands alone and equal words share a result."""
+    """Ids of texts by a tokenizer that drops white space, so that every word stands alone and equal words share a result.
+
+    Words of letters with commas or full stops behind them share their letters' ids, which such a tokenizer
+    parts from the marks and puts in lower case itself.
+    """
 
     def __init__(self, content: str):
         import os
@@ -80,31 +85,37 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_str(content)
         self.ids: dict[bytes, bytes] = {}
 
-    def learn(self, words: list[bytes]) -> None:
+    def learn(self, words: set[bytes]) -> None:
+        """Make sure that ``self.ids`` has all of ``words``."""
         import numpy as np
 
-        if len(self.ids) + len(words) > WORDS:
+        if len(self.ids) > WORDS:
             self.ids.clear()
-        found = self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)
-        for word, x in zip(words, found):
-            self.ids[word] = np.array(x.ids, "<u4").tobytes()
-
-    def encode(self, text: bytes) -> bytes:
-        """Little-endian 32-bit ids."""
-        words = text.split()
         known = self.ids
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            parts = []
-            for start in range(0, len(words), WORDS // 2):  # what one step needs always stays in memory
-                some = words[start : start + WORDS // 2]
-                new = list({*some} - known.keys())
-                if len(known) + len(new) > WORDS:
-                    new = list({*some})
-                self.learn(new)
-                parts.append(b"".join([known[w] for w in some]))
-            return b"".join(parts)
+        new, parts = {}, []
+        for word in words:
+            if word in known:
+                continue
+            text = word.decode()
+            core = text.rstrip(".,")
+            low = core.lower()
+            if low.isalpha() and "\u03a3" not in core:  # capital sigma: its small form depends on its place
+                pair = low, text[len(core) :]
+                parts.append((word, pair))
+                new.update(dict.fromkeys(pair))
+            else:
+                new[text] = None
+        new = [w for w in new if w and w.encode() not in known]
+        for word, x in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+            known[word.encode()] = np.array(x.ids, "<u4").tobytes()
+        for word, (core, tail) in parts:
+            known[word] = known[core.encode()] + (known[tail.encode()] if tail else b"")
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Little-endian 32-bit ids of each text."""
+        known, split = self.ids, [t.split() for t in texts]
+        self.learn({w for words in split for w in words})
+        return [b"".join([known[w] for w in words]) for words in split]
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, window: int = 4096, with_ids: bool = True) -> DataFrame:
@@ -116,19 +127,20 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, window: int = 409
     """
     docs = pick(docs, "doc_id", "text")
     content = docs.sparkSession.sparkContext.broadcast(tokenizer)
+    key = hashlib.sha256(tokenizer.encode()).hexdigest()
 
     def cut(batches):
         import zlib
 
         import pyarrow as pa
 
-        words, end = WordTokenizer(content.value), end_id.to_bytes(4, "little")
+        words, end = worker_state(f"words {key}", lambda: WordTokenizer(content.value)), end_id.to_bytes(4, "little")
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
                 rows: list[tuple] = []
-                for i, text in enumerate(utf8(part.column(1))):
-                    ids = words.encode(text) + end
+                for i, ids in enumerate(words.encode(utf8(part.column(1)))):
+                    ids += end
                     n = len(ids) // 4
                     for start in range(0, n, window):
                         piece = ids[4 * start : 4 * (start + window)]

@@ -13,12 +13,13 @@ piece whose score isn't unique (runs of blanks) are merged directly, since ties
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
 
 from pyspark.sql import DataFrame
 
-from grove.llm.common import pick, utf8
+from grove.llm.common import pick, utf8, worker_state
 
 MARK = "▁"
 CACHE = 300_000  # segments or pairs that a task remembers
@@ -219,11 +220,12 @@ def encode_texts(docs: DataFrame, model: bytes) -> DataFrame:
     """
     docs = pick(docs, "doc_id", "text")
     content = docs.sparkSession.sparkContext.broadcast(model)
+    key = hashlib.sha256(model).hexdigest()
 
     def encode(batches):
         import pyarrow as pa
 
-        codec = PieceCodec(content.value)
+        codec = worker_state(f"pieces {key}", lambda: PieceCodec(content.value))
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
