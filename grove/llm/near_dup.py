@@ -5,8 +5,8 @@ emits all variants within r/2 bits of itself, and those that emit the same varia
 
 Variants are shuffled by some of their bits, the bucket. The variants of one fingerprint in one bucket are told by the
 fingerprint and the bucket alone, so this pair stands for all of them in the shuffle and they are spelt out on arrival: for 4 bits and
-12 bucket bits, 79 pairs stand for 2,081 variants. The number of bucket bits follows the number of distinct fingerprints, so that a
-bucket holds some 2 million variants at any size.
+12 bucket bits, 79 pairs stand for 2,081 variants. The number of bucket bits follows the number of distinct fingerprints, so that an
+average bucket gets 16,384 of them at most, at any size of the table (30 bits and 466 pairs for 47 billion).
 
 A bucket that gets more fingerprints than ``CHUNK`` is cut into chunks, each a task's work on its own; variants of such
 buckets also go through a second shuffle, keyed by the variant with the chunk's least fingerprint, so no link between chunks is lost.
@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from grove.llm.common import pick, saved, utf8
 from grove.llm.components import components
 
-CHUNK = 16_384  # fingerprints of a bucket that one task works on together
-BUCKET_VARIANTS = 2_000_000
+BUCKET = 16_384  # distinct fingerprints that a bucket gets on average, at most
+CHUNK = 4 * BUCKET  # fingerprints of a bucket that one task works on together
 STEP_VARIANTS = 3_000_000  # variants in memory at a time
 
 
@@ -79,9 +79,9 @@ def signed(x: int) -> int:
 
 
 def bucket_bits(n: int, radius: int) -> int:
-    """Bucket bits for ``n`` distinct fingerprints: about ``BUCKET_VARIANTS`` variants a bucket."""
-    variants = n * len(flips(range(64), radius // 2))
-    return min(40, max(1, math.ceil(math.log2(max(2, variants / BUCKET_VARIANTS)))))
+    """Bucket bits for ``n`` distinct fingerprints: the fewest that give an average bucket ``BUCKET`` of them at most."""
+    share = lambda bits: sum(math.comb(bits, k) for k in range(radius // 2 + 1)) / 2**bits
+    return next((b for b in range(1, 60) if n * share(b) <= BUCKET), 60)
 
 
 def least_of_runs(order, keys, values):

@@ -23,9 +23,9 @@ CACHE = 300_000  # words whose weights a task remembers
 
 
 def features_of(word: str) -> list[str]:
-    """The word in lower case without marks at its ends, and its first four and five letters."""
+    """The word in lower case without marks at its ends, and its first three to eight letters."""
     word = word.strip(EDGES)
-    return [f"w {word}", *(f"{k} {word[:k]}" for k in (4, 5) if len(word) > k)] if word else []
+    return [f"w {word}", *(f"{k} {word[:k]}" for k in range(3, 9) if len(word) > k)] if word else []
 
 
 def sentences_of(text: str) -> list[tuple[int, int]]:
@@ -33,10 +33,11 @@ def sentences_of(text: str) -> list[tuple[int, int]]:
     return [m.span() for m in SENTENCE.finditer(text) if not m[0].isspace()] or [(0, 0)]
 
 
-def fit_noisy_or(bags: list[tuple[int, int, list[list[int]]]], n_features: int, steps: int = 400, decay: float = 1e-4):
+def fit_noisy_or(bags: list[tuple[int, int, list[list[int]]]], n_features: int, scale: tuple[float, float] = (1.0, 1.0), steps: int = 400, sparse: float = 0.03):
     """Weights and bias from bags ``(label, sentences without features, features of each other sentence)``.
 
-    Full-batch Adam on the document likelihood; every document weighs the same in its class.
+    Full-batch Adam on the document likelihood; ``scale`` weighs the documents of each class. ``sparse`` is an L1 penalty in
+    documents: words that only keep company with toxic ones get no weight of their own.
     """
     import numpy as np
 
@@ -46,7 +47,8 @@ def fit_noisy_or(bags: list[tuple[int, int, list[list[int]]]], n_features: int,
     cell_s = np.array([s for s, x in enumerate(x for b in bags for x in b[2]) for _ in x], np.int64)
     cell_f = np.array([f for b in bags for x in b[2] for f in x], np.int64)
     n_s, n_d = len(doc), len(bags)
-    weight = np.where(y > 0, 0.5 / max(1, y.sum()), 0.5 / max(1, n_d - y.sum()))
+    weight = np.where(y > 0, scale[1], scale[0])
+    weight /= weight.sum()
     w, m, v = np.zeros(n_features + 1), np.zeros(n_features + 1), np.zeros(n_features + 1)
     w[-1] = -6.0
     for t in range(1, steps + 1):
@@ -56,9 +58,10 @@ def fit_noisy_or(bags: list[tuple[int, int, list[list[int]]]], n_features: int,
         ps, p0 = 1 / (1 + np.exp(-z)), 1 / (1 + math.exp(-w[-1]))
         gz = pull[doc] * ps
         g = np.append(np.bincount(cell_f, gz[cell_s], n_features), gz.sum() + (pull * plain).sum() * p0)
-        g[:-1] += decay * w[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        w = w - 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
+        pace = 0.1 / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
+        w = w - pace * (m / (1 - 0.9**t))
+        w[:-1] = np.sign(w[:-1]) * np.maximum(np.abs(w[:-1]) - np.minimum(pace[:-1] * sparse / n_d, 0.05), 0)
     return w[:-1], float(w[-1])
 
 
@@ -78,7 +81,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, bound: in
     sample, totals, taken = labelled_sample(docs, labels, label, learn, bound)
     if len(taken) < 2:
         return ToxicityModel({}, 10.0 if 1 in taken else -10.0)
-    sample = saved(sample, "toxic-sample")
+    # Copies would make every word of a copied document tell: equal texts count once.
+    sample = saved(sample.groupBy(F.sha2("text", 256).alias("same")).agg(F.first("text").alias("text"), F.max("y").alias("y")), "toxic-sample")
 
     def count(batches):
         from collections import Counter
@@ -98,7 +102,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, bound: in
     counts = sample.select("text", "y").mapInArrow(count, "feature string, n0 long, n1 long").groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     lean = F.log((F.col("n1") + 0.5) / n1) - F.log((F.col("n0") + 0.5) / n0)
     sure = lean / F.sqrt(1 / (F.col("n1") + 0.5) + 1 / (F.col("n0") + 0.5))
-    chosen = [r["feature"] for r in counts.withColumn("sure", sure).where("sure > 3 AND n1 >= 3").orderBy(F.desc("sure"), "feature").limit(max_features).collect()]
+    chosen = [r["feature"] for r in counts.withColumn("sure", sure).where("sure > 2 AND n1 >= 3").orderBy(F.desc("sure"), "feature").limit(max_features).collect()]
     number = {f: i for i, f in enumerate(chosen)}
 
     def gather(batches):
@@ -114,7 +118,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, bound: in
             yield pa.RecordBatch.from_pydict({"y": batch.column(1), "plain": pa.array(plain, pa.int32()), "hits": pa.array(found, pa.list_(pa.list_(pa.int32())))})
 
     rows = sample.select("text", "y").mapInArrow(gather, "y int, plain int, hits array<array<int>>").toArrow().to_pylist()
-    weights, bias = fit_noisy_or([(r["y"], r["plain"], r["hits"]) for r in rows], len(chosen))
+    weights, bias = fit_noisy_or([(r["y"], r["plain"], r["hits"]) for r in rows], len(chosen), (totals[0] / taken[0], totals[1] / taken[1]))
     return ToxicityModel({f: float(w) for f, w in zip(chosen, weights) if w}, bias)
 
 
