@@ -151,13 +151,13 @@ def score_text(text: str, model: ToxicityModel, known: dict[str, float], thresho
     return -math.expm1(q), found
 
 
-def score(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5) -> DataFrame:
-    """``doc_id, score, offending`` of every whole text.
+def score(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, score, offending`` and the columns ``carry`` of every whole text.
 
     ``offending``: array of ``start, end, score`` (code points) of its toxic sentences. A null or empty text is one empty sentence. Repeated
     rows get equal scores; other columns are ignored.
     """
-    docs = pick(docs, "doc_id", "text")
+    docs = pick(docs, "doc_id", "text", *(c for c in carry if c not in ("doc_id", "text")))
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def judge(batches):
@@ -168,7 +168,9 @@ def score(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5) -> Data
         for batch in batches:
             found = [score_text(t.decode(), own, known, threshold) for t in utf8(batch.column(1))]
             where = [[{"start": a, "end": b, "score": p} for a, b, p in x[1]] for x in found]
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "score": pa.array([x[0] for x in found], pa.float64()), "offending": pa.array(where, spans)})
+            out = {"doc_id": batch.column(0), "score": pa.array([x[0] for x in found], pa.float64()), "offending": pa.array(where, spans)}
+            yield pa.RecordBatch.from_pydict(out | {c: batch.column(c) for c in more})
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(judge, f"doc_id {kind}, score double, offending array<struct<start:int,end:int,score:double>>")
+    types, more = dict(docs.dtypes), [c for c in carry if c != "doc_id"]
+    schema = f"doc_id {types['doc_id']}, score double, offending array<struct<start:int,end:int,score:double>>"
+    return docs.mapInArrow(judge, schema + "".join(f", `{c}` {types[c]}" for c in more))
