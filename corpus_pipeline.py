@@ -17,7 +17,7 @@ from grove.llm.sampling import id_remainder
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go; texts stay as they are."""
-    return quality_rules.keep_good(pick(docs, *DOCUMENT_COLUMNS))
+    return quality_rules.keep_good(docs, carry=DOCUMENT_COLUMNS).select(*DOCUMENT_COLUMNS)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +35,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, that of the smallest id."""
-    return near_dup.keep_one(pick(docs, *DOCUMENT_COLUMNS), words=4, radius=4)
+    return near_dup.keep_one(docs, words=4, radius=4, carry=DOCUMENT_COLUMNS).select(*DOCUMENT_COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

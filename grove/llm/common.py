@@ -16,17 +16,19 @@ SPACE = " \t\n\x0b\f\r"
 
 
 def pick(df: DataFrame, *names: str) -> DataFrame:
-    """Only ``names``, matched by exact spelling, the first of equal ones.
+    """Only ``names``, matched by exact spelling or else without regard to case, the first of equal ones.
 
     Columns are renamed by position first, so extra columns whose names differ in case only, or
     repeat, can't make a reference ambiguous. A missing column raises ``ValueError``.
     """
     found = df.columns
-    missing = [n for n in names if n not in found]
+    lower = [c.lower() for c in found]
+    where = {n: found.index(n) if n in found else lower.index(n.lower()) if n.lower() in lower else None for n in names}
+    missing = [n for n in names if where[n] is None]
     if missing:
         raise ValueError(f"columns {missing} are missing; there are {found}")
     plain = df.toDF(*[f"_{i}" for i in range(len(found))])
-    return plain.select([F.col(f"_{found.index(n)}").alias(n) for n in names])
+    return plain.select([F.col(f"_{where[n]}").alias(n) for n in names])
 
 
 def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:

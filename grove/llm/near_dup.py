@@ -231,11 +231,12 @@ def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFra
     return groups.join(named, "group").select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFrame:
-    """Of each group of near duplicates the row of the smallest id (of repeated rows: all), with all columns of ``docs``.
+def keep_one(docs: DataFrame, words: int = 4, radius: int = 4, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Of each group of near duplicates the row of the smallest id (of repeated rows: all): ``doc_id, text`` and the columns ``carry``.
 
     Rows of a null id stay only where no other id is in their group.
     """
+    docs = pick(docs, *dict.fromkeys(("doc_id", "text", *carry)))
     found = near_duplicates(docs, words, radius)
     ids = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_keep")).distinct()
     return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_keep"]), "left_semi")

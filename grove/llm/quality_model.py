@@ -187,14 +187,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, bound: in
     """Learn from ``bound`` labelled rows of each class at most, weighted back to the classes' true shares.
 
     ``learn`` is a condition on ``doc_id``. Only the sample's features, 18 numbers a row, reach the driver. Without
-    rows of both classes the model is constant.
+    rows of both classes the model is constant: near 0 where only label 0 occurs, else near 1.
     """
     import numpy as np
 
     sample, totals, taken = labelled_sample(docs, labels, label, learn, bound)
-    if len(taken) < 2:
-        return AdditiveModel([np.zeros(0)] * len(FEATURES), 10.0 if 1 in taken or not taken else -10.0, [np.zeros(1)] * len(FEATURES))
-
     def measure(batches):
         import pyarrow as pa
 
@@ -204,6 +201,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, bound: in
     rows = sample.select("text", "y").mapInArrow(measure, "y int, x array<double>").toArrow()
     y = rows["y"].to_numpy().astype(float)
     x = np.array(rows["x"].to_pylist(), float).reshape(len(y), len(FEATURES))
+    if len({*y}) < 2:
+        return AdditiveModel([np.zeros(0)] * len(FEATURES), -10.0 if 0 in y else 10.0, [np.zeros(1)] * len(FEATURES))
     order = np.lexsort([*x.T, y])  # as rows come in any order
     x, y = x[order], y[order]
     scale = {c: totals[c] / max(1, taken[c]) for c in totals}

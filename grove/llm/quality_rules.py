@@ -113,8 +113,9 @@ def judge(
     )
 
 
-def keep_good(docs: DataFrame, **limits) -> DataFrame:
-    """The rows of ``docs`` that ``judge`` keeps, with all their columns and the texts as they are."""
+def keep_good(docs: DataFrame, carry: tuple[str, ...] = (), **limits) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps: ``doc_id, text`` as they are, the host column and the columns ``carry``."""
+    docs = pick(docs, *dict.fromkeys(("doc_id", "text", limits.get("host", "source"), *carry)))
     bad = judge(docs, **limits).where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     same = docs["doc_id"].eqNullSafe(bad["_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == bad["_hash"])
     return docs.join(bad, same, "left_anti")

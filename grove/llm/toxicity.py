@@ -79,8 +79,6 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, bound: in
     the model is constant: near 0, or near 1 where only label 1 occurs.
     """
     sample, totals, taken = labelled_sample(docs, labels, label, learn, bound)
-    if len(taken) < 2:
-        return ToxicityModel({}, 10.0 if 1 in taken else -10.0)
     # Copies would make every word of a copied document tell: equal texts count once.
     sample = saved(sample.groupBy(F.sha2("text", 256).alias("same")).agg(F.first("text").alias("text"), F.max("y").alias("y")), "toxic-sample")
 
@@ -98,7 +96,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, bound: in
             part = names[a : a + 50_000]
             yield pa.RecordBatch.from_pydict({"feature": part} | {f"n{y}": pa.array([seen[y][f] for f in part], pa.int64()) for y in (0, 1)})
 
-    n0, n1 = max(1, taken[0]), max(1, taken[1])
+    there = {r["y"] for r in sample.select("y").distinct().collect()}
+    if len(there) < 2:
+        return ToxicityModel({}, 10.0 if 1 in there else -10.0)
+    n0, n1 = taken[0], taken[1]
     counts = sample.select("text", "y").mapInArrow(count, "feature string, n0 long, n1 long").groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     lean = F.log((F.col("n1") + 0.5) / n1) - F.log((F.col("n0") + 0.5) / n0)
     sure = lean / F.sqrt(1 / (F.col("n1") + 0.5) + 1 / (F.col("n0") + 0.5))
