@@ -27,6 +27,7 @@ from grove.llm.components import components
 
 BUCKET = 16_384  # distinct fingerprints that a bucket gets on average, at most
 CHUNK = 4 * BUCKET  # fingerprints of a bucket that one task works on together
+SALTS = 16  # parts of a group that meet its least id apart
 STEP_VARIANTS = 3_000_000  # variants in memory at a time
 
 
@@ -179,7 +180,9 @@ def link_fingerprints(prints: DataFrame, radius: int = 4, chunk: int = CHUNK) ->
     low_bits = bucket_bits(distinct.count(), radius)
     low = (1 << low_bits) - 1
     masks = F.array(*[F.lit(m) for m in flips(range(low_bits), radius // 2)])
-    sent = distinct.select("fingerprint", F.explode(F.transform(masks, lambda m: F.col("fingerprint").bitwiseAND(F.lit(low)).bitwiseXOR(m))).alias("bucket"))
+    # A few MB of fingerprints become many rows: dealt out first, so that all cores share that.
+    spread = distinct.repartition(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fingerprint")
+    sent = spread.select("fingerprint", F.explode(F.transform(masks, lambda m: F.col("fingerprint").bitwiseAND(F.lit(low)).bitwiseXOR(m))).alias("bucket"))
     sizes = sent.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     large = sizes.where(F.col("n") > chunk).select("bucket", F.ceil(F.col("n") / chunk).cast("int").alias("chunks"))
     dealt = sent.join(large, "bucket", "left").select(
@@ -227,8 +230,15 @@ def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFra
         "doc_id", "fingerprint", F.coalesce("root", "fingerprint").alias("group")
     )
     groups = saved(groups, "groups")
-    named = groups.groupBy("group").agg(F.min("doc_id").alias("component_id"))
-    return groups.join(named, "group").select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+    # Documents alone need no join; the others meet their group's least id by a salted key, as a group may be a third of all rows.
+    named = groups.groupBy("group").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    named = named.select("group", "least", F.lit(True).alias("several"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = groups.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    return salted.join(named, ["group", "salt"], "left").select(
+        "doc_id",
+        F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
+        F.when(F.col("several"), F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
+    )
 
 
 def keep_one(docs: DataFrame, words: int = 4, radius: int = 4, carry: tuple[str, ...] = ()) -> DataFrame:
