@@ -9,6 +9,7 @@ grows with the input, and each has at most one badly filled window at its end.
 from __future__ import annotations
 
 import hashlib
+import json
 import math
 
 from pyspark.sql import DataFrame
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from grove.llm.common import pick, saved, utf8, worker_state
 
 GROUP = 20_000  # pieces that are packed together
-WORDS = 800_000  # words whose ids a task remembers
+WORDS = 1_200_000  # words whose ids a task remembers
 
 
 class WindowTree:
@@ -84,38 +85,59 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_str(content)
         self.ids: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.suffix = json.loads(content)["model"].get("end_of_word_suffix")
+        self.ends = bytearray(max(vocabulary.values()) + 1)  # ids that end a word
+        for piece, i in vocabulary.items():
+            self.ends[i] = bool(self.suffix) and piece.endswith(self.suffix)
 
     def learn(self, words: set[bytes]) -> None:
-        """Make sure that ``self.ids`` has all of ``words``."""
+        """Add the ids of words that ``self.ids`` lacks."""
         import numpy as np
 
-        if len(self.ids) > WORDS:
-            self.ids.clear()
         known = self.ids
-        new, parts = {}, []
+        cores, others, parts = {}, {}, []
         for word in words:
-            if word in known:
-                continue
             text = word.decode()
             core = text.rstrip(".,")
             low = core.lower()
             if low.isalpha() and "\u03a3" not in core:  # capital sigma: its small form depends on its place
-                pair = low, text[len(core) :]
-                parts.append((word, pair))
-                new.update(dict.fromkeys(pair))
+                tail = text[len(core) :]
+                parts.append((word, low, tail))
+                cores[low] = None
+                if tail:
+                    others[tail] = None
             else:
-                new[text] = None
-        new = [w for w in new if w and w.encode() not in known]
-        for word, x in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+                others[text] = None
+        cores = [w for w in cores if w.encode() not in known]
+        if self.suffix and cores:
+            # Words of letters are one unit each, so one text of them all can be cut at the ids that end a unit.
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(cores)], add_special_tokens=False)[0].ids, "<u4")
+            cut = 4 * (np.flatnonzero(np.frombuffer(self.ends, np.uint8)[ids]) + 1)
+            if len(cut) == len(cores):
+                packed, low = ids.tobytes(), 0
+                for core, high in zip(cores, cut.tolist()):
+                    known[core.encode()] = packed[low:high]
+                    low = high
+                cores = []
+        rest = [w for w in [*cores, *others] if w.encode() not in known]
+        for word, x in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
             known[word.encode()] = np.array(x.ids, "<u4").tobytes()
-        for word, (core, tail) in parts:
+        for word, core, tail in parts:
             known[word] = known[core.encode()] + (known[tail.encode()] if tail else b"")
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        known, split = self.ids, [t.split() for t in texts]
-        self.learn({w for words in split for w in words})
-        return [b"".join([known[w] for w in words]) for words in split]
+        if len(self.ids) > WORDS:
+            self.ids.clear()
+        get = self.ids.get
+        split = [t.split() for t in texts]
+        parts = [list(map(get, words)) for words in split]
+        lacking = [k for k, p in enumerate(parts) if None in p]
+        self.learn({w for k in lacking for w, p in zip(split[k], parts[k]) if p is None})
+        for k in lacking:
+            parts[k] = [get(w) if p is None else p for w, p in zip(split[k], parts[k])]
+        return [b"".join(p) for p in parts]
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, window: int = 4096, with_ids: bool = True) -> DataFrame:
