@@ -9,12 +9,13 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grove.llm.common import pick, saved, utf8
+from grove.llm.common import pick, saved, utf8, worker_state
 from grove.llm.sampling import labelled_sample
 
 SENTENCE = re.compile(r"[^.!?\n]+")
@@ -70,6 +71,16 @@ class ToxicityModel:
     weights: dict[str, float]
     bias: float
 
+    def __post_init__(self):
+        # What a word must begin with to have any weight.
+        self.heads = {f.split(" ", 1)[1][:3] for f in self.weights}
+
+    def weight(self, word: str) -> float:
+        word = word.strip(EDGES)
+        if word[:3] not in self.heads:
+            return 0.0
+        return sum(self.weights.get(f, 0.0) for f in features_of(word))
+
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, bound: int = 8_000, max_features: int = 4_096) -> ToxicityModel:
     """Learn from ``bound`` labelled rows of each class at most; ``learn`` is a condition on ``doc_id``.
@@ -125,7 +136,6 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, bound: in
 
 def score_text(text: str, model: ToxicityModel, known: dict[str, float], threshold: float = 0.5):
     """Document probability, and ``(start, end, probability)`` of sentences at ``threshold`` or above, in code points."""
-    weights = model.weights
     hot = {}
     lowered = text.lower()
     if len(lowered) != len(text):  # a few letters grow in lower case; offsets must stay
@@ -135,7 +145,7 @@ def score_text(text: str, model: ToxicityModel, known: dict[str, float], thresho
         if w is None:
             if len(known) >= CACHE:
                 known.clear()
-            w = known[word] = sum(weights.get(f, 0.0) for f in features_of(word))
+            w = known[word] = model.weight(word)
         if w:
             hot[word] = w
     spans = sentences_of(lowered)
@@ -144,7 +154,8 @@ def score_text(text: str, model: ToxicityModel, known: dict[str, float], thresho
         return -math.expm1(-calm * len(spans)), []
     q, found = 0.0, []
     for a, b in spans:
-        z = model.bias + sum(weights.get(f, 0.0) for w in lowered[a:b].split() for f in features_of(w))
+        # Words are cut again inside the sentence, as it may begin or end within one.
+        z = model.bias + sum(hot[w] if w in hot else known[w] if w in known else model.weight(w) for w in lowered[a:b].split())
         q -= z + math.log1p(math.exp(-z)) if z > 0 else math.log1p(math.exp(z))
         p = 1 / (1 + math.exp(-z)) if z > -700 else 0.0
         if p >= threshold:
@@ -160,11 +171,13 @@ def score(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5, carry:
     """
     docs = pick(docs, "doc_id", "text", *(c for c in carry if c not in ("doc_id", "text")))
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    key = uuid.uuid4().hex
 
     def judge(batches):
         import pyarrow as pa
 
-        own, known = sent.value, {}
+        own = sent.value
+        known = worker_state(f"toxic {key}", dict)
         spans = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
         for batch in batches:
             found = [score_text(t.decode(), own, known, threshold) for t in utf8(batch.column(1))]
