@@ -41,13 +41,12 @@ def loss_sql(loss: str, s: str, y: str, engine: str = "leafwise", shift: float =
             "MODLS": f"CASE WHEN {margin} < 1 THEN ({margin} - 1) * ({margin} - 1) ELSE 0D END",
             "LOGISTIC": f"log1p(exp(-{margin}))",
         }[loss]
-    q = f"(1 / (1 + {_exp(f'-({s})')}))"
     return {
         "LS": half_square,
         "Expo": _exp(f"-({margin} - {float(shift)!r}D)"),
         "Log": f"log1p({_exp(f'-{margin}')})",
         "Logit": f"log1p({_exp(f'-2 * {margin}')})",
-        "LogRe": f"(-{y} * ln({q}) - (1 - {y}) * ln(1 - {q}))",
+        "LogRe": f"(log1p({_exp(f'-({s})')}) + (1 - {y}) * greatest(-{EXPONENT_BOUND}, {s}))",
         "LogRe2": f"(2 * log1p({_exp(f'-{residual}')}) + {residual} - 2 * ln(2D))",
         "ModLS": f"CASE WHEN {margin} <= 1 THEN {half_square} ELSE 0D END",
         "ModHuber": f"CASE WHEN {margin} <= -1 THEN -2 * {margin} WHEN {margin} < 1 THEN {half_square} ELSE 0D END",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -17,7 +18,10 @@ CASE_NODES = 150
 
 def number(x: float) -> str:
     """A double literal that keeps every bit."""
-    return f"{float(x)!r}D"
+    x = float(x)
+    if not math.isfinite(x):
+        return f"double('{'NaN' if x != x else 'Infinity' if x > 0 else '-Infinity'}')"
+    return f"{x!r}D"
 
 
 class Access:
@@ -106,10 +110,12 @@ class FlatForest:
             offsets = column.offsets.to_numpy() - first
             count = int(offsets[-1])
             keys = column.keys.slice(first, count).to_numpy(zero_copy_only=False)
-            values = column.items.slice(first, count).to_numpy(zero_copy_only=False).astype(float)
+            items = column.items.slice(first, count)
+            null = items.is_null().to_numpy(zero_copy_only=False)
+            values = items.to_numpy(zero_copy_only=False).astype(float)
             values = np.where(np.isnan(values), VALUE_MIN, values)
             at = np.minimum(np.searchsorted(self.used, keys), len(self.used) - 1)
-            hit = self.used[at] == keys
+            hit = (self.used[at] == keys) & ~null  # NULL is as good as absent
             row = np.repeat(np.arange(len(column)), np.diff(offsets))
             x = np.tile(fills, (len(column), 1))
             x[row[hit], at[hit]] = values[hit]

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from grove.functions.trees import number
 from grove.operators.prepare import VALUE_MIN
 from grove.operators.ranking import TARGET_ROWS, running_sums
 from grove.session import cut_lineage
@@ -25,7 +26,7 @@ BIN_L2 = 2.0
 SPARSE_MAX_BINS = 200
 SPARSE_MAX_FEATURES = 80_000
 SPARSE_MIN_OCCURRENCES = 5
-DENSE_MAX_BINS = 255  # our own default; up to 65,000 may be asked for
+DENSE_MAX_BINS = 65_000
 
 # A feature with more distinct values than this is cut by distributed rounds, not in one task.
 LOCAL_VALUES = 500_000
@@ -315,17 +316,22 @@ class BinSet:
 
 
 def _collect_bins(fitted: DataFrame, sparse: bool, extra: list[tuple]) -> BinSet:
-    rows = [tuple(r) for r in fitted.collect()] + extra
-    total = sum(len(r[1]) for r in rows)
+    """Boundaries for the driver and the workers; their number is known before any is collected."""
+    kept = cut_lineage(fitted)
+    total = (kept.agg(F.sum(F.size("boundaries"))).first()[0] or 0) + sum(len(r[1]) for r in extra)
     if total > MAX_BOUNDARIES:
-        raise ValueError(f"{total} boundaries: lower max_bins or max_features")
+        raise ValueError(f"{total} boundaries, which every worker would hold: set max_bins (coarser bins) or max_features")
+    rows = [tuple(r) for r in kept.collect()] + extra
+    kept.unpersist()
     return BinSet({r[0]: np.array(r[1], float) for r in rows}, {r[0]: float(r[2]) for r in rows}, sparse)
 
 
-def _midpoints(summary: DataFrame, max_bins: int) -> DataFrame:
+def _midpoints(summary: DataFrame, max_bins: int | None) -> DataFrame:
     """Boundaries between all distinct values of the features that have at most ``max_bins`` of them."""
-    few = summary.groupBy("feature").agg(F.count(F.lit(1)).alias("_v")).filter(F.col("_v") <= max_bins)
-    values = summary.join(few, "feature", "left_semi").groupBy("feature").agg(
+    if max_bins is not None:
+        few = summary.groupBy("feature").agg(F.count(F.lit(1)).alias("_v")).filter(F.col("_v") <= max_bins)
+        summary = summary.join(few, "feature", "left_semi")
+    values = summary.groupBy("feature").agg(
         F.sort_array(F.collect_list("value")).alias("v")
     )
     between = F.expr("transform(slice(v, 2, size(v)), (x, i) -> 0.5D * (x + v[i]))")
@@ -334,12 +340,12 @@ def _midpoints(summary: DataFrame, max_bins: int) -> DataFrame:
 
 def fit_fine_bins(
     table: DataFrame,
-    max_bins: int = DENSE_MAX_BINS,
+    max_bins: int | None = None,
     min_occurrences: int = 1,
     local_values: int = LOCAL_VALUES,
     target_rows: int = TARGET_ROWS,
 ) -> BinSet:
-    """Every distinct value its own bin where ``max_bins`` allows it, greedy bins for other features.
+    """Every distinct value its own bin; with ``max_bins``, features of more values than that get greedy bins instead.
 
     For sparse tables an absent cell counts as the value 0.
     """
@@ -348,9 +354,11 @@ def fit_fine_bins(
     if sparse:
         summary = cut_lineage(_add_absent(summary, table, min_occurrences, 0.0))
     fine = _collect_bins(_midpoints(summary, max_bins), sparse, [])
-    many = summary.groupBy("feature").agg(F.count(F.lit(1)).alias("_v")).filter(F.col("_v") > max_bins)
-    rest = summary.join(many, "feature", "left_semi")
-    if not many.isEmpty():
+    many = None
+    if max_bins is not None:
+        many = summary.groupBy("feature").agg(F.count(F.lit(1)).alias("_v")).filter(F.col("_v") > max_bins)
+    if many is not None and not many.isEmpty():
+        rest = summary.join(many, "feature", "left_semi")
         fitted, extra = _fit(rest, max_bins, 1.0, BIN_L2, local_values, target_rows)
         greedy = _collect_bins(fitted, sparse, extra)
         fine.boundaries.update(greedy.boundaries)
@@ -425,7 +433,7 @@ def _case_search(value: str, edges: list[float], lo: int = 0, hi: int | None = N
         return str(lo)
     mid = (lo + hi) // 2
     low, high = _case_search(value, edges, lo, mid), _case_search(value, edges, mid + 1, hi)
-    return f"CASE WHEN {value} <= {edges[mid]!r}D THEN {low} ELSE {high} END"
+    return f"CASE WHEN {value} <= {number(edges[mid])} THEN {low} ELSE {high} END"
 
 
 def dense_bins(bins: BinSet, features: str = "features") -> Column:

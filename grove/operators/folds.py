@@ -8,8 +8,13 @@ from pyspark.sql import functions as F
 from grove.operators.ranking import TARGET_ROWS, tile
 
 
+def drawn(key: str, seed: int) -> Column:
+    """A number below 2^60 that looks random but is fixed by key and seed: the first digits of their MD5."""
+    return F.conv(F.substring(F.md5(F.concat_ws("-", F.col(key).cast("string"), F.lit(str(seed)))), 1, 15), 16, 10).cast("bigint")
+
+
 def _order(key: str, shuffle: bool, seed: int) -> Column:
-    return F.xxhash64(F.col(key), F.lit(seed)) if shuffle else F.col(key)
+    return drawn(key, seed) if shuffle else F.col(key)
 
 
 def folds(
@@ -45,5 +50,4 @@ def stratified_folds(
 
 def holdout(df: DataFrame, fraction: float, key: str, seed: int = 0) -> DataFrame:
     """Add ``is_test``: a fixed function of the key, so a re-read table splits the same way."""
-    position = (F.xxhash64(F.col(key), F.lit(seed)).bitwiseAND((1 << 53) - 1)) / F.lit(float(1 << 53))
-    return df.withColumn("is_test", position < fraction)
+    return df.withColumn("is_test", drawn(key, seed) / F.lit(float(1 << 60)) < fraction)

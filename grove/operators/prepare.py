@@ -26,6 +26,13 @@ def clean(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.withColumns({c: clean_value(F.col(c)) for c in cols})
 
 
+def clean_features(table: DataFrame, column: str = "features") -> DataFrame:
+    """``clean`` for an ARRAY or MAP column."""
+    if table.schema[column].dataType.typeName() == "map":
+        return table.withColumn(column, F.transform_values(column, lambda _, v: clean_value(v)))
+    return table.withColumn(column, F.transform(column, clean_value))
+
+
 def training_table(
     df: DataFrame,
     features: Sequence[str] | str,
@@ -39,11 +46,9 @@ def training_table(
     column (sparse, absent entries are missing). ``label`` and ``weight`` may be SQL expressions.
     """
     if isinstance(features, str):
-        kind = df.schema[features].dataType.typeName()
-        if kind == "map":
-            x = F.transform_values(features, lambda _, v: clean_value(v))
-        elif kind == "array":
-            x = F.transform(features, clean_value)
+        if df.schema[features].dataType.typeName() in ("map", "array"):
+            df = clean_features(df, features)
+            x = F.col(features)
         else:
             x = F.array(clean_value(F.col(features)))
     else:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from grove.functions import gains
+from grove.operators.folds import drawn
 
 RELATIVE_TIE = 1e-9  # sums of different task orders differ in the last bits
 BINNED_TIE = 1e-6  # fixed value: gains this close are equal to the binned engine
@@ -108,5 +109,4 @@ def best_splits(scored: DataFrame, tie: float = 0.0) -> DataFrame:
 def sample_features(features: DataFrame, ratio: float, seed: int, step: int = 0) -> DataFrame:
     """A seeded share of the features (at least one); ``features`` has one row per feature."""
     keep = max(1, int(features.count() * ratio))
-    draw = F.xxhash64("feature", F.lit(seed), F.lit(step))
-    return features.orderBy(draw, "feature").limit(keep)
+    return features.orderBy(drawn("feature", seed + step), "feature").limit(keep)

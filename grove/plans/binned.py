@@ -8,7 +8,6 @@ driver afterwards.
 from __future__ import annotations
 
 import copy
-import heapq
 from dataclasses import asdict, dataclass
 
 import numpy as np
@@ -40,7 +39,7 @@ class BinnedParams:
     opt_algorithm: str = "corrective"  # or "greedy": plain boosting with learning_rate
     learning_rate: float = 0.001
     save_frequency: int | None = None
-    max_bins: int = 255
+    max_bins: int | None = None  # None: 65,000 for arrays, 200 for maps
     min_child_weight: float = 5.0
     data_l2: float = 2.0
     sparse_max_features: int = 80_000
@@ -50,6 +49,8 @@ class BinnedParams:
         check_loss(self.loss, "binned")
         for name in ("n_estimators", "max_depth", "max_leaf", "max_bins"):
             value = getattr(self, name)
+            if name == "max_bins" and value is None:
+                continue
             if not isinstance(value, int) or isinstance(value, bool) or value < 1:
                 raise ValueError(f"{name} must be a positive integer")
         if not 0 < self.tree_gain_ratio <= 1:
@@ -69,6 +70,25 @@ class BinnedParams:
         return float(np.ceil(m * n)) if isinstance(m, float) else float(m)
 
 
+def replay(scored: dict[str, dict | None], p: BinnedParams) -> tuple[list[str], list[str]]:
+    """Best-first growth over a table of scored nodes: the paths split, in order, and the leaves that lack a score to go on.
+
+    Growth ends at ``max_leaf`` leaves, without any gain, or once the open gains sum to less than ``tree_gain_ratio`` of the root's.
+    """
+    leaves, order = [""], []
+    while True:
+        lacking = [x for x in leaves if x not in scored and len(x) < p.max_depth]
+        if lacking:
+            return order, lacking
+        open_ = {x: scored[x]["gain"] for x in leaves if scored.get(x)}
+        spent = bool(order) and sum(open_.values()) < p.tree_gain_ratio * scored[""]["gain"]
+        if not open_ or spent or len(leaves) >= p.max_leaf:
+            return order, []
+        best = max(open_, key=open_.get)  # the oldest of equal ones
+        order.append(best)
+        leaves = [x for x in leaves if x != best] + [best + "0", best + "1"]
+
+
 class BinnedTrainer:
     def __init__(self, rows: TrainingRows, params: BinnedParams, n_rows: int, n_features: int, init: list[Tree] | None = None):
         params.check()
@@ -88,23 +108,26 @@ class BinnedTrainer:
 
     # ------------------------------------------------------------ one tree
 
-    def _score_nodes(self, tree: Tree, known: dict[int, dict | None], open_: list[int], early: list[int]) -> dict[tuple, dict | None]:
-        """Best splits of leaves ``open_`` and of both children of the scored leaves ``early``."""
-        wanted = {i: s for s, i in enumerate(open_)}
-        keys: list[tuple] = [(i,) for i in open_]
-        starts = [tree.nodes[i].weight for i in open_]
+    def _score(self, tree: Tree, at: dict[str, int], scored: dict[str, dict | None], wanted: list[str], early: list[str]) -> None:
+        """Add to ``scored`` the best splits of leaves ``wanted`` and of both children of the scored leaves ``early``.
+
+        Nodes go by their path: a digit a level, 0 for left.
+        """
+        keys = [*wanted, *(x + side for x in early for side in "01")]
+        starts = [tree.nodes[at[x]].weight for x in wanted]
         ahead = {}
-        for i in early:
-            c = known[i]
-            ahead[i] = (self.rows.features[c["position"]], c["bin"], len(keys), len(keys) + 1)
-            keys += [(i, 0), (i, 1)]
+        for k, x in enumerate(early):
+            c = scored[x]
+            slot = len(wanted) + 2 * k
+            ahead[at[x]] = (self.rows.features[c["position"]], c["bin"], slot, slot + 1)
             starts += [c["w_left"], c["w_right"]]
         collected = self.rows.fits_driver(len(keys))
-        hist = self.rows.histogram(frontier_sql(tree, self.rows.access, wanted, ahead), starts, totals=collected)
+        slots = frontier_sql(tree, self.rows.access, {at[x]: s for s, x in enumerate(wanted)}, ahead)
+        hist = self.rows.histogram(slots, starts, totals=collected)
         l1, l2 = self.p.l1, self.p.l2
+        scored.update(dict.fromkeys(keys))
         if collected:
             found = self.rows.collect_histogram(hist, len(keys))
-            out = {}
             for s, key in enumerate(keys):
                 p0 = starts[s]
                 total = found[s][:2, 0, :].sum(axis=1)
@@ -115,74 +138,42 @@ class BinnedTrainer:
                     b, xr = gains.solve_l1l2(hr, p0 * hr + gr, l1, l2)
                     return {"gain": whole - (a + b), "w_left": xl, "w_right": xr, "w_node": float(x0)}
 
-                out[key] = best_of(found[s], gain, min_sample=self.min_sample, tie=BINNED_TIE)
-            return out
+                scored[key] = best_of(found[s], gain, min_sample=self.min_sample, tie=BINNED_TIE)
+            return
         facts = self.rows.spark.createDataFrame(
             [(s, 0, float(w)) for s, w in enumerate(starts)], "node int, depth int, weight double"
         )
-        scored = split_gain(split_candidates(hist, min_sample=self.min_sample), "binned", l1=l1, l2=l2, node_facts=facts)
-        out = {key: None for key in keys}
-        for r in best_splits(scored, BINNED_TIE).collect():
-            out[keys[r["node"]]] = {
+        cuts = split_gain(split_candidates(hist, min_sample=self.min_sample), "binned", l1=l1, l2=l2, node_facts=facts)
+        for r in best_splits(cuts, BINNED_TIE).collect():
+            scored[keys[r["node"]]] = {
                 "gain": r["gain"], "w_left": r["left_weight"], "w_right": r["right_weight"], "w_node": r["node_weight"],
                 "position": self.rows.position[r["feature"]], "bin": r["bin"], "n_left": r["n_left"], "n_right": r["n_right"],
             }
-        return out
 
-    def grow_tree(self) -> Tree:
-        p = self.p
-        tree = Tree([Node(n=self.n_rows)])
-        known: dict[int, dict | None] = {}  # by node
-        children: dict[tuple, dict | None] = {}  # by (node, side), scored ahead
-
-        def score(open_: list[int], queue: list) -> None:
-            """Score ``open_``; the same job scores one level ahead below every queued node."""
-            early = [
-                i for _, i in queue
-                if known.get(i) and (i, 0) not in children and tree.nodes[i].depth + 1 < p.max_depth
-            ]
-            for key, c in self._score_nodes(tree, known, open_, early).items():
-                if len(key) == 1:
-                    known[key[0]] = c
-                else:
-                    children[key] = c
-
-        def gain_of(i: int) -> float:
-            c = known.get(i)
-            return c["gain"] if c else 0.0
-
-        score([0], [])
-        if known[0] is not None:
-            tree.nodes[0].weight = known[0]["w_node"]
-        queue = [(-gain_of(0), 0)]
-        open_gain = gain_of(0)
-        least = p.tree_gain_ratio * open_gain
-        at_root = True
-        while queue and len(queue) < p.max_leaf:
-            _, i = heapq.heappop(queue)
-            if open_gain < least and not at_root:
-                continue
-            at_root = False
-            open_gain -= gain_of(i)
-            node, c = tree.nodes[i], known.get(i)
-            if node.depth >= p.max_depth or c is None:
-                continue
-            sides = tree.split(
-                i, self.rows.features[c["position"]], c["bin"], c["gain"],
+    def _built(self, order: list[str], scored: dict[str, dict | None]) -> tuple[Tree, dict[str, int]]:
+        """The tree after the splits ``order``, and the node number of each path. Scored nodes have their own best weight."""
+        tree, at = Tree([Node(n=self.n_rows)]), {"": 0}
+        for x in order:
+            c = scored[x]
+            at[x + "0"], at[x + "1"] = tree.split(
+                at[x], self.rows.features[c["position"]], c["bin"], c["gain"],
                 {"weight": c["w_left"], "n": c["n_left"]}, {"weight": c["w_right"], "n": c["n_right"]},
             )
-            if node.depth + 1 < p.max_depth:
-                if (i, 0) in children:
-                    for side, child in enumerate(sides):
-                        known[child] = children.pop((i, side))
-                else:
-                    score(list(sides), queue)
-                for child in sides:
-                    if known[child] is not None:
-                        tree.nodes[child].weight = known[child]["w_node"]
-            for child in sides:
-                heapq.heappush(queue, (-gain_of(child), child))
-                open_gain += gain_of(child)
+        for x, i in at.items():
+            if scored.get(x):
+                tree.nodes[i].weight = scored[x]["w_node"]
+        return tree, at
+
+    def grow_tree(self) -> Tree:
+        """Rounds of a job that scores what the replay lacks, with one level ahead below every scored leaf."""
+        scored: dict[str, dict | None] = {}
+        order, lacking = [], [""]
+        while lacking:
+            tree, at = self._built(order, scored)
+            early = [x for x in at if scored.get(x) and x + "0" not in at and x + "0" not in scored and len(x) + 1 < self.p.max_depth]
+            self._score(tree, at, scored, lacking, early)
+            order, lacking = replay(scored, self.p)
+        tree, _ = self._built(order, scored)
         for node in tree.nodes:
             if node.left >= 0:
                 node.weight = 0.0
@@ -215,16 +206,12 @@ class BinnedTrainer:
         self.path.append(forest.set_cuts(self.rows.bins))
 
     def _order(self) -> list[int]:
-        """Trees to update: some older ones round robin, then the newest in order."""
+        """Trees to update: the next few in turn as far as they are older, then the newest in order."""
         count = len(self.trees)
-        newest = min(NEWEST_TREES, count)
-        out = []
-        for _ in range(OLDER_UPDATES):
-            i = self.cursor % count
-            self.cursor += 1
-            if i < count - newest:
-                out.append(i)
-        return out + list(range(count - newest, count))
+        oldest_new = max(0, count - NEWEST_TREES)
+        turn = [k % count for k in range(self.cursor, self.cursor + OLDER_UPDATES)]
+        self.cursor += OLDER_UPDATES
+        return [t for t in turn if t < oldest_new] + list(range(oldest_new, count))
 
     def correct(self) -> None:
         order = self._order()

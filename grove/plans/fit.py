@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -12,8 +12,8 @@ from pyspark.storagelevel import StorageLevel
 
 from grove.forest import Forest, Tree
 from grove.functions.losses import CLASSIFICATION
-from grove.operators.binning import BinSet, fit_bins, fit_fine_bins, fit_sparse_bins
-from grove.operators.prepare import center_target, class_list, validate
+from grove.operators.binning import DENSE_MAX_BINS, SPARSE_MAX_BINS, BinSet, fit_bins, fit_fine_bins, fit_sparse_bins
+from grove.operators.prepare import center_target, class_list, clean_features, validate
 from grove.plans.binned import BinnedParams, BinnedTrainer
 from grove.plans.leafwise import LeafwiseParams, LeafwiseTrainer
 from grove.plans.rows import TrainingRows, binned_rows, maybe_collapse
@@ -50,10 +50,10 @@ def find_bins(table: DataFrame, params: LeafwiseParams | BinnedParams) -> BinSet
         return fit_fine_bins(table, params.max_bins)
     if _is_sparse(table):
         return fit_sparse_bins(
-            table, min(params.max_bins, 200), params.min_child_weight, params.data_l2,
+            table, params.max_bins or SPARSE_MAX_BINS, params.min_child_weight, params.data_l2,
             params.sparse_min_occurrences, params.sparse_max_features,
         )
-    return fit_bins(table, params.max_bins, params.min_child_weight, params.data_l2)
+    return fit_bins(table, params.max_bins or DENSE_MAX_BINS, params.min_child_weight, params.data_l2)
 
 
 def _with_cuts(bins: BinSet, forest: Forest | None) -> BinSet:
@@ -92,14 +92,22 @@ def fit_forest(
     init_model: Forest | None = None,
     facts: dict | None = None,
 ) -> Fitted:
-    """Train on ``(features, label, weight)``; classification losses expect labels +1 / -1."""
+    """Train on ``(features, label, weight)``; classification losses expect labels +1 / -1.
+
+    Features are cleaned first. A table without any feature to cut gives a forest of its constant alone.
+    """
     params.check()
+    table = clean_features(table)
     leafwise = isinstance(params, LeafwiseParams)
     facts = facts or validate(table, params.loss in CLASSIFICATION, init_model.n_features if init_model else None)
     constant = 0.0
     if leafwise and params.normalize:
         table, constant = center_target(table)
     bins = _with_cuts(bins or find_bins(table, params), init_model)
+    if not bins.features:
+        missing = "zero" if leafwise and bins.sparse else "lowest"
+        name = "leafwise" if leafwise else "binned"
+        return Fitted([Forest([], constant, width_of(table, facts), missing, params.loss, name, config=asdict(params))], bins)
     return train_on_bins(binned_rows(table, bins, facts["rows"]), bins, params, facts["rows"], width_of(table, facts), constant, init_model)
 
 
@@ -147,10 +155,13 @@ class Classifier:
 
 
 def fit_classifier(
-    table: DataFrame, label: str, params: LeafwiseParams | BinnedParams, classes: Sequence | None = None
+    table: DataFrame, label: str, params: LeafwiseParams | BinnedParams, classes: Sequence | None = None, max_classes: int = 10_000
 ) -> Classifier:
-    """``table`` has ``features, weight`` and the class column ``label``; one-vs-rest beyond two classes."""
-    classes = class_list(table, label) if classes is None else sorted(classes)
+    """``table`` has ``features, weight`` and the class column ``label``; one-vs-rest beyond two classes.
+
+    ``max_classes`` guards against a column that is no class at all: every class is a forest of its own.
+    """
+    classes = class_list(table, label, max_classes) if classes is None else sorted(classes)
     source = table.persist(StorageLevel.MEMORY_AND_DISK)
     shared: BinSet | None = None
     fits = []

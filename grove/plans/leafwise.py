@@ -9,6 +9,7 @@ of the newest tree partition the rows, so it is the sum of theirs.
 
 from __future__ import annotations
 
+import math
 from dataclasses import asdict, dataclass
 
 import numpy as np
@@ -51,7 +52,7 @@ class LeafwiseParams:
     exit_delta: float = 0.0
     feature_ratio: float | None = None
     seed: int = 1
-    max_bins: int = 255
+    max_bins: int | None = None  # None: a bin for every distinct value
 
     def check(self) -> None:
         check_loss(self.loss, "leafwise")
@@ -89,13 +90,10 @@ class LeafwiseParams:
 
 
 def adjusted_test_interval(test: int, opt: int) -> int:
-    """A multiple of the correction interval, or a divisor of it."""
+    """The multiple of the correction interval next to ``test``; below it, its least divisor that reaches ``test``."""
     if test > opt:
-        return (test + opt // 2) // opt * opt
-    parts = opt // test
-    while opt % parts:
-        parts -= 1
-    return opt // parts
+        return opt * math.floor(test / opt + 0.5)
+    return min(d for d in range(test, opt + 1) if opt % d == 0)
 
 
 class _Timer:

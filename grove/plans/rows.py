@@ -20,8 +20,6 @@ DRIVER_CELLS = 10_000_000
 # Pending trees are folded into the stored score before their expression gets long.
 PENDING_NODES = 100
 SMALL_TABLE = 8_000_000
-ROWS_PER_TASK = 50_000
-SMALL_PARTS = 16
 
 
 def binned_rows(table: DataFrame, bins: BinSet, n_rows: int) -> DataFrame:
@@ -58,10 +56,7 @@ def maybe_collapse(rows: DataFrame, loss: str, n_rows: int) -> DataFrame:
     distinct = rows.agg(F.approx_count_distinct(key)).first()[0]
     if distinct >= 0.5 * n_rows:
         return rows
-    merged = collapse(rows, loss)
-    # Few rows are left: fewer, fuller partitions save a shuffle or at least most of its tasks.
-    parts = -(-distinct // ROWS_PER_TASK)
-    return merged.coalesce(parts) if parts <= SMALL_PARTS else merged
+    return collapse(rows, loss)
 
 
 class TrainingRows:

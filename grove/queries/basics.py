@@ -399,10 +399,15 @@ def c_folds(spark, sf):
     return df.withColumn("fold", F.col("fold").cast("bigint"))
 
 
-@register("c_folds_shuffled")
+@register(
+    "c_folds_shuffled",
+    """WITH f AS (SELECT event_id, ntile(5) OVER (ORDER BY CAST('0x' || substr(md5(CAST(event_id AS VARCHAR) || '-11'), 1, 15) AS BIGINT), event_id) AS fold FROM events)
+ SELECT CAST(fold AS BIGINT) AS fold, count(*) AS n, min(event_id) AS lo, max(event_id) AS hi FROM f GROUP BY fold""",
+)
 def c_folds_shuffled(spark, sf):
     df = fold_ops.folds(read(spark, sf, "events").select("event_id"), 5, "event_id", shuffle=True, seed=11)
-    return df.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("lo"), F.max("event_id").alias("hi"))
+    facts = df.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("lo"), F.max("event_id").alias("hi"))
+    return facts.withColumn("fold", F.col("fold").cast("bigint"))
 
 
 @register(
@@ -425,7 +430,11 @@ def c_folds_by_range(spark, sf):
     return df.select("o_orderkey", F.col("stratum").cast("bigint").alias("stratum"), F.col("fold").cast("bigint").alias("fold"))
 
 
-@register("c_holdout")
+@register(
+    "c_holdout",
+    """WITH h AS (SELECT o_orderkey, CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || '-3'), 1, 15) AS BIGINT) / CAST(1152921504606846976 AS DOUBLE) < 0.2 AS is_test FROM orders)
+ SELECT is_test, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS key_sum FROM h GROUP BY is_test""",
+)
 def c_holdout(spark, sf):
     df = fold_ops.holdout(read(spark, sf, "orders").select("o_orderkey"), 0.2, "o_orderkey", seed=3)
     return df.groupBy("is_test").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("key_sum"))

@@ -55,10 +55,15 @@ TOKENS_SQL = """tokens AS (SELECT doc_id, CAST('0x' || substr(md5(tok), 1, 7) AS
  FROM counts JOIN labels USING (doc_id))"""
 
 
-def document_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(doc_id, feature, value)``: token counts of the labelled documents."""
-    labels = read(spark, sf_dir, "labels").select("doc_id")
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id", "left_semi")
+# The same tokens of all documents, labelled or not.
+ALL_TOKENS_SQL = TOKENS_SQL.split(",\n docs AS")[0]
+
+
+def document_cells(spark: SparkSession, sf_dir: str, labelled: bool = True) -> DataFrame:
+    """``(doc_id, feature, value)``: token counts of all documents, or of the labelled ones."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    if labelled:
+        docs = docs.join(read(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
     # Spread by document first: tokens are then counted and gathered where they are made.
     docs = docs.repartition("doc_id")
     tokens = docs.select("doc_id", F.explode(F.split("text", " ")).alias("tok")).filter("tok <> ''")
@@ -68,6 +73,14 @@ def document_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def unlabelled_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sparse table of the token counts of every document; its label is 0."""
+    rows = document_cells(spark, sf_dir, labelled=False).groupBy("doc_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("feature", "value"))).alias("features")
+    )
+    return training_table(rows, "features", "0D", key="doc_id")
+
+
 def document_table(spark: SparkSession, sf_dir: str, keep: bool = False) -> DataFrame:
     """Sparse training table of token counts with the quality label; one row per labelled document.
 

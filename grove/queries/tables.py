@@ -9,7 +9,7 @@ from grove.operators import binning as B
 from grove.operators import correct, histogram, route, splits
 from grove.queries import register
 from grove.queries.inputs import (
-    BINS_SQL, CELLS_SQL, PRICE, ROWS_SQL, TOKENS_SQL, document_cells, document_table, lineitem, price_table, read, scratch,
+    BINS_SQL, CELLS_SQL, PRICE, ROWS_SQL, TOKENS_SQL, ALL_TOKENS_SQL, document_cells, document_table, lineitem, price_table, read, scratch, unlabelled_table,
 )
 
 
@@ -78,10 +78,10 @@ def b_fit_bins(spark, sf):
 
 @register(
     "b_select_features",
-    "WITH " + TOKENS_SQL + " SELECT CAST(feature AS BIGINT) AS feature, count(*) AS occurrences FROM docs GROUP BY feature HAVING count(*) >= 5",
+    "WITH " + ALL_TOKENS_SQL + " SELECT CAST(feature AS BIGINT) AS feature, count(*) AS occurrences FROM counts GROUP BY feature HAVING count(*) >= 5",
 )
 def b_select_features(spark, sf):
-    return _big(B.select_features(document_table(spark, sf)), "feature")
+    return _big(B.select_features(unlabelled_table(spark, sf)), "feature")
 
 
 _SPARSE_SUMMARY = """, kept AS (SELECT feature, sum(w) AS fw, sum(w * y) AS fwy, count(*) AS fn FROM docs GROUP BY feature HAVING count(*) >= 5),
@@ -394,10 +394,15 @@ def h_sibling(spark, sf):
     return _round(_big(other, "feature", "bin", "n"), 6, "g", "h")
 
 
-@register("h_sample_features")
+@register(
+    "h_sample_features",
+    "WITH " + ALL_TOKENS_SQL + """, f AS (SELECT DISTINCT feature FROM counts),
+ o AS (SELECT feature, row_number() OVER (ORDER BY CAST('0x' || substr(md5(CAST(feature AS VARCHAR) || '-5'), 1, 15) AS BIGINT), feature) AS r FROM f)
+ SELECT CAST(feature AS BIGINT) AS feature FROM o WHERE r <= greatest(1, floor((SELECT count(*) FROM f) * 0.1))""",
+)
 def h_sample_features(spark, sf):
-    features = document_cells(spark, sf).select("feature").distinct()
-    return splits.sample_features(features, 0.1, seed=5)
+    features = document_cells(spark, sf, labelled=False).select("feature").distinct()
+    return _big(splits.sample_features(features, 0.1, seed=5), "feature")
 
 
 # ---------------------------------------------------------------- routing and leaf statistics

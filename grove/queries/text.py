@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from grove.operators.prepare import training_table
 from grove.queries import register
-from grove.queries.inputs import TOKENS_SQL, document_table, read, scratch
+from grove.queries.inputs import ALL_TOKENS_SQL, TOKENS_SQL, document_table, read, scratch, unlabelled_table
 from grove.sources import tables, text
 
 
@@ -47,11 +47,14 @@ def s_labeled_dense(spark, sf):
 _DOCS = "WITH " + TOKENS_SQL + ", num AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_id FROM (SELECT DISTINCT doc_id FROM docs))"
 
 
-@register("s_sparse", _DOCS + " SELECT row_id, CAST(feature AS BIGINT) AS feature, value FROM docs JOIN num USING (doc_id)")
+_ALL_DOCS = "WITH " + ALL_TOKENS_SQL + ", num AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_id FROM (SELECT DISTINCT doc_id FROM counts))"
+
+
+@register("s_sparse", _ALL_DOCS + " SELECT row_id, CAST(feature AS BIGINT) AS feature, value FROM counts JOIN num USING (doc_id)")
 def s_sparse(spark, sf):
     """Sparse text with a header line and 0-based ``index:value`` entries."""
     path = scratch(spark)
-    text.write_table(document_table(spark, sf), path, "header", n_features=1 << 28)
+    text.write_table(unlabelled_table(spark, sf), path, "header", n_features=1 << 28)
     df, _ = text.read_sparse(spark, path)
     return df.select("row_id", F.explode("features").alias("feature", "value")).withColumn("feature", F.col("feature").cast("bigint"))
 
