@@ -14,6 +14,13 @@ from grove.functions.trees import Access, FlatForest
 
 MAX_GRAM = 4096  # columns; the matrix is held by the driver
 BATCH_CELLS = 4_000_000
+CORRECTIONS = ("exact", "quadratic")
+QUADRATIC_LEAVES = 16_384  # the quadratic mode's matrix takes 2 GB of the driver and of each task at this size
+
+
+def check_gram(leaves: int) -> None:
+    if leaves > QUADRATIC_LEAVES:
+        raise ValueError(f"the quadratic correction holds the Gram matrix of {leaves} leaves; use correction='exact' beyond {QUADRATIC_LEAVES}")
 
 
 def leaf_stats(rows: DataFrame) -> DataFrame:
@@ -62,9 +69,9 @@ def gram_long(rows: DataFrame) -> DataFrame:
 def gram_update(
     rows: DataFrame, trees: Sequence, access: Access, columns: list[tuple[int, int]], new: list[int]
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Rows ``new`` of the Gram matrix over ``columns`` (tree, node), and their sums of ``weight * label``.
+    """Rows ``new`` of the Gram matrix over ``columns`` (tree, node), and their sums of ``moment``.
 
-    Each task multiplies its own membership matrix in Arrow batches; only sums are shuffled.
+    ``rows`` has ``bins``, the ``weight`` of the products and the ``moment`` to sum. Each task multiplies its own membership matrix in Arrow batches; only sums are shuffled.
     """
     flat = FlatForest(trees, access.binned)
     fills = access.fills(flat.used)
@@ -87,16 +94,16 @@ def gram_update(
             for lo in range(0, batch.num_rows, step):
                 part = batch.slice(lo, step)
                 w = part.column("weight").to_numpy(zero_copy_only=False)
-                y = part.column("label").to_numpy(zero_copy_only=False)
+                moment = part.column("moment").to_numpy(zero_copy_only=False)
                 leaves = flat.leaves(flat.matrix(part.column("bins"), fills))
                 z = np.zeros((len(w), width + 1))
                 rows_ = np.arange(len(w))[:, None]
                 for k in range(longest):
                     z[rows_, held[leaves, k]] = 1.0  # -1 is the spare last column
                 z = z[:, :width]
-                zw = z[:, chosen] * w[:, None]
-                shared += zw.T @ z
-                target += zw.T @ y
+                own = z[:, chosen]
+                shared += (own * w[:, None]).T @ z
+                target += own.T @ moment
         a, b = np.nonzero(shared)
         yield pa.RecordBatch.from_arrays(
             [
@@ -107,7 +114,7 @@ def gram_update(
             names=["a", "b", "s"],
         )
 
-    parts = rows.select("weight", "label", "bins").mapInArrow(partial, "a int, b int, s double")
+    parts = rows.select("weight", "moment", "bins").mapInArrow(partial, "a int, b int, s double")
     pdf = parts.groupBy("a", "b").agg(F.sum("s").alias("s")).toPandas()  # at most MAX_GRAM^2 cells
     shared, target = np.zeros((len(chosen), width)), np.zeros(len(chosen))
     a, b, s = pdf["a"].to_numpy(int), pdf["b"].to_numpy(int), pdf["s"].to_numpy(float)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from grove.forest import Forest, Node, Tree
 from grove.functions import gains
 from grove.functions.losses import check_loss
-from grove.operators.correct import MAX_GRAM, gram_update
+from grove.operators.correct import CORRECTIONS, MAX_GRAM, check_gram, gram_update
 from grove.operators.splits import BINNED_TIE, best_splits, split_candidates, split_gain
 from grove.plans.leafwise import _change_tree
 from grove.plans.rows import TrainingRows, best_of, frontier_sql
@@ -38,6 +38,7 @@ class BinnedParams:
     l2: float = 1000.0
     opt_algorithm: str = "corrective"  # or "greedy": plain boosting with learning_rate
     learning_rate: float = 0.001
+    correction: str = "exact"  # or "quadratic": one pass over the rows a correction, whatever the number of trees
     save_frequency: int | None = None
     max_bins: int | None = None  # None: 65,000 for arrays, 200 for maps
     min_child_weight: float = 5.0
@@ -53,6 +54,8 @@ class BinnedParams:
                 continue
             if not isinstance(value, int) or isinstance(value, bool) or value < 1:
                 raise ValueError(f"{name} must be a positive integer")
+        if self.correction not in CORRECTIONS:
+            raise ValueError(f"correction must be one of {CORRECTIONS}")
         if not 0 < self.tree_gain_ratio <= 1:
             raise ValueError("tree_gain_ratio must be in (0, 1]")
         if self.l1 < 0 or self.l2 < 0 or self.data_l2 < 0:
@@ -217,7 +220,9 @@ class BinnedTrainer:
         order = self._order()
         total = sum(len(t.leaves()) for t in self.trees)
         before = [[n.weight for n in t.nodes] for t in self.trees]
-        if self.p.loss == "LS" and total <= MAX_GRAM:
+        if self.p.correction == "quadratic":
+            self._correct_by_quadratic(order)
+        elif self.p.loss == "LS" and total <= MAX_GRAM:
             self._correct_by_gram(order)
         else:
             self._correct_by_jobs(order)
@@ -242,7 +247,7 @@ class BinnedTrainer:
         columns = [(t, i) for t, tree in enumerate(self.trees) for i in tree.leaves()]
         known = len(self._columns)
         new = list(range(known, len(columns)))
-        block, wy = gram_update(self.rows.df, self.trees, self.rows.access, columns, new)
+        block, wy = gram_update(self.rows.moments(), self.trees, self.rows.access, columns, new)
         shared, target = np.zeros((len(columns), len(columns))), np.zeros(len(columns))
         shared[:known, :known], target[:known] = self._shared, self._target
         shared[new, :], shared[:, new], target[new] = block, block.T, wy
@@ -255,6 +260,18 @@ class BinnedTrainer:
             g = target[span] - shared[span] @ w
             w[span] += self._update(self.trees[t], self.trees[t].leaves(), g, cover[span])
 
+    def _correct_by_quadratic(self, order: list[int]) -> None:
+        """One job: gradient and curvature of all leaves at the current scores; the updates run on that expansion. Exact under LS."""
+        columns = [(t, i) for t, tree in enumerate(self.trees) for i in tree.leaves()]
+        check_gram(len(columns))
+        curve, slope = gram_update(self.rows.slopes(), self.trees, self.rows.access, columns, list(range(len(columns))))
+        starts = np.cumsum([0] + [len(t.leaves()) for t in self.trees])
+        cover, moved = np.diag(curve), np.zeros(len(columns))
+        for t in order:
+            span = slice(starts[t], starts[t + 1])
+            g = slope[span] - curve[span] @ moved
+            moved[span] += self._update(self.trees[t], self.trees[t].leaves(), g, cover[span])
+
     def _correct_by_jobs(self, order: list[int]) -> None:
         rows = self.rows
         for t in order:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from grove.forest import Forest, Node, Tree
 from grove.functions import gains
 from grove.functions.losses import CLASSIFICATION, EXPO_FAMILY, check_loss, loss_sql
-from grove.operators.correct import MAX_GRAM, gram_update
+from grove.operators.correct import CORRECTIONS, MAX_GRAM, check_gram, gram_update
 from grove.operators.penalty import Shape, derivative_matrix, leaf_terms, split_terms
 from grove.operators.splits import best_splits, split_candidates, split_gain
 from grove.plans.rows import PENDING_NODES, TrainingRows, best_of, frontier_sql
@@ -48,6 +48,7 @@ class LeafwiseParams:
     max_leaf_tree: int | None = None
     passive_root: bool = False
     internal_nodes: bool = False
+    correction: str = "exact"  # or "quadratic": one pass over the rows a sweep, whatever the number of trees
     intercept: bool = False
     exit_delta: float = 0.0
     feature_ratio: float | None = None
@@ -64,6 +65,8 @@ class LeafwiseParams:
             raise ValueError("n_iter must be at least 1")
         if self.algorithm not in ("l2", "opt", "sib"):
             raise ValueError("algorithm must be l2, opt or sib")
+        if self.correction not in CORRECTIONS:
+            raise ValueError(f"correction must be one of {CORRECTIONS}")
         if self.reg_depth < 1:
             raise ValueError("reg_depth must be at least 1")
         if self.l2 < 0 or self.l1 < 0 or (self.sl2 is not None and self.sl2 < 0):
@@ -454,7 +457,9 @@ class LeafwiseTrainer:
         columns = [(t, i) for t, group in groups for i in group]
         own = "own" if self.p.internal_nodes else "weight"
         w = np.array([getattr(self.trees[t].nodes[i], own, 0.0) for t, i in columns])
-        if self.p.loss == "LS" and len(columns) <= MAX_GRAM:
+        if self.p.correction == "quadratic":
+            w = self._correct_by_quadratic(groups, columns, w, branch)
+        elif self.p.loss == "LS" and len(columns) <= MAX_GRAM:
             w = self._correct_by_gram(groups, columns, w)
         else:
             w = self._correct_by_jobs(groups, columns, w, branch)
@@ -546,7 +551,7 @@ class LeafwiseTrainer:
         shared[np.ix_(kept, kept)] = old_shared[np.ix_(source, source)]
         target[kept] = old_target[source]
         if new:
-            block, wy = gram_update(self.rows.df, self.trees, self.rows.access, columns, new)
+            block, wy = gram_update(self.rows.moments(), self.trees, self.rows.access, columns, new)
             shared[new, :] = block
             shared[:, new] = block.T
             target[new] = wy
@@ -589,6 +594,39 @@ class LeafwiseTrainer:
                 break
         return w
 
+    def _correct_by_quadratic(self, groups: list, columns: list, w: np.ndarray, branch: bool) -> np.ndarray:
+        """One job a sweep: the loss is expanded to second order at the sweep's start, and the sweep runs on its leaf Gram matrix.
+
+        Exact under LS. Elsewhere a sweep's later trees see the change that earlier ones made to the gradient, not to the curvature.
+        """
+        check_gram(len(columns))
+        rows, kept_df = self.rows, self.rows.df
+        starts = np.cumsum([0, *(len(group) for _, group in groups)])
+        for sweep in range(self.p.sweeps):
+            if self.p.loss == "Expo":
+                rows.shift = rows.mean_margin()
+            nlam, nsig = self._strengths_now(rows.shift)
+            curve, slope = gram_update(rows.slopes(), self.trees, rows.access, columns, list(range(len(columns))))
+            before, cover, moved = w.copy(), np.diag(curve).copy(), []
+            for k, (t, group) in enumerate(groups):
+                span = slice(starts[k], starts[k + 1])
+                g = slope[span] - curve[span] @ (w - before)
+                new = self._steps(t, group, g, cover[span], w[span], nlam, nsig)
+                moved.append(new - w[span])
+                w[span] = new
+            self._write_weights(columns, w)
+            rows.rescore(self.var_constant, self.trees, 0, keep_old=branch and rows.df is kept_df)
+            if self.p.intercept:
+                sums = rows.slopes().agg(F.sum("moment").alias("g"), F.sum("weight").alias("h")).first()
+                delta = (sums["g"] - nlam * self.var_constant) * self.p.learning_rate / (sums["h"] + nlam)
+                self.var_constant += delta
+                moved.append(np.array([delta]))
+                rows.pending = [*rows.pending, Tree([Node(weight=delta)])]
+            mean_loss, extra = self._monitor()
+            if self._record(sweep, w, moved, mean_loss, extra):
+                break
+        return w
+
     def _monitor(self) -> tuple[float, dict]:
         loss = loss_sql(self.p.loss, "_s", "label")
         row = self.rows.scored().selectExpr(

@@ -118,6 +118,15 @@ class TrainingRows:
         """The stored rows with their current score ``_s`` (and more SQL expressions)."""
         return self.df.selectExpr("label", "weight", "n", "bins", f"{self.score_sql()} AS _s", *extra)
 
+    def moments(self) -> DataFrame:
+        """``weight, moment, bins`` for the Gram matrix of squared loss."""
+        return self.df.selectExpr("weight", "weight * label AS moment", "bins")
+
+    def slopes(self) -> DataFrame:
+        """The same of the loss's second-order expansion at the current scores: ``h`` as weight, ``g`` as moment."""
+        g, h = self.derivative_sql()
+        return self.scored().selectExpr(f"CAST({h} AS DOUBLE) AS weight", f"CAST({g} AS DOUBLE) AS moment", "bins")
+
     def mean_margin(self) -> float:
         row = self.scored().selectExpr("sum(_s * label * n) / sum(n) AS m").first()
         return float(np.clip(row["m"] or 0.0, -500.0, 500.0))

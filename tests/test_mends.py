@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from grove.forest import Forest, Node, Tree
 from grove.functions import trees as tree_functions
 from grove.functions.losses import loss_value
-from grove.plans.binned import BinnedParams, replay
+from grove.plans.binned import BinnedParams, BinnedTrainer, replay
 from grove.plans.fit import find_bins, fit_classifier, fit_forest
 from grove.plans.leafwise import LeafwiseParams, adjusted_test_interval
 
@@ -94,3 +94,47 @@ def test_replay_picks_by_gain_and_stops():
     assert replay(scored, p) == (["", "1", "0", "11"], [])
     assert replay(scored, BinnedParams(max_depth=3, max_leaf=3, tree_gain_ratio=0.1)) == (["", "1"], [])
     assert replay(scored, BinnedParams(max_depth=3, tree_gain_ratio=0.5)) == (["", "1"], [])
+
+
+def events(spark, n=400):
+    rows = [([float(i * 37 % 50), float(i * 11 % 23), float(i * i % 31)], (i * 37 % 50) / 10 + (i * 11 % 23 > 9) + (i % 5) / 7) for i in range(n)]
+    return dense(spark, rows)
+
+
+LEAFWISE = dict(max_leaf=12, min_samples_leaf=5, opt_interval=4, test_interval=12, l2=0.1, reg_depth=1.5)
+BINNED = dict(n_estimators=4, min_samples_leaf=5, max_leaf=5, l2=5.0)
+
+
+@pytest.mark.parametrize("kind, how", [(LeafwiseParams, LEAFWISE), (BinnedParams, BINNED)])
+def test_quadratic_correction_is_exact_under_squares(spark, kind, how):
+    table = events(spark)
+    a, b = (fit_forest(table, kind(**how, correction=c)).forest for c in ("exact", "quadratic"))
+    assert len(a.trees) == len(b.trees)
+    for s, t in zip(a.trees, b.trees):
+        assert [(n.feature, n.bin) for n in s.nodes] == [(n.feature, n.bin) for n in t.nodes]
+        assert all(abs(m.weight - n.weight) < 1e-9 for m, n in zip(s.nodes, t.nodes))
+
+
+def test_quadratic_correction_of_other_losses(spark):
+    table = events(spark).withColumn("label", F.when(F.col("label") > 3, 1.0).otherwise(-1.0))
+    for kind, how in ((LeafwiseParams, LEAFWISE | {"loss": "Log"}), (BinnedParams, BINNED | {"loss": "LOGISTIC"})):
+        losses = []
+        for c in ("exact", "quadratic"):
+            scored = fit_forest(table, kind(**how, correction=c)).forest.transform(table)
+            losses.append(scored.select(F.avg(F.log1p(F.exp(-F.col("label") * F.col(scored.columns[-1]))))).first()[0])
+        assert abs(losses[0] - losses[1]) < 0.01 * losses[0]
+
+
+def test_jobs_of_a_quadratic_correction_do_not_grow(spark, monkeypatch):
+    table = events(spark).withColumn("label", F.when(F.col("label") > 3, 1.0).otherwise(-1.0))
+    jobs, plain = [], BinnedTrainer.correct
+
+    def counted(self):
+        spark.sparkContext.setJobGroup(f"correct {len(jobs)}", "")
+        plain(self)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"correct {len(jobs)}")))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+    monkeypatch.setattr(BinnedTrainer, "correct", counted)
+    fit_forest(table, BinnedParams(**BINNED | {"n_estimators": 6, "loss": "LOGISTIC"}, correction="quadratic"))
+    assert len(jobs) == 6 and jobs[1] == jobs[5] > 0
