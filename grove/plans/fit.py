@@ -155,11 +155,12 @@ class Classifier:
 
 
 def fit_classifier(
-    table: DataFrame, label: str, params: LeafwiseParams | BinnedParams, classes: Sequence | None = None, max_classes: int = 10_000
+    table: DataFrame, label: str, params: LeafwiseParams | BinnedParams, classes: Sequence | None = None, max_classes: int = 10_000,
+    init_models: Sequence[Forest] | None = None,
 ) -> Classifier:
     """``table`` has ``features, weight`` and the class column ``label``; one-vs-rest beyond two classes.
 
-    ``max_classes`` guards against a column that is no class at all: every class is a forest of its own.
+    ``init_models``, a forest for each one to train in the order of ``classes``, are trained further. ``max_classes`` guards against a column that is no class at all: every class is a forest of its own.
     """
     classes = class_list(table, label, max_classes) if classes is None else sorted(classes)
     source = table.persist(StorageLevel.MEMORY_AND_DISK)
@@ -167,7 +168,7 @@ def fit_classifier(
     fits = []
     for k, name in enumerate(classes if len(classes) > 2 else classes[:1]):
         own = source.withColumn("label", F.when(F.col(label) == F.lit(name), F.lit(1.0)).otherwise(F.lit(-1.0)))
-        fitted = fit_forest(own, params, bins=shared)
+        fitted = fit_forest(own, params, bins=shared, init_model=init_models[k] if init_models else None)
         if isinstance(params, LeafwiseParams) and all(g == 0.0 for g in fitted.bins.gains.values()):
             shared = fitted.bins  # one bin per distinct value: the same for every class
         for forest in fitted.path:
