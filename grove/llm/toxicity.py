@@ -34,20 +34,17 @@ def sentences_of(text: str) -> list[tuple[int, int]]:
     return [m.span() for m in SENTENCE.finditer(text) if not m[0].isspace()] or [(0, 0)]
 
 
-def fit_noisy_or(bags: list[tuple[int, int, list[list[int]]]], n_features: int, scale: tuple[float, float] = (1.0, 1.0), steps: int = 400, sparse: float = 0.03):
-    """Weights and bias from bags ``(label, sentences without features, features of each other sentence)``.
+def fit_noisy_or(y, plain, sentences, sizes, cell_f, n_features: int, scale: tuple[float, float] = (1.0, 1.0), steps: int = 400, sparse: float = 0.03):
+    """Weights and bias from arrays: per document its label, the number of its sentences without features and of those with some;
+    per sentence with features their number; and all their features in that order.
 
     Full-batch Adam on the document likelihood; ``scale`` weighs the documents of each class. ``sparse`` is an L1 penalty in
     documents: words that only keep company with toxic ones get no weight of their own.
     """
     import numpy as np
 
-    y = np.array([b[0] for b in bags], float)
-    plain = np.array([b[1] for b in bags], float)
-    doc = np.array([d for d, b in enumerate(bags) for _ in b[2]], np.int64)
-    cell_s = np.array([s for s, x in enumerate(x for b in bags for x in b[2]) for _ in x], np.int64)
-    cell_f = np.array([f for b in bags for x in b[2] for f in x], np.int64)
-    n_s, n_d = len(doc), len(bags)
+    doc, cell_s = np.repeat(np.arange(len(y)), sentences), np.repeat(np.arange(len(sizes)), sizes)
+    n_s, n_d = len(doc), len(y)
     weight = np.where(y > 0, scale[1], scale[0])
     weight /= weight.sum()
     w, m, v = np.zeros(n_features + 1), np.zeros(n_features + 1), np.zeros(n_features + 1)
@@ -82,13 +79,15 @@ class ToxicityModel:
         return sum(self.weights.get(f, 0.0) for f in features_of(word))
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, bound: int = 8_000, max_features: int = 4_096) -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, bound: int = 5_000, max_features: int = 1_024) -> ToxicityModel:
     """Learn from ``bound`` labelled rows of each class at most; ``learn`` is a condition on ``doc_id``.
 
     Features are those whose document frequency leans to label 1 most significantly. Counts and bags are made in
     tasks; the driver gets the chosen features and their places in the sampled sentences. Without rows of both classes
     the model is constant: near 0, or near 1 where only label 1 occurs.
     """
+    import numpy as np
+
     sample, totals, taken = labelled_sample(docs, labels, label, learn, bound)
     # Copies would make every word of a copied document tell: equal texts count once.
     sample = saved(sample.groupBy(F.sha2("text", 256).alias("same")).agg(F.first("text").alias("text"), F.max("y").alias("y")), "toxic-sample")
@@ -129,8 +128,15 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, bound: in
                 plain.append(len(hits) - len(found[-1]))
             yield pa.RecordBatch.from_pydict({"y": batch.column(1), "plain": pa.array(plain, pa.int32()), "hits": pa.array(found, pa.list_(pa.list_(pa.int32())))})
 
-    rows = sample.select("text", "y").mapInArrow(gather, "y int, plain int, hits array<array<int>>").toArrow().to_pylist()
-    weights, bias = fit_noisy_or([(r["y"], r["plain"], r["hits"]) for r in rows], len(chosen), (totals[0] / taken[0], totals[1] / taken[1]))
+    rows = sample.select("text", "y").mapInArrow(gather, "y int, plain int, hits array<array<int>>").toArrow().combine_chunks()
+    order = np.lexsort([rows["plain"].to_numpy(), rows["y"].to_numpy()])  # much the same sums in whatever order rows come
+    rows = rows.take(order)
+    hits = rows["hits"].combine_chunks()
+    inner = hits.flatten()
+    weights, bias = fit_noisy_or(
+        rows["y"].to_numpy().astype(float), rows["plain"].to_numpy().astype(float), np.diff(hits.offsets.to_numpy()), np.diff(inner.offsets.to_numpy()),
+        inner.flatten().to_numpy(), len(chosen), (totals[0] / taken[0], totals[1] / taken[1]),
+    )
     return ToxicityModel({f: float(w) for f, w in zip(chosen, weights) if w}, bias)
 
 
