@@ -70,6 +70,35 @@ def best_fit_decreasing(lengths: list[int], window: int) -> list[tuple[int, int]
     return out
 
 
+def _kinds() -> bytes:
+    """A table of bytes by kind: a letter a-z or digit, a mark, a blank, the lead byte of Latin-1 letters, a continuation, others."""
+    table = bytearray(b"x" * 256)
+    for chars, kind in ((b"abcdefghijklmnopqrstuvwxyz0123456789", "a"), (b".,", "."), (b" ", " "), (b"\xc3", "c"), (bytes(range(0x80, 0xC0)), "b")):
+        for c in chars:
+            table[c] = ord(kind)
+    table[0x97] = table[0xB7] = ord("x")  # the two signs among the Latin-1 letters
+    return bytes(table)
+
+
+KINDS = _kinds()
+# Marks before a blank that may belong to what is before them: not after a letter or digit that we know.
+ODD = (b"x. ", b".. ", b"xb. ", b"bb. ")
+
+
+def units(text: bytes) -> list[bytes]:
+    """A text cut at white space, and before a comma or full stop between a word and a blank; A-Z in lower case.
+
+    The tokenizer does both itself, so the ids stay the same, but fewer words differ. Texts that may hold a special token, or have marks in
+    other places, are cut at white space only.
+    """
+    if b"<|" not in text:
+        text = text.lower()
+        kinds = text.translate(KINDS)
+        if not any(odd in kinds for odd in ODD):
+            text = text.replace(b". ", b" . ").replace(b", ", b" , ")
+    return text.split()
+
+
 class WordTokenizer:
     """Ids of texts by a tokenizer that drops white space, so that every word stands alone and equal words share a result.
 
@@ -98,45 +127,53 @@ class WordTokenizer:
         known = self.ids
         cores, others, parts = {}, {}, []
         for word in words:
+            if word.isalpha() and word.islower():  # a-z only
+                cores[word] = None
+                continue
             text = word.decode()
             core = text.rstrip(".,")
             low = core.lower()
             if low.isalpha() and "\u03a3" not in core:  # capital sigma: its small form depends on its place
                 tail = text[len(core) :]
-                parts.append((word, low, tail))
-                cores[low] = None
+                parts.append((word, low.encode(), tail))
+                cores[low.encode()] = None
                 if tail:
                     others[tail] = None
             else:
                 others[text] = None
-        cores = [w for w in cores if w.encode() not in known]
+        cores = [w for w in cores if w not in known]
         if self.suffix and cores:
             # Words of letters are one unit each, so one text of them all can be cut at the ids that end a unit.
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(cores)], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(cores).decode()], add_special_tokens=False)[0].ids, "<u4")
             cut = 4 * (np.flatnonzero(np.frombuffer(self.ends, np.uint8)[ids]) + 1)
             if len(cut) == len(cores):
                 packed, low = ids.tobytes(), 0
                 for core, high in zip(cores, cut.tolist()):
-                    known[core.encode()] = packed[low:high]
+                    known[core] = packed[low:high]
                     low = high
                 cores = []
-        rest = [w for w in [*cores, *others] if w.encode() not in known]
+        rest = [w for w in [*(c.decode() for c in cores), *others] if w.encode() not in known]
         for word, x in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
             known[word.encode()] = np.array(x.ids, "<u4").tobytes()
         for word, core, tail in parts:
-            known[word] = known[core.encode()] + (known[tail.encode()] if tail else b"")
+            known[word] = known[core] + (known[tail.encode()] if tail else b"")
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         if len(self.ids) > WORDS:
             self.ids.clear()
         get = self.ids.get
-        split = [t.split() for t in texts]
+        split = [units(t) for t in texts]
         parts = [list(map(get, words)) for words in split]
-        lacking = [k for k, p in enumerate(parts) if None in p]
-        self.learn({w for k in lacking for w, p in zip(split[k], parts[k]) if p is None})
-        for k in lacking:
-            parts[k] = [get(w) if p is None else p for w, p in zip(split[k], parts[k])]
+        lacking = []
+        for words, found in zip(split, parts):
+            at = -1
+            for _ in range(found.count(None)):
+                at = found.index(None, at + 1)
+                lacking.append((words[at], found, at))
+        self.learn({word for word, _, _ in lacking})
+        for word, found, at in lacking:
+            found[at] = get(word)
         return [b"".join(p) for p in parts]
 
 
