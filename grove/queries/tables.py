@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
+import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from grove.forest import Forest, Node, Tree
 from grove.operators import binning as B
 from grove.operators import correct, histogram, route, splits
-from grove.queries import register
+from grove.plans.binned import BinnedParams, BinnedTrainer
+from grove.plans.leafwise import LeafwiseParams, LeafwiseTrainer
+from grove.plans.rows import TrainingRows, frontier_sql
+from grove.queries import ORACLES, register
 from grove.queries.inputs import (
     BINS_SQL, CELLS_SQL, PRICE, ROWS_SQL, TOKENS_SQL, ALL_TOKENS_SQL, document_cells, document_table, lineitem, price_table, read, scratch, unlabelled_table,
 )
@@ -514,3 +521,124 @@ def w_soft_step(spark, sf):
 def w_gram(spark, sf):
     ids = _leaves(spark, sf).withColumn("leaves", F.expr("array(leaves[0], leaves[1] + 10)"))
     return _round(_big(correct.gram_long(ids), "a", "b"), 6, "shared", "wy")
+
+
+# ---------------------------------------------------------------- the same by the trainers' own code
+
+
+def _fixed_trees() -> list[Tree]:
+    """The two trees of the SQL above; a leaf weighs an eighth of its number."""
+    one, two = Tree([Node(n=1)]), Tree([Node(n=1)])
+    one.split(0, 0, 23, 1.0, {"n": 1}, {"n": 1})
+    one.split(1, 1, 4, 1.0, {"n": 1}, {"n": 1})
+    two.split(0, 2, 3, 1.0, {"n": 1}, {"n": 1})
+    for tree in (one, two):
+        for i in tree.leaves():
+            tree.nodes[i].weight = i / 8
+    return [one, two]
+
+
+def _trainer_rows(spark, sf, score: float = 0.0) -> TrainingRows:
+    table = price_table(spark, sf)
+    bins = B.fit_fine_bins(table)
+    rows = B.apply_bins(table, bins).select("label", "weight", F.lit(1).cast("bigint").alias("n"), "bins", F.lit(score).alias("score"))
+    return TrainingRows(rows, bins, "LS", "leafwise")
+
+
+@register("r_route_trees", ORACLES["r_route"])
+def r_route_trees(spark, sf):
+    """Rows in the slots that the growing tree gives them."""
+    rows, tree = _trainer_rows(spark, sf), _fixed_trees()[0]
+    slot = frontier_sql(tree, rows.access, {i: i for i in tree.leaves()}, {})
+    df = rows.scored(f"{slot} AS node").groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("label_sum"))
+    return _round(_big(df, "node"), 6, "label_sum")
+
+
+@register("r_update_scores_trees", ORACLES["r_update_scores"])
+def r_update_scores_trees(spark, sf):
+    """Scores with a pending tree, and stored anew by ``rescore``."""
+    rows, tree = _trainer_rows(spark, sf), _fixed_trees()[0]
+    for i, w in ((3, -0.5), (4, 0.25), (2, 0.75)):
+        tree.nodes[i].weight = w
+    slot = frontier_sql(tree, rows.access, {i: i for i in tree.leaves()}, {})
+    rows.pending = [tree]
+    pending = rows.scored(f"{slot} AS node").select("node", "_s")
+    rows.rescore(0.0, [tree], 0)
+    stored = rows.scored(f"{slot} AS node").select("node", "_s")
+    both = pending.unionByName(stored).groupBy("node").agg((F.sum("_s") / 2).alias("score_sum"))
+    return _round(_big(both, "node"), 3, "score_sum")
+
+
+def _trainer_sums(spark, sf):
+    """``(tree number, tree, leaves, g, h)`` of both trees at score 40."""
+    rows = _trainer_rows(spark, sf, 40.0)
+    return [(t, tree, tree.leaves(), *rows.group_sums(tree, tree.leaves())) for t, tree in enumerate(_fixed_trees())]
+
+
+@register("w_leaf_stats_trees", ORACLES["w_leaf_stats"])
+def w_leaf_stats_trees(spark, sf):
+    found = [(t, i, float(g), float(h), int(round(h))) for t, _, leaves, gs, hs in _trainer_sums(spark, sf) for i, g, h in zip(leaves, gs, hs)]
+    return _round(spark.createDataFrame(found, "tree bigint, leaf bigint, g double, h double, n bigint"), 6, "g", "h")
+
+
+def _stepped(spark, found):
+    df = spark.createDataFrame(found, "tree bigint, leaf bigint, delta double, new_weight double")
+    return _round(df, 6, "delta", "new_weight")
+
+
+def _newton(spark, sf, loss: str, nsig: float):
+    trainer = SimpleNamespace(p=LeafwiseParams(learning_rate=0.5, reg_depth=1.2, loss=loss), trees=_fixed_trees())
+    found = []
+    for t, tree, leaves, g, h in _trainer_sums(spark, sf):
+        w = np.array([tree.nodes[i].weight for i in leaves])
+        new = LeafwiseTrainer._steps(trainer, t, leaves, g, h, w, 50.0, nsig)
+        found += [(t, i, float(b - a), float(b)) for i, a, b in zip(leaves, w, new)]
+    return _stepped(spark, found)
+
+
+@register("w_newton_step_trees", ORACLES["w_newton_step"])
+def w_newton_step_trees(spark, sf):
+    return _newton(spark, sf, "LS", 0.0)
+
+
+@register("w_newton_step_l1_trees", ORACLES["w_newton_step_l1"])
+def w_newton_step_l1_trees(spark, sf):
+    """Steps of the exponential losses are limited to 1."""
+    return _newton(spark, sf, "Log", 300.0)
+
+
+@register("w_soft_step_trees", ORACLES["w_soft_step"])
+def w_soft_step_trees(spark, sf):
+    trainer, found = SimpleNamespace(p=BinnedParams(l1=5.0, l2=1000.0)), []
+    for t, tree, leaves, g, h in _trainer_sums(spark, sf):
+        delta = BinnedTrainer._update(trainer, tree, leaves, g, h)
+        found += [(t, i, float(d), float(tree.nodes[i].weight)) for i, d in zip(leaves, delta)]
+    return _stepped(spark, found)
+
+
+@register("w_gram_tasks", ORACLES["w_gram"])
+def w_gram_tasks(spark, sf):
+    """The Gram matrix as the corrections build it, from sums of each task."""
+    rows, trees = _trainer_rows(spark, sf), _fixed_trees()
+    columns = [(t, i) for t, tree in enumerate(trees) for i in tree.leaves()]
+    shared, target = correct.gram_update(rows.moments(), trees, rows.access, columns, list(range(len(columns))))
+    number = [10 * t + i for t, i in columns]
+    found = [
+        (number[a], number[b], float(shared[a, b]), float(target[a]) if a == b else None)
+        for a in range(len(columns)) for b in range(a, len(columns)) if shared[a, b]
+    ]
+    return _round(spark.createDataFrame(found, "a bigint, b bigint, shared double, wy double"), 6, "shared", "wy")
+
+
+@register("b_revert_cuts_forest", ORACLES["b_revert_cuts"])
+def b_revert_cuts_forest(spark, sf):
+    """Cuts as a finished forest gets them."""
+    bins = B.fit_fine_bins(price_table(spark, sf))
+    trees = []
+    for feature, edges in bins.boundaries.items():
+        for bin_ in range(len(edges)):
+            trees.append(Tree([Node(n=1)]))
+            trees[-1].split(0, feature, bin_, 1.0, {"n": 1}, {"n": 1})
+    nodes = Forest(trees).set_cuts(bins).trees
+    found = [(t.nodes[0].feature, t.nodes[0].bin, float(t.nodes[0].cut)) for t in nodes]
+    return _round(spark.createDataFrame(found, "feature bigint, bin bigint, cut double"), 6, "cut")
