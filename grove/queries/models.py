@@ -17,7 +17,8 @@ from grove.plans.leafwise import LeafwiseParams
 from grove.plans.validate import cross_validate, evaluate_path, sweep
 from grove.queries import forest_sql as S
 from grove.queries import register
-from grove.queries.inputs import FEATURES, RETURNED, ROWS_SQL, document_table, lineitem, price_table, read, scratch
+from grove.functions.losses import loss_value
+from grove.queries.inputs import FEATURES, PRICE, RETURNED, ROWS_SQL, document_table, lineitem, price_table, read, scratch
 
 CENTRED = "l_extendedprice / 1000 - 53"
 L1, L2, RATE = 1.0, 10.0, 0.5
@@ -447,3 +448,35 @@ def c_cross_validate(spark, sf):
 def c_sweep(spark, sf):
     table = price_table(spark, sf)
     return sweep(table, table, _leafwise(max_leaf=6), {"l2": [0.1, 1.0]})
+
+
+@register(
+    "t_limits",
+    """SELECT * FROM (VALUES ('max_depth', CAST(4 AS BIGINT), CAST(1 AS BIGINT), CAST(2 AS BIGINT)), ('max_leaf_tree', 4, 1, 2),
+ ('passive_root', 1, NULL, 8)) v(limited, trees, depth, most_leaves)""",
+)
+def t_limits(spark, sf):
+    """Eight leaves under each limit: stumps by depth or by leaves of a tree, or one tree as long as a leaf can be split."""
+    table = price_table(spark, sf)
+    found = []
+    for name, value in (("max_depth", 1), ("max_leaf_tree", 2), ("passive_root", True)):
+        trees = fit_forest(table, _leafwise(max_leaf=8, **{name: value})).forest.trees
+        depth = max(t.max_depth() for t in trees) if name != "passive_root" else None
+        found.append((name, len(trees), depth, max(len(t.leaves()) for t in trees)))
+    return spark.createDataFrame(found, "limited string, trees bigint, depth bigint, most_leaves bigint")
+
+
+@register("t_losses", "SELECT loss, true AS lower FROM (VALUES ('Logit'), ('LogRe'), ('LogRe2'), ('Abs'), ('Expo'), ('Log')) v(loss)")
+def t_losses(spark, sf):
+    """Training under every other loss lowers it from where it starts."""
+    found = []
+    for loss in ("Logit", "LogRe", "LogRe2", "Abs", "Expo", "Log"):
+        table = price_table(spark, sf, RETURNED if loss not in ("Abs", "LogRe2") else PRICE)
+        if loss == "LogRe":
+            table = table.withColumn("label", F.greatest(F.col("label"), F.lit(0.0)))
+        params = _leafwise(max_leaf=4, opt_interval=4, test_interval=4, loss=loss, normalize=loss in ("Abs", "LogRe2"), n_iter=2)
+        forest = fit_forest(table, params).forest
+        scored = forest.transform(table)
+        before, after = scored.select(F.avg(loss_value(loss, repr(forest.constant) + "D", "label")), F.avg(loss_value(loss, "score", "label"))).first()
+        found.append((loss, after < before))
+    return spark.createDataFrame(found, "loss string, lower boolean")
