@@ -133,6 +133,8 @@ class LeafwiseTrainer:
         self.stats: dict[tuple[int, int], np.ndarray] = {}
         self.ready: dict[tuple[int, int], dict | None] = {}  # splits chosen by a job (large histograms)
         self.ahead: dict[tuple[int, int], tuple] = {}
+        self.chosen: dict[tuple, dict | None] = {}  # best splits found in self.stats; they hold until weights change
+        self.root_rest: np.ndarray | None = None  # the root's sums without the leaf that was split last
         self.scale = 1.0
         self.corrected = True
         self.step = 0
@@ -163,6 +165,8 @@ class LeafwiseTrainer:
         self.stats.clear()
         self.ready.clear()
         self.ahead.clear()
+        self.chosen.clear()
+        self.root_rest = None
 
     def _splittable(self, node: Node) -> bool:
         if self.p.max_depth and node.depth >= self.p.max_depth:
@@ -240,7 +244,10 @@ class LeafwiseTrainer:
             return self.ready[key]
         if key not in self.stats:
             return None
-        return best_of(self.stats[key], self._gain(key), self.min_rows, allowed=allowed)
+        memo = (key, None if allowed is None else self.step)
+        if memo not in self.chosen:
+            self.chosen[memo] = best_of(self.stats[key], self._gain(key), self.min_rows, allowed=allowed)
+        return self.chosen[memo]
 
     # ------------------------------------------------------------ histograms
 
@@ -275,8 +282,10 @@ class LeafwiseTrainer:
             if self.ready:
                 self._collect("0", [ROOT], [0.0], {})
             else:
-                # Exact for every loss: each leaf's sums are at the current scores of its rows.
-                self.stats[ROOT] = sum(self.stats[newest, i] for i in self.trees[newest].leaves())
+                # Exact for every loss: each leaf's sums are at the current scores of its rows. Only the last split's children are new.
+                leaves = self.trees[newest].leaves()
+                rest, new = (0.0, leaves) if self.root_rest is None else (self.root_rest, [i for i in leaves if (newest, i) in self.new_leaves])
+                self.stats[ROOT] = rest + sum(self.stats[newest, i] for i in new)
 
     def _likely(self, t: int, tree: Tree) -> list[int]:
         """Open leaves whose split may be asked for next, best first."""
@@ -369,8 +378,10 @@ class LeafwiseTrainer:
         self.leaf_count += 2 if at_root else 1
         self.corrected = False
         self.step += 1
-        self.stats.pop(key, None)
-        self.stats.pop(ROOT, None)
+        parent, root = self.stats.pop(key, None), self.stats.pop(ROOT, None)
+        self.chosen = {} if self.p.algorithm != "l2" else {k: x for k, x in self.chosen.items() if k[0] not in (key, ROOT)}
+        self.new_leaves = {(t, child) for child in children}
+        self.root_rest = root - parent if root is not None and parent is not None and not at_root else None
         if at_root:
             self.rows.settle(self.var_constant, self.trees, self._growing())
         if at_root or self.p.n_tree_search > 1 or self.ready:
