@@ -138,3 +138,21 @@ def test_jobs_of_a_quadratic_correction_do_not_grow(spark, monkeypatch):
     monkeypatch.setattr(BinnedTrainer, "correct", counted)
     fit_forest(table, BinnedParams(**BINNED | {"n_estimators": 6, "loss": "LOGISTIC"}, correction="quadratic"))
     assert len(jobs) == 6 and jobs[1] == jobs[5] > 0
+
+
+def test_options_of_the_leafwise_engine(spark):
+    table = events(spark)
+    loss = lambda f: f.transform(table).select(F.avg(F.pow(F.col("label") - F.col("score"), 2))).first()[0]
+    plain = fit_forest(table, LeafwiseParams(**LEAFWISE))
+    once = fit_forest(table, LeafwiseParams(**LEAFWISE, exit_delta=1e9))
+    assert max(r["sweep"] for r in once.log) == 1 < max(r["sweep"] for r in plain.log)
+    free = fit_forest(table, LeafwiseParams(**LEAFWISE, normalize=False, intercept=True))
+    assert free.forest.constant != 0 and loss(free.forest) < 2 * loss(plain.forest)
+    few, again = (fit_forest(table, LeafwiseParams(**LEAFWISE, feature_ratio=0.34)).forest for _ in range(2))
+    shape = lambda f: [[(n.feature, n.bin) for n in t.nodes] for t in f.trees]
+    assert shape(few) == shape(again) != shape(plain.forest)
+
+
+def test_models_on_the_way(spark):
+    path = fit_forest(events(spark), BinnedParams(**BINNED | {"n_estimators": 5}, save_frequency=2)).path
+    assert [len(f.trees) for f in path] == [2, 4, 5]
