@@ -66,12 +66,15 @@ def utf8(column) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
-def worker_state(key: str, make):
-    """What ``make`` returned for ``key`` the first time in this Python worker: caches outlive the task, but hold no results that matter."""
+def worker_state(kind: str, key: str, make):
+    """What ``make`` returned for ``key`` the first time in this Python worker; of each kind the last one is kept.
+
+    Caches outlive the task, but hold no results that matter.
+    """
     import sys
     import types
 
     keep = sys.modules.setdefault("_grove_worker", types.ModuleType("_grove_worker")).__dict__
-    if key not in keep:
-        keep[key] = make()
-    return keep[key]
+    if keep.get(kind, ("",))[0] != key:
+        keep[kind] = key, make()
+    return keep[kind][1]

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from grove.llm.common import pick, saved, utf8, worker_state
 
 GROUP = 20_000  # pieces that are packed together
-WORDS = 1_200_000  # words whose ids a task remembers
+WORDS = 600_000  # words whose ids a task remembers
 
 
 class WindowTree:
@@ -193,7 +193,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, window: int = 409
 
         import pyarrow as pa
 
-        words, end = worker_state(f"words {key}", lambda: WordTokenizer(content.value)), end_id.to_bytes(4, "little")
+        words, end = worker_state("words", key, lambda: WordTokenizer(content.value)), end_id.to_bytes(4, "little")
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)

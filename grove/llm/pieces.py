@@ -225,7 +225,7 @@ def encode_texts(docs: DataFrame, model: bytes) -> DataFrame:
     def encode(batches):
         import pyarrow as pa
 
-        codec = worker_state(f"pieces {key}", lambda: PieceCodec(content.value))
+        codec = worker_state("pieces", key, lambda: PieceCodec(content.value))
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)

@@ -20,7 +20,7 @@ from grove.llm.sampling import labelled_sample
 
 SENTENCE = re.compile(r"[^.!?\n]+")
 EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "…“”„«»¿¡"
-CACHE = 300_000  # words whose weights a task remembers
+CACHE = 200_000  # words whose weights a task remembers
 
 
 def features_of(word: str) -> list[str]:
@@ -183,7 +183,7 @@ def score(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5, carry:
         import pyarrow as pa
 
         own = sent.value
-        known = worker_state(f"toxic {key}", dict)
+        known = worker_state("toxic", key, dict)
         spans = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
         for batch in batches:
             found = [score_text(t.decode(), own, known, threshold) for t in utf8(batch.column(1))]
