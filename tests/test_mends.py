@@ -96,13 +96,13 @@ def test_replay_picks_by_gain_and_stops():
     assert replay(scored, BinnedParams(max_depth=3, tree_gain_ratio=0.5)) == (["", "1"], [])
 
 
-def events(spark, n=400):
+def events(spark, n=200):
     rows = [([float(i * 37 % 50), float(i * 11 % 23), float(i * i % 31)], (i * 37 % 50) / 10 + (i * 11 % 23 > 9) + (i % 5) / 7) for i in range(n)]
     return dense(spark, rows)
 
 
-LEAFWISE = dict(max_leaf=12, min_samples_leaf=5, opt_interval=4, test_interval=12, l2=0.1, reg_depth=1.5)
-BINNED = dict(n_estimators=4, min_samples_leaf=5, max_leaf=5, l2=5.0)
+LEAFWISE = dict(max_leaf=8, min_samples_leaf=5, opt_interval=4, test_interval=8, l2=0.1, reg_depth=1.5)
+BINNED = dict(n_estimators=3, min_samples_leaf=5, max_leaf=4, l2=5.0)
 
 
 @pytest.mark.parametrize("kind, how", [(LeafwiseParams, LEAFWISE), (BinnedParams, BINNED)])
@@ -136,8 +136,8 @@ def test_jobs_of_a_quadratic_correction_do_not_grow(spark, monkeypatch):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
     monkeypatch.setattr(BinnedTrainer, "correct", counted)
-    fit_forest(table, BinnedParams(**BINNED | {"n_estimators": 6, "loss": "LOGISTIC"}, correction="quadratic"))
-    assert len(jobs) == 6 and jobs[1] == jobs[5] > 0
+    fit_forest(table, BinnedParams(**BINNED | {"n_estimators": 4, "loss": "LOGISTIC"}, correction="quadratic"))
+    assert len(jobs) == 4 and jobs[1] == jobs[3] > 0
 
 
 def test_options_of_the_leafwise_engine(spark):
