@@ -6,7 +6,7 @@ emits all variants within r/2 bits of itself, and those that emit the same varia
 Variants are shuffled by some of their bits, the bucket. The variants of one fingerprint in one bucket are told by the
 fingerprint and the bucket alone, so this pair stands for all of them in the shuffle and they are spelt out on arrival: for 4 bits and
 12 bucket bits, 79 pairs stand for 2,081 variants. The number of bucket bits follows the number of distinct fingerprints, so that an
-average bucket gets 16,384 of them at most, at any size of the table (30 bits and 466 pairs for 47 billion).
+average bucket gets 16,384 of them at most, at any size of the table (31 bits and 497 pairs for 47 billion).
 
 A bucket that gets more fingerprints than ``CHUNK`` is cut into chunks, each a task's work on its own; variants of such
 buckets also go through a second shuffle, keyed by the variant with the chunk's least fingerprint, so no link between chunks is lost.
