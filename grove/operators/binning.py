@@ -521,7 +521,7 @@ def bin_offsets(bins: DataFrame) -> DataFrame:
 
 def bin_features(binned: DataFrame, bins: DataFrame, key: str = "row_id") -> DataFrame:
     """Sorted global bin ids ``offset + bin`` of every row's (feature, bin) pairs."""
-    ids = binned.join(F.broadcast(bin_offsets(bins)), "feature")
+    ids = binned.join(bin_offsets(bins), "feature")
     return ids.groupBy(key).agg(F.sort_array(F.collect_list(F.col("offset") + F.col("bin"))).alias("ids"))
 
 

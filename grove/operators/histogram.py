@@ -90,7 +90,7 @@ def node_histogram_sparse(rows: DataFrame, absent: DataFrame | None = None, tota
     if absent is None:
         sums = sums.withColumn("absent", F.lit(0))
     else:
-        sums = sums.join(F.broadcast(absent), "feature")  # one row per kept feature
+        sums = sums.join(absent, "feature")
     rest = sums.join(whole, "node").select(
         "node",
         "feature",

@@ -76,6 +76,10 @@ class TrainingRows:
         sizes = bins.sizes()
         self.sizes = [sizes.get(f, 1) for f in self.features]
         self.position = {f: i for i, f in enumerate(self.features)}
+        self.absent = None
+        if self.sparse:
+            known = [(f, bins.default_bin(f)) for f in self.features]
+            self.absent = self.spark.createDataFrame(known, "feature int, absent int")
         self.pending: list[Tree] = []
         self.shift = 0.0
         self.inner_square = 0.0  # squared label mass inside collapsed rows; only the reported loss needs it
@@ -148,8 +152,7 @@ class TrainingRows:
         placed = self.scored(f"CAST({slot} AS INT) AS node").where("node IS NOT NULL")
         rows = placed.selectExpr("node", "bins", f"{g} AS g", f"{h} AS h", "n")
         if self.sparse:
-            known = [(f, self.bins.default_bin(f)) for f in self.features]
-            return node_histogram_sparse(rows, self.spark.createDataFrame(known, "feature int, absent int"), totals)
+            return node_histogram_sparse(rows, self.absent, totals)
         return node_histogram(rows, len(deltas), self.sizes)
 
     def collect_histogram(self, hist: DataFrame, n_slots: int) -> np.ndarray:

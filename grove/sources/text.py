@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from grove.operators.prepare import clean_value
@@ -26,13 +26,13 @@ def _lines(spark: SparkSession, path: str, blank: bool = False) -> DataFrame:
             F.monotonically_increasing_id().alias("_id"),
         )
     )
-    splits = raw.groupBy("_file", "_start").agg(F.count(F.lit(1)).alias("lines"), F.min("_id").alias("_first")).collect()
-    placed, total = [], 0
-    for r in sorted(splits, key=lambda r: (r["_file"], r["_start"])):
-        placed.append((r["_file"], r["_start"], r["_first"] - total))
-        total += r["lines"]
-    schema = "_file string, _start bigint, _shift bigint"
-    shifts = F.broadcast(spark.createDataFrame(placed, schema))  # one row per input split
+    splits = raw.groupBy("_file", "_start").agg(F.count(F.lit(1)).alias("lines"), F.min("_id").alias("_first"))
+    earlier = (Window.unboundedPreceding, -1)
+    # Lines of the files before, a row for each file; then of the splits before in the same file.
+    files = splits.groupBy("_file").agg(F.sum("lines").alias("lines"))
+    files = files.select("_file", F.coalesce(F.sum("lines").over(Window.orderBy("_file").rowsBetween(*earlier)), F.lit(0)).alias("_before"))
+    inside = F.coalesce(F.sum("lines").over(Window.partitionBy("_file").orderBy("_start").rowsBetween(*earlier)), F.lit(0))
+    shifts = splits.withColumn("_inside", inside).join(files, "_file").select("_file", "_start", (F.col("_first") - F.col("_before") - F.col("_inside")).alias("_shift"))
     numbered = raw.join(shifts, ["_file", "_start"]).select((F.col("_id") - F.col("_shift")).alias("row_id"), "value")
     return numbered if blank else numbered.filter(F.length(F.trim("value")) > 0)
 
