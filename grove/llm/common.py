@@ -67,7 +67,7 @@ def utf8(column) -> list[bytes]:
 
 
 def worker_state(kind: str, key: str, make):
-    """What ``make`` returned for ``key`` the first time in this Python worker; of each kind the last one is kept.
+    """What ``make`` returned for ``key`` the first time in this Python worker; only the last kind and key are kept.
 
     Caches outlive the task, but hold no results that matter.
     """
@@ -76,5 +76,7 @@ def worker_state(kind: str, key: str, make):
 
     keep = sys.modules.setdefault("_grove_worker", types.ModuleType("_grove_worker")).__dict__
     if keep.get(kind, ("",))[0] != key:
+        for name in [n for n in keep if not n.startswith("__")]:
+            del keep[name]  # what an earlier operator has left here
         keep[kind] = key, make()
     return keep[kind][1]

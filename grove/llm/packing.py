@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from grove.llm.common import pick, saved, utf8, worker_state
 
 GROUP = 20_000  # pieces that are packed together
-WORDS = 600_000  # words whose ids a task remembers
+WORDS = 900_000  # words whose ids a task remembers
 
 
 class WindowTree:
