@@ -29,14 +29,27 @@ def features_of(word: str) -> list[str]:
     return [f"w {word}", *(f"{k} {word[:k]}" for k in range(3, 9) if len(word) > k)] if word else []
 
 
+def leading_feature(word: str, number: dict[str, int]) -> int | None:
+    """Number of the longest numbered feature of ``word``, which tells all others; none if it has none."""
+    own = features_of(word)
+    return next((number[f] for f in (*own[:1], *own[:0:-1]) if f in number), None)
+
+
+def parts(feature: str) -> list[str]:
+    """All features of a word whose longest is ``feature``."""
+    kind, word = feature.split(" ", 1)
+    return features_of(word) if kind == "w" else [f"{k} {word[:k]}" for k in range(3, int(kind) + 1)]
+
+
 def sentences_of(text: str) -> list[tuple[int, int]]:
     """Start and end of each sentence, in code points; a text without any is one empty sentence."""
     return [m.span() for m in SENTENCE.finditer(text) if not m[0].isspace()] or [(0, 0)]
 
 
-def fit_noisy_or(y, plain, sentences, sizes, cell_f, n_features: int, scale: tuple[float, float] = (1.0, 1.0), steps: int = 400, sparse: float = 0.03):
+def fit_noisy_or(y, plain, sentences, sizes, cell_f, part_of, part, n_features: int, scale: tuple[float, float] = (1.0, 1.0), steps: int = 400, sparse: float = 0.03):
     """Weights and bias from arrays: per document its label, the number of its sentences without features and of those with some;
-    per sentence with features their number; and all their features in that order.
+    per sentence with features the number of its words that have any; and the leading features of all these words in that order. A leading
+    feature stands for all features of its words: ``part`` are those of ``part_of``.
 
     Full-batch Adam on the document likelihood; ``scale`` weighs the documents of each class. ``sparse`` is an L1 penalty in
     documents: words that only keep company with toxic ones get no weight of their own.
@@ -50,12 +63,13 @@ def fit_noisy_or(y, plain, sentences, sizes, cell_f, n_features: int, scale: tup
     w, m, v = np.zeros(n_features + 1), np.zeros(n_features + 1), np.zeros(n_features + 1)
     w[-1] = -6.0
     for t in range(1, steps + 1):
-        z = w[-1] + np.bincount(cell_s, w[cell_f], n_s)
+        whole = np.bincount(part_of, w[part], n_features)
+        z = w[-1] + np.bincount(cell_s, whole[cell_f], n_s)
         q = -plain * np.logaddexp(0, w[-1]) - np.bincount(doc, np.logaddexp(0, z), n_d)  # log of no toxic sentence
         pull = weight * np.where(y > 0, -np.exp(q) / np.maximum(-np.expm1(q), 1e-12), 1.0)
         ps, p0 = 1 / (1 + np.exp(-z)), 1 / (1 + math.exp(-w[-1]))
         gz = pull[doc] * ps
-        g = np.append(np.bincount(cell_f, gz[cell_s], n_features), gz.sum() + (pull * plain).sum() * p0)
+        g = np.append(np.bincount(part, np.bincount(cell_f, gz[cell_s], n_features)[part_of], n_features), gz.sum() + (pull * plain).sum() * p0)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         pace = 0.1 / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
         w = w - pace * (m / (1 - 0.9**t))
@@ -79,10 +93,10 @@ class ToxicityModel:
         return sum(self.weights.get(f, 0.0) for f in features_of(word))
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, bound: int = 5_000, max_features: int = 1_024) -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, bound: int = 8_000) -> ToxicityModel:
     """Learn from ``bound`` labelled rows of each class at most; ``learn`` is a condition on ``doc_id``.
 
-    Features are those whose document frequency leans to label 1 most significantly. Counts and bags are made in
+    Features are all those whose document frequency leans to label 1 significantly; only the sample bounds their number. Counts and bags are made in
     tasks; the driver gets the chosen features and their places in the sampled sentences. Without rows of both classes
     the model is constant: near 0, or near 1 where only label 1 occurs.
     """
@@ -113,7 +127,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, bound: in
     counts = sample.select("text", "y").mapInArrow(count, "feature string, n0 long, n1 long").groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     lean = F.log((F.col("n1") + 0.5) / n1) - F.log((F.col("n0") + 0.5) / n0)
     sure = lean / F.sqrt(1 / (F.col("n1") + 0.5) + 1 / (F.col("n0") + 0.5))
-    chosen = [r["feature"] for r in counts.withColumn("sure", sure).where("sure > 2 AND n1 >= 3").orderBy(F.desc("sure"), "feature").limit(max_features).collect()]
+    chosen = [r["feature"] for r in counts.withColumn("sure", sure).where("sure > 2 AND n1 >= 3").orderBy(F.desc("sure"), "feature").collect()]
     number = {f: i for i, f in enumerate(chosen)}
 
     def gather(batches):
@@ -123,7 +137,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, bound: in
             plain, found = [], []
             for text in utf8(batch.column(0)):
                 text = text.decode().lower()
-                hits = [[number[f] for w in text[a:b].split() for f in features_of(w) if f in number] for a, b in sentences_of(text)]
+                hits = [[f for w in text[a:b].split() if (f := leading_feature(w, number)) is not None] for a, b in sentences_of(text)]
                 found.append([h for h in hits if h])
                 plain.append(len(hits) - len(found[-1]))
             yield pa.RecordBatch.from_pydict({"y": batch.column(1), "plain": pa.array(plain, pa.int32()), "hits": pa.array(found, pa.list_(pa.list_(pa.int32())))})
@@ -133,9 +147,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, bound: in
     rows = rows.take(order)
     hits = rows["hits"].combine_chunks()
     inner = hits.flatten()
+    pairs = [(i, number[g]) for f, i in number.items() for g in parts(f) if g in number]
+    part_of, part = np.array(pairs, np.int64).reshape(-1, 2).T
     weights, bias = fit_noisy_or(
         rows["y"].to_numpy().astype(float), rows["plain"].to_numpy().astype(float), np.diff(hits.offsets.to_numpy()), np.diff(inner.offsets.to_numpy()),
-        inner.flatten().to_numpy(), len(chosen), (totals[0] / taken[0], totals[1] / taken[1]),
+        inner.flatten().to_numpy(), part_of, part, len(chosen), (totals[0] / taken[0], totals[1] / taken[1]),
     )
     return ToxicityModel({f: float(w) for f, w in zip(chosen, weights) if w}, bias)
 

@@ -171,6 +171,31 @@ def test_noisy_or_finds_the_sentence(spark):
         assert all("nasty" in text[o["start"] : o["end"]] for o in r["offending"]) and bool(r["offending"]) == ("nasty" in text)
 
 
+def test_toxicity_learns_every_telling_feature(spark):
+    """300 words of 7 features each, every word in 12 toxic documents."""
+    rng = random.Random(6)
+    telling = sorted({"".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=10)) for _ in range(300)})
+    dealt = telling * 12
+    toxic = [f"the river runs. here are {' '.join(dealt[i : i + 6])} again" for i in range(0, len(dealt), 6)]
+    rows = [(i, f"{i} {t}") for i, t in enumerate(toxic + ["the river runs. here are stones again"] * len(toxic))]
+    marks = spark.createDataFrame([(i, int(i < len(toxic))) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), marks, "toxic", F.lit(True))
+    want = {f for w in telling for f in toxicity.features_of(w)}
+    assert len(want) > 2_000 and want <= model.weights.keys()
+    assert all(model.weight(w) > 0 for w in telling)
+
+
+@pytest.mark.parametrize("word", ["moron", "moronically", "o'neill-like", "abc'def", "..", "ab"])
+def test_leading_feature_tells_all_others(word):
+    own = toxicity.features_of(word)
+    for first in range(len(own)):
+        number = {f: i for i, f in enumerate(own[first:] if first else own)} | ({} if first % 2 else {f: 50 + i for i, f in enumerate(own[1:first])})
+        lead = toxicity.leading_feature(word, number)
+        name = next(f for f, i in number.items() if i == lead)
+        assert {f for f in toxicity.parts(name) if f in number} == {f for f in own if f in number}
+    assert toxicity.leading_feature(word, {}) is None
+
+
 def test_additive_model_learns_a_pair():
     rng = np.random.default_rng(3)
     x = rng.random((3000, 4))
