@@ -19,6 +19,7 @@ from grove.llm.common import pick, saved, utf8, worker_state
 from grove.llm.sampling import labelled_sample
 
 SENTENCE = re.compile(r"[^.!?\n]+")
+STOPS = str.maketrans(".!?", "   ")
 EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "…“”„«»¿¡"
 CACHE = 200_000  # words whose weights a task remembers
 
@@ -46,6 +47,11 @@ def sentences_of(text: str) -> list[tuple[int, int]]:
     return [m.span() for m in SENTENCE.finditer(text) if not m[0].isspace()] or [(0, 0)]
 
 
+def words_in(text: str) -> list[str]:
+    """The words of all sentences, cut as inside each: after white space and the marks that end sentences."""
+    return text.translate(STOPS).split()
+
+
 def fit_noisy_or(y, plain, sentences, sizes, cell_f, part_of, part, n_features: int, scale: tuple[float, float] = (1.0, 1.0), steps: int = 400, sparse: float = 0.03):
     """Weights and bias from arrays: per document its label, the number of its sentences without features and of those with some;
     per sentence with features the number of its words that have any; and the leading features of all these words in that order. A leading
@@ -114,7 +120,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, bound: in
         seen = Counter(), Counter()
         for batch in batches:
             for text, y in zip(utf8(batch.column(0)), batch.column(1).to_pylist()):
-                seen[y].update({f for w in {*text.decode().lower().split()} for f in features_of(w)})
+                seen[y].update({f for w in {*words_in(text.decode().lower())} for f in features_of(w)})
         names = list(seen[0].keys() | seen[1].keys())
         for a in range(0, len(names), 50_000):
             part = names[a : a + 50_000]
@@ -162,7 +168,7 @@ def score_text(text: str, model: ToxicityModel, known: dict[str, float], thresho
     lowered = text.lower()
     if len(lowered) != len(text):  # a few letters grow in lower case; offsets must stay
         lowered = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
-    for word in {*lowered.split()}:
+    for word in {*words_in(lowered)}:
         w = known.get(word)
         if w is None:
             if len(known) >= CACHE:
@@ -176,8 +182,7 @@ def score_text(text: str, model: ToxicityModel, known: dict[str, float], thresho
         return -math.expm1(-calm * len(spans)), []
     q, found = 0.0, []
     for a, b in spans:
-        # Words are cut again inside the sentence, as it may begin or end within one.
-        z = model.bias + sum(hot[w] if w in hot else known[w] if w in known else model.weight(w) for w in lowered[a:b].split())
+        z = model.bias + sum(hot[w] for w in lowered[a:b].split() if w in hot)
         q -= z + math.log1p(math.exp(-z)) if z > 0 else math.log1p(math.exp(z))
         p = 1 / (1 + math.exp(-z)) if z > -700 else 0.0
         if p >= threshold:

@@ -185,6 +185,19 @@ def test_toxicity_learns_every_telling_feature(spark):
     assert all(model.weight(w) > 0 for w in telling)
 
 
+@pytest.mark.parametrize("text, spans", [("Nice day.moron", [(9, 14)]), ("Well!moron?yes", [(5, 10)]), ("a.b.c MORON.day", [(4, 11)]), ("Nice day.more", [])])
+def test_toxicity_looks_up_words_glued_to_sentences(text, spans):
+    score, found = toxicity.score_text(text, toxicity.ToxicityModel({"w moron": 9.0}, -6.0), {})
+    assert [(a, b) for a, b, _ in found] == spans and (score >= 0.5) == bool(spans)
+
+
+def test_toxicity_counts_words_glued_to_sentences(spark):
+    rows = [(i, f"{i} it was a nice {w}.{'moron' if i % 2 else 'stone'}") for i, w in enumerate(f"d{chr(97 + k % 26)}{chr(97 + k // 26)}y" for k in range(200))]
+    marks = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), marks, "toxic", F.lit(True))
+    assert model.weight("moron") > 0
+
+
 @pytest.mark.parametrize("word", ["moron", "moronically", "o'neill-like", "abc'def", "..", "ab"])
 def test_leading_feature_tells_all_others(word):
     own = toxicity.features_of(word)
