@@ -61,13 +61,17 @@ def with_base_counts(docs: DataFrame) -> DataFrame:
     return out.drop("_h", "_h2", "_h4", "_h8", "_order", "_at")
 
 
-def judge(
-    docs: DataFrame,
-    host: str = "source",
-    min_share: float = 0.05,
-    min_docs: int = 20,
-    keep_share: float = 0.2,
-) -> DataFrame:
+def lines_of(text: Column) -> Column:
+    """The lines that are not blank."""
+    return F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(SPACE)) != "")
+
+
+def line_hash(line: Column) -> Column:
+    """Hash of a line as lines are compared: stripped, A-Z in lower case."""
+    return F.xxhash64(F.translate(F.btrim(line, F.lit(SPACE)), UPPER, UPPER.lower()))
+
+
+def judge(docs: DataFrame, host: str = "source", min_share: float = 0.05, min_docs: int = 20, keep_share: float = 0.2) -> DataFrame:
     """Counts and verdict per row of ``doc_id, text`` and ``host``; other columns are ignored.
 
     A line (stripped, A-Z in lower case) is above the limit when more than ``min_docs`` and more than ``min_share`` of
@@ -76,15 +80,26 @@ def judge(
     n_symbols, n_dup_lines, n_repeat_words, base_failed, n_removed_words, kept`` for every input row; null texts have no
     words and fail, null hosts are one host. Repeated rows get equal verdicts.
     """
+    return judged(docs, host, min_share, min_docs, keep_share).drop("host", "frequent_lines")
+
+
+def judged(
+    docs: DataFrame,
+    host: str = "source",
+    min_share: float = 0.05,
+    min_docs: int = 20,
+    keep_share: float = 0.2,
+) -> DataFrame:
+    """``judge`` with the host and ``frequent_lines``, the hashes of a row's lines above the limit."""
     text = F.coalesce("text", F.lit(""))
     docs = pick(docs, "doc_id", "text", host).withColumnRenamed(host, "host")
     counted = with_base_counts(docs).withColumns({"text_hash": F.xxhash64(text), "row": F.monotonically_increasing_id()})
     counted = counted.withColumn(
         "lines",
         F.transform(
-            F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(SPACE)) != ""),
+            lines_of(text),
             lambda x: F.struct(
-                F.xxhash64(F.translate(F.btrim(x, F.lit(SPACE)), UPPER, UPPER.lower())).alias("line"),
+                line_hash(x).alias("line"),
                 F.size(words_of(x)).alias("words"),
             ),
         ),
@@ -102,14 +117,14 @@ def judge(
     removed = (
         lines.join(frequent, F.col("host").eqNullSafe(F.col("f_host")) & (F.col("line") == F.col("f_line")))
         .groupBy("row")
-        .agg(F.sum("words").alias("n_removed_words"))
+        .agg(F.sum("words").alias("n_removed_words"), F.collect_set("line").alias("frequent_lines"))
     )
     out = kept.join(removed, "row", "left").withColumn("n_removed_words", F.coalesce("n_removed_words", F.lit(0)).cast("long"))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     depleted = F.col("n_words") - F.col("n_removed_words") < keep_share * F.col("n_words")
     return out.select(
         "doc_id", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"), "n_removed_words", (~failed & ~depleted).alias("kept"),
+        failed.alias("base_failed"), "n_removed_words", (~failed & ~depleted).alias("kept"), "host", "frequent_lines",
     )
 
 
@@ -119,3 +134,16 @@ def keep_good(docs: DataFrame, carry: tuple[str, ...] = (), **limits) -> DataFra
     bad = judge(docs, **limits).where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     same = docs["doc_id"].eqNullSafe(bad["_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == bad["_hash"])
     return docs.join(bad, same, "left_anti")
+
+
+def without_frequent_lines(docs: DataFrame, carry: tuple[str, ...] = (), **limits) -> DataFrame:
+    """The rows that ``judge`` keeps, as ``keep_good`` gives them, but with lines above the limit taken out of ``text``; all other lines stay as they are."""
+    host = limits.get("host", "source")
+    docs = pick(docs, *dict.fromkeys(("doc_id", "text", host, *carry)))
+    good = judged(docs, **limits).where("kept").select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("host").alias("_host"), F.coalesce("frequent_lines", F.array().cast("array<bigint>")).alias("_gone")
+    ).dropDuplicates(["_id", "_hash", "_host"])
+    same = docs["doc_id"].eqNullSafe(good["_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == good["_hash"]) & docs[host].eqNullSafe(good["_host"])
+    left = F.array_join(F.filter(F.split("text", "\n"), lambda x: ~F.array_contains(F.col("_gone"), line_hash(x)) | (F.btrim(x, F.lit(SPACE)) == "")), "\n")
+    cut = docs.join(good, same).withColumn("text", F.when(F.size("_gone") > 0, left).otherwise(F.col("text")))
+    return cut.select(docs.columns)

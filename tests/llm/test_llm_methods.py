@@ -209,6 +209,17 @@ def test_leading_feature_tells_all_others(word):
     assert toxicity.leading_feature(word, {}) is None
 
 
+def test_quality_rules_take_frequent_lines_out(spark):
+    """A short menu line goes from every document of the host that shares it, and stays at another host."""
+    body = lambda i: " ".join(f"w{i}x{k}" for k in range(30))
+    text = lambda i: f"  Home | ABOUT \n\n{body(i)}\nend {i}"
+    rows = [(i, text(i), "a") for i in range(30)] + [(7, text(7), "a"), (100, text(100), "b"), (101, "home | about", "a"), (102, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted((r["doc_id"], r["text"]) for r in quality_rules.without_frequent_lines(df).collect())
+    assert got == sorted([(i, f"\n{body(i)}\nend {i}") for i in [*range(30), 7]] + [(100, text(100))])
+    assert sorted(r["doc_id"] for r in quality_rules.keep_good(df).collect()) == [i for i, _ in got]
+
+
 def test_additive_model_learns_a_pair():
     rng = np.random.default_rng(3)
     x = rng.random((3000, 4))
