@@ -23,4 +23,4 @@ def register(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from grove.llm import queries  # noqa: F401
+    from grove.llm import conversation_queries, queries  # noqa: F401
