@@ -12,13 +12,17 @@ from pyspark.sql import functions as F
 from grove.functions import gains
 from grove.functions.trees import Access, FlatForest
 
-MAX_GRAM = 4096  # columns; the matrix is held by the driver
+MAX_GRAM = 4096  # columns of the Gram matrix that the LS correction keeps from tree to tree
 BATCH_CELLS = 4_000_000
+#: Rows of the Gram matrix that one job sums: a task holds this many times the number of columns.
+GRAM_BLOCK = 2048
 CORRECTIONS = ("exact", "quadratic")
-QUADRATIC_LEAVES = 16_384  # the quadratic mode's matrix takes 2 GB of the driver and of each task at this size
+#: The leaf-wise engine's quadratic sweep runs over the Gram matrix of all leaves, which the driver holds (2 GB here).
+QUADRATIC_LEAVES = 16_384
 
 
 def check_gram(leaves: int) -> None:
+    """The leaf-wise engine's bound; the binned engine only builds the columns of the trees in turn, a few thousand."""
     if leaves > QUADRATIC_LEAVES:
         raise ValueError(f"the quadratic correction holds the Gram matrix of {leaves} leaves; use correction='exact' beyond {QUADRATIC_LEAVES}")
 
@@ -85,39 +89,45 @@ def gram_update(
             while at >= 0:
                 held[flat.starts[t] + i, k] = column_of.get((t, at), -1)
                 at, k = tree.nodes[at].parent, k + 1
-    width, chosen = len(columns), np.array(new, int)
+    width = len(columns)
     step = max(1, BATCH_CELLS // max(1, width))
 
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shared, target = np.zeros((len(chosen), width)), np.zeros(len(chosen))
-        for batch in batches:
-            for lo in range(0, batch.num_rows, step):
-                part = batch.slice(lo, step)
-                w = part.column("weight").to_numpy(zero_copy_only=False)
-                moment = part.column("moment").to_numpy(zero_copy_only=False)
-                leaves = flat.leaves(flat.matrix(part.column("bins"), fills))
-                z = np.zeros((len(w), width + 1))
-                rows_ = np.arange(len(w))[:, None]
-                for k in range(longest):
-                    z[rows_, held[leaves, k]] = 1.0  # -1 is the spare last column
-                z = z[:, :width]
-                own = z[:, chosen]
-                shared += (own * w[:, None]).T @ z
-                target += own.T @ moment
-        a, b = np.nonzero(shared)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.concatenate([a, np.arange(len(chosen))]).astype(np.int32)),
-                pa.array(np.concatenate([b, np.full(len(chosen), -1)]).astype(np.int32)),
-                pa.array(np.concatenate([shared[a, b], target])),
-            ],
-            names=["a", "b", "s"],
-        )
-
-    parts = rows.select("weight", "moment", "bins").mapInArrow(partial, "a int, b int, s double")
-    pdf = parts.groupBy("a", "b").agg(F.sum("s").alias("s")).toPandas()  # at most MAX_GRAM^2 cells
-    shared, target = np.zeros((len(chosen), width)), np.zeros(len(chosen))
-    a, b, s = pdf["a"].to_numpy(int), pdf["b"].to_numpy(int), pdf["s"].to_numpy(float)
-    shared[a[b >= 0], b[b >= 0]] = s[b >= 0]
-    target[a[b < 0]] = s[b < 0]
+    def summed(chosen: np.ndarray):
+        def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            shared, target = np.zeros((len(chosen), width)), np.zeros(len(chosen))
+            for batch in batches:
+                for lo in range(0, batch.num_rows, step):
+                    part = batch.slice(lo, step)
+                    w = part.column("weight").to_numpy(zero_copy_only=False)
+                    moment = part.column("moment").to_numpy(zero_copy_only=False)
+                    leaves = flat.leaves(flat.matrix(part.column("bins"), fills))
+                    z = np.zeros((len(w), width + 1))
+                    rows_ = np.arange(len(w))[:, None]
+                    for k in range(longest):
+                        z[rows_, held[leaves, k]] = 1.0  # -1 is the spare last column
+                    z = z[:, :width]
+                    own = z[:, chosen]
+                    shared += (own * w[:, None]).T @ z
+                    target += own.T @ moment
+            a, b = np.nonzero(shared)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate([a, np.arange(len(chosen))]).astype(np.int32)),
+                    pa.array(np.concatenate([b, np.full(len(chosen), -1)]).astype(np.int32)),
+                    pa.array(np.concatenate([shared[a, b], target])),
+                ],
+                names=["a", "b", "s"],
+            )
+
+        return partial
+
+    # One job for each block of GRAM_BLOCK rows of the matrix: tasks and the driver hold a block at a time.
+    shared, target = np.zeros((len(new), width)), np.zeros(len(new))
+    for lo in range(0, len(new), GRAM_BLOCK):
+        chosen = np.array(new[lo : lo + GRAM_BLOCK], int)
+        parts = rows.select("weight", "moment", "bins").mapInArrow(summed(chosen), "a int, b int, s double")
+        pdf = parts.groupBy("a", "b").agg(F.sum("s").alias("s")).toPandas()  # at most GRAM_BLOCK x columns cells
+        a, b, s = pdf["a"].to_numpy(int), pdf["b"].to_numpy(int), pdf["s"].to_numpy(float)
+        shared[lo + a[b >= 0], b[b >= 0]] = s[b >= 0]
+        target[lo + a[b < 0]] = s[b < 0]
     return shared, target

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from grove.forest import Forest, Node, Tree
 from grove.functions import gains
 from grove.functions.losses import check_loss
-from grove.operators.correct import CORRECTIONS, MAX_GRAM, check_gram, gram_update
+from grove.operators.correct import CORRECTIONS, MAX_GRAM, gram_update
 from grove.operators.splits import BINNED_TIE, best_splits, split_candidates, split_gain
 from grove.plans.leafwise import _change_tree
 from grove.plans.rows import TrainingRows, best_of, frontier_sql
@@ -220,9 +220,9 @@ class BinnedTrainer:
         order = self._order()
         total = sum(len(t.leaves()) for t in self.trees)
         before = [[n.weight for n in t.nodes] for t in self.trees]
-        if self.p.correction == "quadratic":
-            self._correct_by_quadratic(order)
-        elif self.p.loss == "LS" and total <= MAX_GRAM:
+        if self.p.correction == "quadratic" or self.p.loss == "LS" and total > MAX_GRAM:
+            self._correct_by_quadratic(order)  # exact under LS: one pass a correction at any size
+        elif self.p.loss == "LS":
             self._correct_by_gram(order)
         else:
             self._correct_by_jobs(order)
@@ -261,14 +261,17 @@ class BinnedTrainer:
             w[span] += self._update(self.trees[t], self.trees[t].leaves(), g, cover[span])
 
     def _correct_by_quadratic(self, order: list[int]) -> None:
-        """One job: gradient and curvature of all leaves at the current scores; the updates run on that expansion. Exact under LS."""
-        columns = [(t, i) for t, tree in enumerate(self.trees) for i in tree.leaves()]
-        check_gram(len(columns))
-        curve, slope = gram_update(self.rows.slopes(), self.trees, self.rows.access, columns, list(range(len(columns))))
-        starts = np.cumsum([0] + [len(t.leaves()) for t in self.trees])
+        """Gradient and curvature of the leaves of the trees in turn at the current scores; the updates run on that
+        expansion. Exact under LS. Only those trees' columns are built (at most ``OLDER_UPDATES + NEWEST_TREES`` trees),
+        in blocks of rows, so neither the number of trees nor of rows makes it refuse or take more jobs."""
+        turn = sorted(set(order))
+        trees = [self.trees[t] for t in turn]
+        columns = [(k, i) for k, tree in enumerate(trees) for i in tree.leaves()]
+        curve, slope = gram_update(self.rows.slopes(), trees, self.rows.access, columns, list(range(len(columns))))
+        starts = dict(zip(turn, np.cumsum([0] + [len(t.leaves()) for t in trees])))
         cover, moved = np.diag(curve), np.zeros(len(columns))
         for t in order:
-            span = slice(starts[t], starts[t + 1])
+            span = slice(starts[t], starts[t] + len(self.trees[t].leaves()))
             g = slope[span] - curve[span] @ moved
             moved[span] += self._update(self.trees[t], self.trees[t].leaves(), g, cover[span])
 

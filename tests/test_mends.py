@@ -156,3 +156,44 @@ def test_options_of_the_leafwise_engine(spark):
 def test_models_on_the_way(spark):
     path = fit_forest(events(spark), BinnedParams(**BINNED | {"n_estimators": 5}, save_frequency=2)).path
     assert [len(f.trees) for f in path] == [2, 4, 5]
+
+
+def test_quadratic_correction_in_blocks_of_rows(spark, monkeypatch):
+    """Blocks of three Gram rows a job give the same forest as one block."""
+    table = events(spark).withColumn("label", F.when(F.col("label") > 3, 1.0).otherwise(-1.0))
+    params = BinnedParams(**BINNED | {"n_estimators": 4, "loss": "LOGISTIC"}, correction="quadratic")
+    whole = fit_forest(table, params).forest
+    monkeypatch.setattr("grove.operators.correct.GRAM_BLOCK", 3)
+    parts = fit_forest(table, params).forest
+    for s, t in zip(whole.trees, parts.trees):
+        assert [(n.feature, n.bin) for n in s.nodes] == [(n.feature, n.bin) for n in t.nodes]
+        assert all(abs(m.weight - n.weight) < 1e-9 for m, n in zip(s.nodes, t.nodes))
+
+
+def test_squares_beyond_the_kept_gram_stay_exact_with_one_pass(spark, monkeypatch):
+    """LS past MAX_GRAM leaves: the correction of the trees in turn, one pass, equals the kept matrix's."""
+    table = events(spark)
+    params = BinnedParams(**BINNED | {"n_estimators": 4})
+    kept = fit_forest(table, params).forest
+    monkeypatch.setattr("grove.plans.binned.MAX_GRAM", 0)
+    jobs, plain = [], BinnedTrainer.correct
+
+    def counted(self):
+        spark.sparkContext.setJobGroup(f"past {len(jobs)}", "")
+        plain(self)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"past {len(jobs)}")))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+    monkeypatch.setattr(BinnedTrainer, "correct", counted)
+    past = fit_forest(table, params).forest
+    for s, t in zip(kept.trees, past.trees):
+        assert all(abs(m.weight - n.weight) < 1e-9 for m, n in zip(s.nodes, t.nodes))
+    assert len(set(jobs[1:])) == 1  # the same jobs for every tree
+
+
+def test_binned_correction_never_refuses_many_leaves(spark, monkeypatch):
+    """The binned quadratic mode builds only the trees in turn: a leaf bound far below the forest's size is no refusal."""
+    monkeypatch.setattr("grove.operators.correct.QUADRATIC_LEAVES", 2)
+    table = events(spark).withColumn("label", F.when(F.col("label") > 3, 1.0).otherwise(-1.0))
+    fitted = fit_forest(table, BinnedParams(**BINNED | {"n_estimators": 3, "loss": "LOGISTIC"}, correction="quadratic"))
+    assert len(fitted.forest.trees) == 3
