@@ -326,16 +326,26 @@ def _collect_bins(fitted: DataFrame, sparse: bool, extra: list[tuple]) -> BinSet
     return BinSet({r[0]: np.array(r[1], float) for r in rows}, {r[0]: float(r[2]) for r in rows}, sparse)
 
 
-def _midpoints(summary: DataFrame, max_bins: int | None) -> DataFrame:
-    """Boundaries between all distinct values of the features that have at most ``max_bins`` of them."""
+def _midpoints(summary: DataFrame, max_bins: int | None, target_rows: int = TARGET_ROWS) -> DataFrame:
+    """``feature, boundary``: midpoints between neighbouring distinct values of the features of at most ``max_bins``
+    values, one row each. Neighbours come from running windows inside ordered buckets, so no task holds a whole feature."""
     if max_bins is not None:
         few = summary.groupBy("feature").agg(F.count(F.lit(1)).alias("_v")).filter(F.col("_v") <= max_bins)
         summary = summary.join(few, "feature", "left_semi")
-    values = summary.groupBy("feature").agg(
-        F.sort_array(F.collect_list("value")).alias("v")
-    )
-    between = F.expr("transform(slice(v, 2, size(v)), (x, i) -> 0.5D * (x + v[i]))")
-    return values.select("feature", between.alias("boundaries"), F.lit(0.0).alias("gain"))
+    ordered = running_sums(summary.select("feature", "value"), ["feature"], "value", [], target_rows)
+    return ordered.where(F.col("next_value").isNotNull()).select("feature", (0.5 * (F.col("value") + F.col("next_value"))).alias("boundary"))
+
+
+def _collect_midpoints(long: DataFrame, features: list[int], sparse: bool) -> BinSet:
+    """The boundaries of a ``feature, boundary`` table, counted before any is collected; rows come from every task."""
+    kept = cut_lineage(long)
+    total = kept.count()
+    if total > MAX_BOUNDARIES:
+        raise ValueError(f"{total} boundaries, which every worker would hold: set max_bins (coarser bins) or max_features")
+    pdf = kept.toPandas()
+    kept.unpersist()
+    found = {int(f): np.sort(g["boundary"].to_numpy(float)) for f, g in pdf.groupby("feature")}
+    return BinSet({f: found.get(f, np.zeros(0)) for f in features}, dict.fromkeys(features, 0.0), sparse)
 
 
 def fit_fine_bins(
@@ -353,7 +363,9 @@ def fit_fine_bins(
     summary = cut_lineage(value_summary(table, rescale=not sparse))
     if sparse:
         summary = cut_lineage(_add_absent(summary, table, min_occurrences, 0.0))
-    fine = _collect_bins(_midpoints(summary, max_bins), sparse, [])
+    counts = {r["feature"]: r["_v"] for r in summary.groupBy("feature").agg(F.count(F.lit(1)).alias("_v")).collect()}  # one row a feature
+    fine_features = sorted(f for f, v in counts.items() if max_bins is None or v <= max_bins)
+    fine = _collect_midpoints(_midpoints(summary, max_bins, target_rows), fine_features, sparse)
     many = None
     if max_bins is not None:
         many = summary.groupBy("feature").agg(F.count(F.lit(1)).alias("_v")).filter(F.col("_v") > max_bins)

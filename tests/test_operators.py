@@ -190,3 +190,18 @@ def test_estimators(spark):
     scored = model.transform(df)
     assert scored.filter("prediction = name").count() > 105
     assert scored.filter("abs(probability[0] + probability[1] - 1) > 1e-9").count() == 0
+
+
+def test_fine_bins_in_ordered_buckets(spark, monkeypatch):
+    """Midpoints of every distinct value, also when each feature is cut into many ordered buckets; counted before collecting."""
+    values = [v * 0.5 for v in range(-40, 41)] + [3.0, 3.0, 1e300]
+    t = table_of(spark, values, list(range(len(values))))
+    whole = B.fit_fine_bins(t)
+    parts = B.fit_fine_bins(t, target_rows=4)
+    distinct = sorted(set(values))
+    want = [(a + b) / 2 for a, b in zip(distinct, distinct[1:])]
+    assert whole.boundaries[0].tolist() == parts.boundaries[0].tolist() == want
+    assert len(B.fit_fine_bins(table_of(spark, [7.0] * 5)).boundaries[0]) == 0
+    monkeypatch.setattr(B, "MAX_BOUNDARIES", 10)
+    with pytest.raises(ValueError, match="boundaries"):
+        B.fit_fine_bins(t)
