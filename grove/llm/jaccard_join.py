@@ -1,8 +1,8 @@
 """Exact Jaccard similarity join of word-shingle sets, with metric-space regions for large candidate groups.
 
 Jaccard distance ``1 - |A & B| / |A | B|`` is a metric, and two sets link when it is at most ``eps = 1 - percent / 100``.
-Equal sets are one set with a multiplicity. Candidate groups come from an exact prefix filter: with tokens ordered
-rarest first, two linked sets share a token among the first ``|A| - ceil(t |A|) + 1`` of each. A group larger than
+Equal sets are one set with a multiplicity. Candidate groups come from an exact prefix filter: with tokens in one
+fixed order (here their hash), two linked sets share a token among the first ``|A| - ceil(t |A|) + 1`` of each. A group larger than
 ``LEAF`` is a region that is split by pivots: every set goes home to its nearest pivot, and is also copied to every
 other pivot's region whose distance is within ``2 eps`` of its nearest (the triangle inequality puts the partner of a
 home set there). Regions are split again while they shrink. In a leaf, each home set is checked against the sets
@@ -57,14 +57,16 @@ def _distance(a: Column, b: Column) -> Column:
 
 
 def _candidates(sets: DataFrame, percent: int) -> DataFrame:
-    """``region, set_id, home``: one group per prefix token that two sets or more share, all members at home."""
-    tokens = sets.select("set_id", F.explode("shingles").alias("token"))
-    freq = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    ranked = tokens.join(freq, "token").groupBy("set_id").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("order"))
-    size = F.size("order")
+    """``region, set_id, home``: one group per prefix token that two sets or more share, all members at home.
+
+    Tokens go in the order of their hash, which the sorted set arrays already have, so a set's prefix is its first
+    ``|A| - ceil(t |A|) + 1`` elements and needs no shuffle; any fixed order keeps the filter exact.
+    """
+    size = F.size("shingles")
     keep = size - F.floor((percent * size + 99) / 100) + 1  # |A| - ceil(t |A|) + 1
-    prefix = ranked.select("set_id", F.explode(F.slice("order", 1, keep.cast("int"))).alias("t")).select("set_id", F.col("t.token").alias("region"), "t.df")
-    return prefix.where("df > 1").select("region", "set_id", F.lit(True).alias("home"))
+    prefix = sets.select("set_id", F.explode(F.slice("shingles", 1, keep.cast("int"))).alias("region"))
+    shared = prefix.groupBy("region").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("region")
+    return prefix.join(shared, "region").select("region", "set_id", F.lit(True).alias("home"))
 
 
 def _split(regions: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, bool]:
@@ -126,12 +128,16 @@ def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> Da
     number of other documents it links with. An empty set links with nothing. Rows of a null ``doc_id`` take part in no
     link and get a null component; repeated rows of one id count once. Empty table: no rows.
     """
-    every = shingle_sets(docs, words)
-    shingled = saved(every.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]), "shingles")
-    full = shingled.where("n_shingles > 0")
-    sets = full.groupBy("shingles").agg(F.min("doc_id").alias("set_id"), F.count(F.lit(1)).alias("copies"))
+    every = saved(shingle_sets(docs, words), "shingles")
+    # Equal sets (a 128-bit digest of the sorted hashes) are one set; its array is shuffled once, taken from any copy.
+    named = every.where("doc_id IS NOT NULL AND n_shingles > 0").select(
+        "doc_id", "shingles", F.xxhash64(F.lit(1), "shingles").alias("d1"), F.xxhash64(F.lit(2), "shingles").alias("d2")
+    )
+    sets = named.groupBy("d1", "d2").agg(
+        F.min("doc_id").alias("set_id"), F.count_distinct("doc_id").alias("copies"), F.any_value("shingles").alias("shingles")
+    )
     sets = saved(sets, "sets")
-    members = full.join(sets, "shingles").select("doc_id", "set_id")
+    members = named.select("doc_id", "d1", "d2").join(sets.select("d1", "d2", "set_id"), ["d1", "d2"]).select("doc_id", "set_id")
     links = saved(_links(sets.select("set_id", "shingles"), percent), "links")
     roots = components(links)
     weight = sets.select("set_id", "copies")
@@ -141,7 +147,8 @@ def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> Da
         "set_id", (F.col("copies") - 1 + F.coalesce("partners", F.lit(0))).alias("n_links"), F.coalesce("root", "set_id").alias("component_id")
     )
     linked = members.join(per_set, "set_id").select("doc_id", "component_id", "n_links")
-    known = shingled.select("doc_id", "n_shingles").join(linked, "doc_id", "left").select(
+    ids = every.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("n_shingles").alias("n_shingles"))  # repeated rows: one
+    known = ids.join(linked.dropDuplicates(["doc_id"]), "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
     )
     nameless = every.where("doc_id IS NULL").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"), F.lit(0).alias("n_links"))
