@@ -93,45 +93,73 @@ def replay(scored: dict[str, dict | None], p: BinnedParams) -> tuple[list[str],
 
 
 class BinnedTrainer:
-    def __init__(self, rows: TrainingRows, params: BinnedParams, n_rows: int, n_features: int, init: list[Tree] | None = None):
+    """Trees of one class, or of ``classes`` one-vs-rest problems in one pass over the rows.
+
+    With classes, every row is there once per class with that class's label and bins, and its last bin is the class.
+    Each tree of the forest is then a fixed skeleton of class tests with one grown subtree per class: every job
+    (histograms, corrections, scores) serves all classes at once, and each class's subtree is grown, limited and
+    corrected exactly as its own forest would be.
+    """
+
+    def __init__(
+        self, rows: TrainingRows, params: BinnedParams, n_rows: int, n_features: int, init: list[Tree] | None = None,
+        classes: int = 1, class_bins: list | None = None,
+    ):
         params.check()
         self.rows, self.p, self.n_rows, self.n_features = rows, params, n_rows, n_features
+        self.classes, self.class_bins = classes, class_bins
+        self.class_feature = len(rows.features) - 1 if classes > 1 else None
         self.min_sample = params.min_sample(n_rows)
         self.trees: list[Tree] = init or []
         self.cursor = 0
         self.path: list[Forest] = []
+        self.paths: list[list[Forest]] = [[] for _ in range(classes)]
         self.log: list[dict] = []
         self._shared: np.ndarray = np.zeros((0, 0))
         self._target: np.ndarray = np.zeros(0)
         self._columns: list[tuple[int, int]] = []
         if self.trees:
+            if classes > 1:
+                raise ValueError("an initial model trains one class at a time")
             if len(self.trees) >= params.n_estimators:
                 raise ValueError("the initial model is already as large as the final one may be")
             rows.rescore(0.0, self.trees, 0)
 
-    # ------------------------------------------------------------ one tree
+    def _skeleton(self) -> tuple[Tree, list[int]]:
+        """The class tests of a tree and the node that each class's subtree grows from: class c goes left at test c."""
+        tree = Tree([Node(n=self.n_rows * self.classes)])
+        roots, at = [], 0
+        for c in range(self.classes - 1):
+            left, right = tree.split(at, self.class_feature, c, 0.0, {"n": self.n_rows}, {"n": self.n_rows * (self.classes - 1 - c)})
+            roots.append(left)
+            at = right
+        roots.append(at)
+        return tree, roots
 
-    def _score(self, tree: Tree, at: dict[str, int], scored: dict[str, dict | None], wanted: list[str], early: list[str]) -> None:
-        """Add to ``scored`` the best splits of leaves ``wanted`` and of both children of the scored leaves ``early``.
+    # ------------------------------------------------------------ one tree
 
-        Nodes go by their path: a digit a level, 0 for left.
-        """
-        keys = [*wanted, *(x + side for x in early for side in "01")]
-        starts = [tree.nodes[at[x]].weight for x in wanted]
-        ahead = {}
-        for k, x in enumerate(early):
-            c = scored[x]
-            slot = len(wanted) + 2 * k
-            ahead[at[x]] = (self.rows.features[c["position"]], c["bin"], slot, slot + 1)
-            starts += [c["w_left"], c["w_right"]]
+    def _score(self, tree: Tree, at: list[dict[str, int]], scored: list[dict], wanted: list[list[str]], early: list[list[str]]) -> None:
+        """Add to each class's ``scored`` the best splits of its leaves ``wanted`` and of both children of its scored
+        leaves ``early``, all in one job. Nodes go by their path below the class's root: a digit a level, 0 for left."""
+        keys = [(c, x) for c in range(self.classes) for x in [*wanted[c], *(y + side for y in early[c] for side in "01")]]
+        slots, ahead, starts = {}, {}, []  # slots in the order of keys; starts: the weight each slot's scores start from
+        for c in range(self.classes):
+            for x in wanted[c]:
+                slots[at[c][x]] = len(starts)
+                starts.append(tree.nodes[at[c][x]].weight)
+            for x in early[c]:
+                found = scored[c][x]
+                ahead[at[c][x]] = (self.rows.features[found["position"]], found["bin"], len(starts), len(starts) + 1)
+                starts += [found["w_left"], found["w_right"]]
         collected = self.rows.fits_driver(len(keys))
-        slots = frontier_sql(tree, self.rows.access, {at[x]: s for s, x in enumerate(wanted)}, ahead)
-        hist = self.rows.histogram(slots, starts, totals=collected)
+        sql = frontier_sql(tree, self.rows.access, slots, ahead)
+        hist = self.rows.histogram(sql, starts, totals=collected)
         l1, l2 = self.p.l1, self.p.l2
-        scored.update(dict.fromkeys(keys))
+        for c, x in keys:
+            scored[c][x] = None
         if collected:
             found = self.rows.collect_histogram(hist, len(keys))
-            for s, key in enumerate(keys):
+            for s, (c, x) in enumerate(keys):
                 p0 = starts[s]
                 total = found[s][:2, 0, :].sum(axis=1)
                 whole, x0 = gains.solve_l1l2(total[1], p0 * total[1] + total[0], l1, l2)
@@ -141,41 +169,58 @@ class BinnedTrainer:
                     b, xr = gains.solve_l1l2(hr, p0 * hr + gr, l1, l2)
                     return {"gain": whole - (a + b), "w_left": xl, "w_right": xr, "w_node": float(x0)}
 
-                scored[key] = best_of(found[s], gain, min_sample=self.min_sample, tie=BINNED_TIE)
+                scored[c][x] = best_of(found[s], gain, min_sample=self.min_sample, tie=BINNED_TIE)
             return
         facts = self.rows.spark.createDataFrame(
             [(s, 0, float(w)) for s, w in enumerate(starts)], "node int, depth int, weight double"
         )
         cuts = split_gain(split_candidates(hist, min_sample=self.min_sample), "binned", l1=l1, l2=l2, node_facts=facts)
         for r in best_splits(cuts, BINNED_TIE).collect():
-            scored[keys[r["node"]]] = {
+            c, x = keys[r["node"]]
+            scored[c][x] = {
                 "gain": r["gain"], "w_left": r["left_weight"], "w_right": r["right_weight"], "w_node": r["node_weight"],
                 "position": self.rows.position[r["feature"]], "bin": r["bin"], "n_left": r["n_left"], "n_right": r["n_right"],
             }
 
-    def _built(self, order: list[str], scored: dict[str, dict | None]) -> tuple[Tree, dict[str, int]]:
-        """The tree after the splits ``order``, and the node number of each path. Scored nodes have their own best weight."""
-        tree, at = Tree([Node(n=self.n_rows)]), {"": 0}
-        for x in order:
-            c = scored[x]
-            at[x + "0"], at[x + "1"] = tree.split(
-                at[x], self.rows.features[c["position"]], c["bin"], c["gain"],
-                {"weight": c["w_left"], "n": c["n_left"]}, {"weight": c["w_right"], "n": c["n_right"]},
-            )
-        for x, i in at.items():
-            if scored.get(x):
-                tree.nodes[i].weight = scored[x]["w_node"]
+    def _built(self, order: list[list[str]], scored: list[dict]) -> tuple[Tree, list[dict[str, int]]]:
+        """The tree after each class's splits ``order``, and the node number of each path of each class. Scored nodes
+        have their own best weight."""
+        if self.classes == 1:
+            tree, roots = Tree([Node(n=self.n_rows)]), [0]
+        else:
+            tree, roots = self._skeleton()
+        at = [{"": r} for r in roots]
+        for c in range(self.classes):
+            for x in order[c]:
+                found = scored[c][x]
+                at[c][x + "0"], at[c][x + "1"] = tree.split(
+                    at[c][x], self.rows.features[found["position"]], found["bin"], found["gain"],
+                    {"weight": found["w_left"], "n": found["n_left"]}, {"weight": found["w_right"], "n": found["n_right"]},
+                )
+            for x, i in at[c].items():
+                if scored[c].get(x):
+                    tree.nodes[i].weight = scored[c][x]["w_node"]
         return tree, at
 
     def grow_tree(self) -> Tree:
-        """Rounds of a job that scores what the replay lacks, with one level ahead below every scored leaf."""
-        scored: dict[str, dict | None] = {}
-        order, lacking = [], [""]
-        while lacking:
+        """Rounds of a job that scores what each class's replay lacks, with one level ahead below every scored leaf.
+
+        A class whose replay has ended waits for the others without adding to the jobs.
+        """
+        k = self.classes
+        scored: list[dict[str, dict | None]] = [{} for _ in range(k)]
+        order, lacking = [[] for _ in range(k)], [[""] for _ in range(k)]
+        while any(lacking):
             tree, at = self._built(order, scored)
-            early = [x for x in at if scored.get(x) and x + "0" not in at and x + "0" not in scored and len(x) + 1 < self.p.max_depth]
+            early = [
+                [x for x in at[c] if scored[c].get(x) and x + "0" not in at[c] and x + "0" not in scored[c] and len(x) + 1 < self.p.max_depth]
+                if lacking[c] else []
+                for c in range(k)
+            ]
             self._score(tree, at, scored, lacking, early)
-            order, lacking = replay(scored, self.p)
+            for c in range(k):
+                if lacking[c]:
+                    order[c], lacking[c] = replay(scored[c], self.p)
         tree, _ = self._built(order, scored)
         for node in tree.nodes:
             if node.left >= 0:
@@ -200,13 +245,20 @@ class BinnedTrainer:
             if p.save_frequency and len(self.trees) % p.save_frequency == 0 and len(self.trees) < p.n_estimators:
                 self._emit()
         self._emit()
-        return self.path
+        return self.path if self.classes == 1 else self.paths
 
     def _emit(self) -> None:
-        forest = Forest(
-            self.trees, 0.0, self.n_features, "lowest", self.p.loss, "binned", seq=len(self.path) + 1, config=asdict(self.p)
-        ).copy()
-        self.path.append(forest.set_cuts(self.rows.bins))
+        if self.classes == 1:
+            forest = Forest(
+                self.trees, 0.0, self.n_features, "lowest", self.p.loss, "binned", seq=len(self.path) + 1, config=asdict(self.p)
+            ).copy()
+            self.path.append(forest.set_cuts(self.rows.bins))
+            return
+        _, roots = self._skeleton()
+        for c, root in enumerate(roots):
+            trees = [_subtree(tree, root) for tree in self.trees]
+            forest = Forest(trees, 0.0, self.n_features, "lowest", self.p.loss, "binned", class_id=c, seq=len(self.paths[c]) + 1, config=asdict(self.p))
+            self.paths[c].append(forest.copy().set_cuts(self.class_bins[c]))
 
     def _order(self) -> list[int]:
         """Trees to update: the next few in turn as far as they are older, then the newest in order."""
@@ -284,3 +336,22 @@ class BinnedTrainer:
             change = _change_tree(tree, leaves, self._update(tree, leaves, g, h))
             rows.pending = [*rows.pending, change]
             rows.settle(0.0, self.trees, 0)
+
+
+def _subtree(tree: Tree, root: int) -> Tree:
+    """The nodes below ``root`` (itself included) as a tree of their own, numbered in the order they were made."""
+    inside, stack = [], [root]
+    while stack:
+        i = stack.pop()
+        inside.append(i)
+        if tree.nodes[i].left >= 0:
+            stack += [tree.nodes[i].left, tree.nodes[i].right]
+    inside.sort()
+    number = {i: k for k, i in enumerate(inside)}
+    out, depth = Tree([copy.copy(tree.nodes[i]) for i in inside]), tree.nodes[root].depth
+    for node in out.nodes:
+        node.parent = number.get(node.parent, -1)
+        node.depth -= depth
+        if node.left >= 0:
+            node.left, node.right = number[node.left], number[node.right]
+    return out

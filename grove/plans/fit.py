@@ -119,8 +119,10 @@ def train_on_bins(
     n_features: int,
     constant: float = 0.0,
     init_model: Forest | None = None,
-) -> Fitted:
-    """Train on an already binned table ``(label, weight, n, bins, score)``."""
+    class_bins: list[BinSet] | None = None,
+) -> Fitted | list[Fitted]:
+    """Train on an already binned table ``(label, weight, n, bins, score)``; with ``class_bins`` (binned engine), rows of
+    every class whose last bin is the class, and a ``Fitted`` per class."""
     leafwise = isinstance(params, LeafwiseParams)
     full = rows.persist(StorageLevel.MEMORY_AND_DISK)
     merged = maybe_collapse(full, params.loss, n_rows)
@@ -133,9 +135,12 @@ def train_on_bins(
     if leafwise:
         trainer = LeafwiseTrainer(state, params, n_rows, constant, n_features, init, init_model.constant if init_model else None)
     else:
-        trainer = BinnedTrainer(state, params, n_rows, n_features, init)
+        classes = len(class_bins) if class_bins else 1
+        trainer = BinnedTrainer(state, params, n_rows, n_features, init, classes=classes, class_bins=class_bins)
     path = trainer.run()
     state.close()
+    if class_bins:
+        return [Fitted(p, b, trainer.log) for p, b in zip(path, class_bins)]
     if not leafwise and bins.sparse:
         for forest in path:
             forest.missing = "lowest"
@@ -154,16 +159,51 @@ class Classifier:
         return [f.forest for f in self.fits]
 
 
+def _fit_classes_together(source: DataFrame, label: str, params: BinnedParams, classes: list) -> list[Fitted] | None:
+    """One-vs-rest forests of all classes from one training pass: the rows once per class, the class as their last bin.
+
+    Each class keeps its own bins (fitted on its labels) and grows, limits and corrects its trees exactly as alone, but
+    every training job serves all classes, so their number does not grow with the classes. None when a class has no
+    feature to cut (then each class trains alone).
+    """
+    params.check()
+    table = clean_features(source)
+    owns = [table.withColumn("label", F.when(F.col(label) == F.lit(name), F.lit(1.0)).otherwise(F.lit(-1.0))) for name in classes]
+    facts = validate(owns[0], True, None)
+    bins = [find_bins(own, params) for own in owns]
+    if any(not b.features for b in bins):
+        return None
+    width = max(max(b.features) for b in bins) + 1
+    parts = [binned_rows(own, b, facts["rows"]).withColumn("bins", F.concat("bins", F.array(F.lit(k)))) for k, (own, b) in enumerate(zip(owns, bins))]
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part)
+    longest = {f: max((b.boundaries.get(f, np.zeros(0)) for b in bins), key=len) for f in range(width)}
+    longest[width] = np.arange(len(classes) - 1) + 0.5  # the class cell: bin k is class k
+    merged = BinSet(longest, dict.fromkeys(longest, 0.0), False)
+    return train_on_bins(stacked, merged, params, facts["rows"], width_of(owns[0], facts), class_bins=bins)
+
+
 def fit_classifier(
     table: DataFrame, label: str, params: LeafwiseParams | BinnedParams, classes: Sequence | None = None, max_classes: int = 10_000,
-    init_models: Sequence[Forest] | None = None,
+    init_models: Sequence[Forest] | None = None, together: bool = True,
 ) -> Classifier:
     """``table`` has ``features, weight`` and the class column ``label``; one-vs-rest beyond two classes.
 
     ``init_models``, a forest for each one to train in the order of ``classes``, are trained further. ``max_classes`` guards against a column that is no class at all: every class is a forest of its own.
+    With ``together``, the binned engine trains all classes of a dense table in one pass (``_fit_classes_together``);
+    otherwise, and for the leaf-wise engine, sparse tables and initial models, one class after another.
     """
     classes = class_list(table, label, max_classes) if classes is None else sorted(classes)
     source = table.persist(StorageLevel.MEMORY_AND_DISK)
+    if together and isinstance(params, BinnedParams) and len(classes) > 2 and not init_models and not _is_sparse(source):
+        fits = _fit_classes_together(source, label, params, classes)
+        if fits is not None:
+            for k, (name, fitted) in enumerate(zip(classes, fits)):
+                for forest in fitted.path:
+                    forest.class_id, forest.class_label = k, str(name)
+            source.unpersist()
+            return Classifier(classes, fits)
     shared: BinSet | None = None
     fits = []
     for k, name in enumerate(classes if len(classes) > 2 else classes[:1]):

@@ -197,3 +197,26 @@ def test_binned_correction_never_refuses_many_leaves(spark, monkeypatch):
     table = events(spark).withColumn("label", F.when(F.col("label") > 3, 1.0).otherwise(-1.0))
     fitted = fit_forest(table, BinnedParams(**BINNED | {"n_estimators": 3, "loss": "LOGISTIC"}, correction="quadratic"))
     assert len(fitted.forest.trees) == 3
+
+
+def test_classes_train_together_as_alone(spark):
+    """One pass for three classes gives each class the forest it gets alone, with fewer jobs than one class after another."""
+    rows = [([float(i * 37 % 50), float(i * 11 % 23), float(i * i % 31)], ("a", "b", "c")[(i * 37 % 50 > 20) + (i * 11 % 23 > 15)]) for i in range(240)]
+    table = spark.createDataFrame(rows, "features array<double>, name string").withColumn("weight", F.lit(1.0))
+    for loss in ("LOGISTIC", "LS"):
+        params = BinnedParams(n_estimators=3, min_samples_leaf=5, max_leaf=4, l2=5.0, loss=loss)
+        jobs = {}
+        for together in (True, False):
+            spark.sparkContext.setJobGroup(f"classes {together}", "")
+            got = fit_classifier(table, "name", params, together=together)
+            jobs[together] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"classes {together}"))
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+            if together:
+                one = got
+        assert one.classes == got.classes == ["a", "b", "c"]
+        for f, g in zip(one.forests, got.forests):
+            assert (f.class_id, f.class_label) == (g.class_id, g.class_label) and len(f.trees) == len(g.trees) == 3
+            for s, t in zip(f.trees, g.trees):
+                assert [(n.feature, n.cut, n.left) for n in s.nodes] == [(n.feature, n.cut, n.left) for n in t.nodes]
+                assert all(abs(m.weight - n.weight) < 1e-9 for m, n in zip(s.nodes, t.nodes))
+        assert jobs[True] < jobs[False]
