@@ -133,10 +133,9 @@ def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> Da
     named = every.where("doc_id IS NOT NULL AND n_shingles > 0").select(
         "doc_id", "shingles", F.xxhash64(F.lit(1), "shingles").alias("d1"), F.xxhash64(F.lit(2), "shingles").alias("d2")
     )
-    sets = named.groupBy("d1", "d2").agg(
-        F.min("doc_id").alias("set_id"), F.count_distinct("doc_id").alias("copies"), F.any_value("shingles").alias("shingles")
-    )
-    sets = saved(sets, "sets")
+    arrays = named.groupBy("d1", "d2").agg(F.min("doc_id").alias("set_id"), F.any_value("shingles").alias("shingles"))
+    copies = named.select("doc_id", "d1", "d2").groupBy("d1", "d2").agg(F.count_distinct("doc_id").alias("copies"))  # ids only
+    sets = saved(arrays.join(copies, ["d1", "d2"]), "sets")
     members = named.select("doc_id", "d1", "d2").join(sets.select("d1", "d2", "set_id"), ["d1", "d2"]).select("doc_id", "set_id")
     links = saved(_links(sets.select("set_id", "shingles"), percent), "links")
     roots = components(links)
