@@ -87,9 +87,9 @@ def simhash_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = saved(simhash.with_fingerprints(docs, ["doc_id"]), "simhash")
     counts = marks.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n"))
     asked = marks.where("doc_id % 100 = 0")
-    found = simhash.find_within(asked, marks).join(counts, "fingerprint")
+    found = simhash.find_within(asked, marks).join(counts.hint("merge"), "fingerprint")  # a row per distinct fingerprint
     totals = found.groupBy("query").agg(F.sum("n").alias("n_near"))
-    return asked.join(totals, asked["fingerprint"] == totals["query"]).select("doc_id", hex_digits(F.col("query")).alias("fingerprint"), "n_near")
+    return asked.join(totals.hint("merge"), asked["fingerprint"] == totals["query"]).select("doc_id", hex_digits(F.col("query")).alias("fingerprint"), "n_near")
 
 
 PACK_SEQUENCE = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
