@@ -55,24 +55,39 @@ TOKENS_SQL = """tokens AS (SELECT doc_id, CAST('0x' || substr(md5(tok), 1, 7) AS
  FROM counts JOIN labels USING (doc_id))"""
 
 
+TOKEN_FEATURE = "CAST(conv(substr(md5(tok), 1, 7), 16, 10) AS INT) AS feature"
 # The same tokens of all documents, labelled or not.
 ALL_TOKENS_SQL = TOKENS_SQL.split(",\n docs AS")[0]
 
 
+#: Text of one task that counts tokens; a task's memory follows it, not the table.
+TASK_TEXT = 4 << 20
+
+
 def document_cells(spark: SparkSession, sf_dir: str, labelled: bool = True) -> DataFrame:
     """``(doc_id, feature, value)``: token counts of all documents, or of the labelled ones."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     if labelled:
         docs = docs.join(read(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
-    # Spread by document first: tokens are then counted and gathered where they are made.
-    docs = docs.repartition("doc_id")
+    # Spread by document first: tokens are then counted and gathered where they are made. The number of tasks follows
+    # the text; the number of shuffle partitions does not, and a task's counts and maps would grow with the table.
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    docs = docs.repartition(max(1, -(-size // TASK_TEXT)), "doc_id")
     tokens = docs.select("doc_id", F.explode(F.split("text", " ")).alias("tok")).filter("tok <> ''")
-    feature = F.expr("CAST(conv(substr(md5(tok), 1, 7), 16, 10) AS INT)").alias("feature")
-    return tokens.select("doc_id", feature).groupBy("doc_id", "feature").agg(
+    return tokens.selectExpr("doc_id", TOKEN_FEATURE).groupBy("doc_id", "feature").agg(
         F.count(F.lit(1)).cast("double").alias("value")
     )
 
 
+def document_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The distinct ``feature`` of all documents: distinct tokens first, so each is hashed and shuffled once."""
+    docs = read(spark, sf_dir, "documents").select("text")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    docs = docs.repartition(max(1, -(-size // TASK_TEXT)))  # a file's row groups may be few
+    tokens = docs.select(F.explode(F.split("text", " ")).alias("tok")).filter("tok <> ''").distinct()
+    return tokens.selectExpr(TOKEN_FEATURE).distinct()
+
+
 def unlabelled_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sparse table of the token counts of every document; its label is 0."""
     rows = document_cells(spark, sf_dir, labelled=False).groupBy("doc_id").agg(

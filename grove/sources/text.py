@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from grove.operators.prepare import clean_value
+from grove.session import ensure_checkpoint_dir
 
 # The line formats of labelled text files.
 LABELED_FORMATS = ("x", "y.x", "w.y.x", "sparse", "y.sparse", "w.y.sparse")
+RANGE_BYTES = 8 << 20  # text of one range that a task sorts and writes
 
 
 def _lines(spark: SparkSession, path: str, blank: bool = False) -> DataFrame:
@@ -33,7 +37,8 @@ def _lines(spark: SparkSession, path: str, blank: bool = False) -> DataFrame:
     files = files.select("_file", F.coalesce(F.sum("lines").over(Window.orderBy("_file").rowsBetween(*earlier)), F.lit(0)).alias("_before"))
     inside = F.coalesce(F.sum("lines").over(Window.partitionBy("_file").orderBy("_start").rowsBetween(*earlier)), F.lit(0))
     shifts = splits.withColumn("_inside", inside).join(files, "_file").select("_file", "_start", (F.col("_first") - F.col("_before") - F.col("_inside")).alias("_shift"))
-    numbered = raw.join(shifts, ["_file", "_start"]).select((F.col("_id") - F.col("_shift")).alias("row_id"), "value")
+    # One row per input split, so lines stay where they are read.
+    numbered = raw.join(F.broadcast(shifts), ["_file", "_start"]).select((F.col("_id") - F.col("_shift")).alias("row_id"), "value")
     return numbered if blank else numbered.filter(F.length(F.trim("value")) > 0)
 
 
@@ -185,7 +190,13 @@ def write_table(df: DataFrame, path: str, fmt: str = "x", digits: int | None = N
     if fmt == "header":
         head = df.sparkSession.createDataFrame([(-(1 << 62), f"sparse {n_features}")], "row_id bigint, value string")
         lines = lines.unionByName(head)
-    lines.orderBy("row_id").select("value").write.mode("overwrite").text(path)
+    made = f"{ensure_checkpoint_dir(df.sparkSession)}/lines-{uuid.uuid4().hex}"
+    lines.write.parquet(made)
+    kept = df.sparkSession.read.schema(lines.schema).parquet(made)
+    size = kept.agg(F.sum(F.octet_length("value"))).first()[0] or 0
+    ranges = max(1, -(-size // RANGE_BYTES))
+    ordered = kept.repartitionByRange(ranges, "row_id").sortWithinPartitions("row_id")
+    ordered.select("value").write.mode("overwrite").text(path)
 
 
 def write_scores(df: DataFrame, path: str, score: str = "score", digits: int = 6) -> None:
