@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from grove.functions import gains
 from grove.operators.folds import drawn
+from grove.session import cut_lineage
 
 RELATIVE_TIE = 1e-9  # sums of different task orders differ in the last bits
+SLOT_BITS = 16  # ranges of drawn numbers that a share of the features is counted by
 BINNED_TIE = 1e-6  # fixed value: gains this close are equal to the binned engine
 
 
@@ -107,6 +109,19 @@ def best_splits(scored: DataFrame, tie: float = 0.0) -> DataFrame:
 
 
 def sample_features(features: DataFrame, ratio: float, seed: int, step: int = 0) -> DataFrame:
-    """A seeded share of the features (at least one); ``features`` has one row per feature."""
-    keep = max(1, int(features.count() * ratio))
-    return features.orderBy(drawn("feature", seed + step), "feature").limit(keep)
+    """A seeded share of the features (at least one); ``features`` has one row per feature.
+
+    The last rank is looked up in counts of equal ranges of the drawn numbers, so only one range's rows are sorted.
+    """
+    known = cut_lineage(features.withColumn("_drawn", drawn("feature", seed + step)))
+    slot = F.shiftright("_drawn", 60 - SLOT_BITS)
+    counts = sorted((r["slot"], r["n"]) for r in known.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n")).collect())
+    keep = max(1, int(sum(n for _, n in counts) * ratio))
+    for last, n in counts:
+        if keep <= n:
+            break
+        keep -= n
+    else:  # no features, or all of them
+        return known.drop("_drawn")
+    rest = known.where(slot == last).orderBy("_drawn", "feature").limit(keep)
+    return known.where(slot < last).unionByName(rest).drop("_drawn")

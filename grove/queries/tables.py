@@ -16,7 +16,7 @@ from grove.plans.leafwise import LeafwiseParams, LeafwiseTrainer
 from grove.plans.rows import TrainingRows, frontier_sql
 from grove.queries import ORACLES, register
 from grove.queries.inputs import (
-    BINS_SQL, CELLS_SQL, PRICE, ROWS_SQL, TOKENS_SQL, ALL_TOKENS_SQL, document_cells, document_table, lineitem, price_table, read, scratch, unlabelled_table,
+    BINS_SQL, CELLS_SQL, PRICE, ROWS_SQL, TOKENS_SQL, ALL_TOKENS_SQL, document_features, document_table, lineitem, price_table, read, scratch, unlabelled_table,
 )
 
 
@@ -408,8 +408,7 @@ def h_sibling(spark, sf):
  SELECT CAST(feature AS BIGINT) AS feature FROM o WHERE r <= greatest(1, floor((SELECT count(*) FROM f) * 0.1))""",
 )
 def h_sample_features(spark, sf):
-    features = document_cells(spark, sf, labelled=False).select("feature").distinct()
-    return _big(splits.sample_features(features, 0.1, seed=5), "feature")
+    return _big(splits.sample_features(document_features(spark, sf), 0.1, seed=5), "feature")
 
 
 # ---------------------------------------------------------------- routing and leaf statistics

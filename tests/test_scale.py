@@ -3,6 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from grove.operators import splits
+from grove.operators.folds import drawn
 from grove.queries import inputs
 from grove.sources import text
 
@@ -40,3 +42,13 @@ def test_ranges_of_lines_follow_their_bytes(spark, documents, monkeypatch, fmt):
     back = text.read_sparse(spark, path)[0] if fmt == "header" else text.read_labeled(spark, path, fmt)
     want = [r["features"] for r in table.orderBy("row_id").collect()]
     assert [r["features"] for r in back.orderBy("row_id").collect()] == want
+
+
+@pytest.mark.parametrize("bits", [1, 3, 16])
+@pytest.mark.parametrize("ratio", [0.0, 0.1, 0.5, 1.0])
+def test_share_of_features_without_a_whole_sort(spark, monkeypatch, bits, ratio):
+    monkeypatch.setattr(splits, "SLOT_BITS", bits)
+    features = spark.range(200).selectExpr("int(id * 37) AS feature")
+    want = features.orderBy(drawn("feature", 5), "feature").limit(max(1, int(200 * ratio)))
+    assert sorted(splits.sample_features(features, ratio, 5).collect()) == sorted(want.collect())
+    assert splits.sample_features(features.limit(0), ratio, 5).count() == 0
