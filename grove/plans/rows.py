@@ -20,11 +20,16 @@ DRIVER_CELLS = 10_000_000
 # Pending trees are folded into the stored score before their expression gets long.
 PENDING_NODES = 100
 SMALL_TABLE = 8_000_000
+BATCH_CELLS = 500_000  # present cells of a partition that is binned
 
 
 def binned_rows(table: DataFrame, bins: BinSet, n_rows: int) -> DataFrame:
     """``(label, weight, n, bins, score)`` with one row per training row."""
-    if n_rows <= SMALL_TABLE:
+    if bins.sparse:
+        # A Python worker holds a partition of maps in one batch, up to 10,000 rows of any width: partitions follow the cells.
+        cells = table.agg(F.sum(F.greatest(F.size("features"), F.lit(0)))).first()[0] or 0
+        table = table.repartition(max(table.sparkSession.sparkContext.defaultParallelism, -(-cells // BATCH_CELLS)))
+    elif n_rows <= SMALL_TABLE:
         # A table of few input splits would leave most cores idle in every later job.
         table = table.repartition(table.sparkSession.sparkContext.defaultParallelism)
     return apply_bins(table, bins).select(
