@@ -32,6 +32,11 @@ DENSE_MAX_BINS = 65_000
 LOCAL_VALUES = 500_000
 MAX_BOUNDARIES = 20_000_000  # of the whole set: it is held by the driver and by every worker
 CASE_BOUNDARIES = 300
+INLINE_BOUNDARIES = 16
+BROADCAST_BINS = 2_000_000  # bins that a join with long rows sends to every worker
+SALTS = 16
+ROUND_VALUES = 500_000  # values that one task of a round of cuts searches
+WIDE = 64  # a map of at most as many features becomes an array by one expression each
 
 
 # ---------------------------------------------------------------- summaries
@@ -199,17 +204,55 @@ def _bucket_of(boundaries: str, value: str) -> Column:
     return F.expr(f"size(filter({boundaries}, b -> b < {value}))")
 
 
+def _best_in_buckets(ranked: DataFrame, wanted: dict[int, np.ndarray], least: float, l2: float) -> DataFrame:
+    """The best cut of every wanted bucket: ``feature, bucket, gain, cut, at_w, at_wy``, the sums up to the cut.
+
+    ``wanted`` has a feature's disjoint buckets in order, a row ``lo, hi, w, wy, w, wy`` each: its ends and the feature's sums up to these.
+    """
+
+    def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("value", "next_value", "cum_w", "cum_wy")]
+            names = batch.column("feature").to_numpy(zero_copy_only=False)
+            for f in np.unique(names):
+                if int(f) not in wanted:
+                    continue
+                value, after, cw, cy = (np.asarray(c[names == f], float) for c in columns)
+                lo, hi, lw, ly, hw, hy = wanted[int(f)].T
+                bucket = np.searchsorted(lo, value, side="left") - 1
+                keep = (bucket >= 0) & (after <= hi[bucket])  # false where there is no next value
+                value, after, cw, cy, bucket = value[keep], after[keep], cw[keep], cy[keep], bucket[keep]
+                wl, wt = cw - lw[bucket], hw[bucket] - lw[bucket]
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    gain = _cut_gain(wl, cy - ly[bucket], wt, hy[bucket] - ly[bucket], l2)
+                fit = (wl >= least) & (wt - wl >= least) & (gain > 0)
+                cut = 0.5 * (value + after)
+                order = np.flatnonzero(fit)[np.lexsort((cut[fit], -gain[fit], bucket[fit]))]
+                first = order[np.unique(bucket[order], return_index=True)[1]]
+                found = [np.full(len(first), f, np.int32), bucket[first].astype(np.int32), gain[first], cut[first], cw[first], cy[first]]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["feature", "bucket", "gain", "cut", "at_w", "at_wy"])
+
+    cells = ranked.select(F.col("feature").cast("int").alias("feature"), "value", "next_value", "cum_w", "cum_wy")
+    found = cells.mapInArrow(per_task, "feature int, bucket int, gain double, cut double, at_w double, at_wy double")
+    best = F.max_by(F.struct("gain", "cut", "at_w", "at_wy"), F.struct(F.col("gain"), -F.col("cut"))).alias("b")
+    return found.groupBy("feature", "bucket").agg(best).select("feature", "bucket", "b.*")
+
+
 def _fit_distributed(summary: DataFrame, max_bins: int, least: float, l2: float, target_rows: int) -> list[tuple]:
     """The same greedy cuts by rounds: each round scores all open buckets of all features at once.
 
     A bucket's gain depends on its own values only, so buckets may be scored before the greedy order
-    asks for them, and the order is replayed afterwards on the few scored buckets.
+    asks for them, and the order is replayed afterwards on the few scored buckets. Running sums are made once;
+    a bucket's own are their differences to those at its lower end, so a round neither sorts nor shuffles the values.
     """
-    spark = summary.sparkSession
-    summary = cut_lineage(summary)
+    kept = cut_lineage(running_sums(summary.select("feature", "value", "w", "wy"), ["feature"], "value", ["w", "wy"], target_rows))
+    # Rounds are many and short: few partitions, each of many values.
+    ranked = kept.coalesce(max(kept.sparkSession.sparkContext.defaultParallelism, -(-kept.count() // ROUND_VALUES)))
     # Per feature: scored buckets as (lo, hi) -> (gain, cut); every round scores the current leaves.
-    features = [r[0] for r in summary.select("feature").distinct().collect()]
+    whole = ranked.groupBy("feature").agg(F.max("tot_w").alias("w"), F.max("tot_wy").alias("wy")).collect()
+    features = [r["feature"] for r in whole]
     scored: dict[int, dict[tuple, tuple]] = {f: {} for f in features}
+    sums = {r["feature"]: {-np.inf: (0.0, 0.0), np.inf: (r["w"], r["wy"])} for r in whole}  # up to every cut found
 
     def replay(f: int) -> tuple[list[float], float, list[tuple]]:
         """Cuts reached so far and the buckets whose score is missing."""
@@ -244,17 +287,17 @@ def _fit_distributed(summary: DataFrame, max_bins: int, least: float, l2: float,
         wanted = {f: m for f, m in wanted.items() if m}
         if not wanted:
             break
-        rows = [(f, sorted({e for b in m for e in b if np.isfinite(e)})) for f, m in wanted.items()]
-        edges = spark.createDataFrame(rows, "feature int, edges array<double>")
-        placed = summary.join(F.broadcast(edges), "feature").withColumn("bucket", _bucket_of("edges", "value"))
-        found = best_cut(placed, least, l2, ("feature", "bucket"), target_rows).collect()
-        best = {(r["feature"], r["bucket"]): (r["gain"], r["cut"]) for r in found}
-        for f, edge_list in rows:
-            bounds = [-np.inf, *edge_list, np.inf]
-            for i, bucket in enumerate(zip(bounds[:-1], bounds[1:])):
-                if bucket in wanted[f]:
-                    scored[f][bucket] = best.get((f, i), (0.0, None))
-    summary.unpersist()
+        buckets = {f: sorted(set(m)) for f, m in wanted.items()}
+        edges = {f: np.array([(lo, hi, *sums[f][lo], *sums[f][hi]) for lo, hi in b], float) for f, b in buckets.items()}
+        found = _best_in_buckets(ranked, edges, least, l2).collect()
+        best = {(r["feature"], r["bucket"]): r for r in found}
+        for f, some in buckets.items():
+            for i, bucket in enumerate(some):
+                r = best.get((f, i))
+                scored[f][bucket] = (r["gain"], r["cut"]) if r else (0.0, None)
+                if r:
+                    sums[f][r["cut"]] = r["at_w"], r["at_wy"]
+    kept.unpersist()
     return [(f, *replay(f)[:2]) for f in features]
 
 
@@ -448,13 +491,25 @@ def _case_search(value: str, edges: list[float], lo: int = 0, hi: int | None = N
     return f"CASE WHEN {value} <= {number(edges[mid])} THEN {low} ELSE {high} END"
 
 
+def _case_of_feature(edges: list[np.ndarray], lo: int, hi: int) -> str:
+    """The bin of value ``x`` of feature ``i``, by halves of the features."""
+    if hi - lo == 1:
+        return _case_search("x", [float(e) for e in edges[lo]])
+    mid = (lo + hi) // 2
+    return f"CASE WHEN i < {mid} THEN {_case_of_feature(edges, lo, mid)} ELSE {_case_of_feature(edges, mid, hi)} END"
+
+
 def dense_bins(bins: BinSet, features: str = "features") -> Column:
     """ARRAY<DOUBLE> to ARRAY<INT>."""
     width = max(bins.boundaries, default=-1) + 1
     edges = [np.asarray(bins.boundaries.get(f, ()), float) for f in range(width)]
     if sum(map(len, edges)) <= CASE_BOUNDARIES:
-        parts = [_case_search(f"{features}[{f}]", [float(e) for e in edges[f]]) for f in range(width)]
-        return F.expr(f"array({', '.join(parts)})").cast("array<int>")
+        if sum(map(len, edges)) <= INLINE_BOUNDARIES:
+            parts = [_case_search(f"{features}[{f}]", [float(e) for e in edges[f]]) for f in range(width)]
+            return F.expr(f"array({', '.join(parts)})").cast("array<int>")
+        # A lambda is evaluated apart from the generated loop, whose method the JVM would not compile with all these cuts in it.
+        cells = ", ".join(f"{features}[{f}]" for f in range(width))
+        return F.expr(f"transform(array({cells}), (x, i) -> {_case_of_feature(edges, 0, width)})").cast("array<int>")
 
     @F.arrow_udf("array<int>")
     def search(column: pa.Array) -> pa.Array:
@@ -518,8 +573,18 @@ def boundary_arrays(bins: DataFrame) -> DataFrame:
 
 
 def apply_bins_long(cells: DataFrame, bins: DataFrame, sparse: bool = False) -> DataFrame:
-    """The same on long rows ``(..., feature, value)``: an equi-join with the bins table."""
-    placed = cells.join(boundary_arrays(bins), "feature")
+    """The same on long rows ``(..., feature, value)``: an equi-join with the bins table.
+
+    Features may be as few as one, so cells never meet in a task for each: up to ``BROADCAST_BINS`` bins go to the cells; more are
+    copied ``SALTS`` times, so a feature's cells are dealt over tasks that Spark may split further.
+    """
+    arrays = boundary_arrays(bins)
+    if bins.count() <= BROADCAST_BINS:
+        placed = cells.join(F.broadcast(arrays), "feature")
+    else:
+        arrays = arrays.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+        placed = cells.withColumn("_salt", salt).join(arrays, ["feature", "_salt"]).select(*cells.columns, "boundaries")
     out = placed.withColumn("bin", _bucket_of("boundaries", "value")).drop("boundaries")
     return out.filter("bin > 0") if sparse else out
 
@@ -553,17 +618,20 @@ def relayout(df: DataFrame, kind: str, dense: str | None, sparse: list[str], wid
         for i, name in enumerate(groups):
             if name == dense:
                 arrays.append(name)
+            elif 0 < widths[i] <= WIDE:
+                arrays.append(f"array({', '.join(f'coalesce({name}[{k}], 0)' for k in range(widths[i]))})")
             else:
                 arrays.append(f"transform(sequence(0, {widths[i] - 1}), i -> coalesce({name}[i], 0))")
         return df.withColumn("bins", F.expr(f"concat({', '.join(arrays)})")).drop(*groups)
-    maps = []
+    # One map is built of all entries: a map for each step costs more than the rest.
+    entries = []
     for i, name in enumerate(groups):
         if name == dense:
-            entries = f"map_from_entries(filter(transform({name}, (b, i) -> struct(i + {offsets[i]}, b)), e -> e.b > 0))"
+            moved = f"transform({name}, (b, i) -> named_struct('k', i + {offsets[i]}, 'b', b))"
         else:
-            entries = f"map_filter(transform_keys({name}, (k, v) -> k + {offsets[i]}), (k, v) -> v > 0)"
-        maps.append(entries)
-    return df.withColumn("bins", F.expr(f"map_concat({', '.join(maps)})")).drop(*groups)
+            moved = f"transform(map_entries({name}), e -> named_struct('k', e.key + {offsets[i]}, 'b', e.value))"
+        entries.append(f"filter({moved}, e -> e.b > 0)")
+    return df.withColumn("bins", F.expr(f"map_from_entries(concat({', '.join(entries)}))")).drop(*groups)
 
 
 def revert_cuts(nodes: DataFrame, bins: DataFrame) -> DataFrame:

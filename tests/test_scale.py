@@ -1,10 +1,13 @@
 """Work per task follows the data, not the number of shuffle partitions: tables of a few rows with small bounds."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from grove.operators import binning as B
 from grove.operators import splits
 from grove.operators.folds import drawn
+from grove.plans import rows as rows_of_run
 from grove.queries import inputs
 from grove.sources import text
 
@@ -52,3 +55,67 @@ def test_share_of_features_without_a_whole_sort(spark, monkeypatch, bits, ratio)
     want = features.orderBy(drawn("feature", 5), "feature").limit(max(1, int(200 * ratio)))
     assert sorted(splits.sample_features(features, ratio, 5).collect()) == sorted(want.collect())
     assert splits.sample_features(features.limit(0), ratio, 5).count() == 0
+
+
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_cells_of_one_feature_spread_over_tasks(spark, monkeypatch, limit):
+    """Few features: cells stay where they are, or meet copies of the bins; never one task for each feature."""
+    monkeypatch.setattr(B, "BROADCAST_BINS", limit)
+    bins = B.BinSet({0: np.array([1.5, 3.5]), 1: np.array([0.0])}).to_df(spark)
+    cells = spark.range(400, numPartitions=4).selectExpr("id", "int(id % 2) AS feature", "double(id % 7 - 1) AS value")
+    placed = B.apply_bins_long(cells, bins)
+    want = sorted((r["id"], r["feature"], r["value"], int(np.searchsorted([[1.5, 3.5], [0.0]][r["feature"]], r["value"]))) for r in cells.collect())
+    assert sorted((r["id"], r["feature"], r["value"], r["bin"]) for r in placed.collect()) == want
+    assert set(placed.columns) == {"id", "feature", "value", "bin"}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert placed.select("id", F.spark_partition_id().alias("p")).groupBy("p").count().count() > 2
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rounds_of_cuts_do_not_shuffle_the_values(spark, monkeypatch):
+    """Greedy bins of two features by rounds equal those cut in one task, and a round's search has no window."""
+    rng = np.random.default_rng(3)
+    rows = [([float(x), float(z)], float(y), 1.0) for x, z, y in zip(rng.normal(size=400).round(2), rng.integers(0, 90, 400), rng.normal(size=400))]
+    table = spark.createDataFrame(rows, "features array<double>, label double, weight double")
+    seen, plain = [], B._best_in_buckets
+    monkeypatch.setattr(B, "_best_in_buckets", lambda *a: seen.append(plain(*a)) or seen[-1])
+    by_rounds = B.fit_bins(table, 9, local_values=10, target_rows=50)
+    local = B.fit_bins(table, 9)
+    for f in (0, 1):
+        np.testing.assert_allclose(by_rounds.boundaries[f], local.boundaries[f])
+        assert abs(by_rounds.gains[f] - local.gains[f]) < 1e-9 * local.gains[f]
+    assert seen and all("Window" not in x._jdf.queryExecution().executedPlan().toString() for x in seen)
+
+
+def test_relayout_builds_one_map(spark):
+    df = spark.sql("SELECT array(0, 2, 1) AS a, map(0, 3, 4, 0) AS b, map(1, 5) AS c")
+    sparse = B.relayout(df, "sparse", "a", ["b", "c"], [3, 70, 2])
+    assert sparse.first()["bins"] == {1: 2, 2: 1, 3: 3, 74: 5}
+    assert B.relayout(df, "dense", "a", ["b", "c"], [3, 70, 2]).first()["bins"] == [0, 2, 1, 3] + [0] * 70 + [5]
+    plan = sparse._jdf.queryExecution().analyzed().toString()
+    assert plan.count("map_from_entries") == 1 and "map_concat" not in plan
+
+
+def test_bins_of_cells_stay_out_of_the_generated_loop(spark):
+    """Many cuts in one generated method are never compiled by the JVM, so they are looked up in a function of their own."""
+    edges = {0: np.arange(60) + 0.5, 2: np.array([0.5])}
+    df = spark.range(70).selectExpr("array(double(id), 1D, IF(id = 3, NULL, double(id))) AS features")
+    column = B.dense_bins(B.BinSet(edges))
+    got = df.select("features", column.alias("bins")).collect()
+    want = [[min(i, 60), 0, 1 if i > 0 else 0] for i in range(70)]  # a null is no less than any cut
+    assert [r["bins"] for r in got] == want
+    plan = df.select(F.posexplode(column))._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" in plan and "lambdafunction" not in df.select(B.dense_bins(B.BinSet({0: edges[2]})))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_partitions_of_maps_follow_their_cells(spark, monkeypatch):
+    monkeypatch.setattr(rows_of_run, "BATCH_CELLS", 50)
+    table = spark.range(100).selectExpr("map_from_entries(transform(sequence(0, 19), i -> struct(int(i), double(id % (i + 2))))) AS features", "double(id) AS label", "1D AS weight")
+    bins = B.fit_sparse_bins(table)
+    got = rows_of_run.binned_rows(table, bins, 100)
+    assert got.rdd.getNumPartitions() == 40
+    assert sorted(map(str, got.select("label", "bins").collect())) == sorted(map(str, B.apply_bins(table, bins).select("label", "bins").collect()))
