@@ -19,6 +19,8 @@ and would be copied to every region; the prefix filter removes them first.
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame
@@ -39,6 +41,8 @@ ROUNDS = 8
 SAMPLE, OFTEN, LATE = 16, 4, 262_144
 #: Longs of the smallest sketch; a set of more than twice its bits gets a larger one, by powers of two.
 SKETCH = 8
+#: Longs of the folded sketch, and shingles of the prefix just before, that a set brings along when it meets others.
+MARK, BEFORE = 4, 3
 #: Rows that a task hands to Spark at a time.
 ROWS = 512
 
@@ -167,11 +171,11 @@ def _differ(a: Column, b: Column) -> Column:
     )
 
 
-def _least_sketch(a: Column) -> Column:
-    """A sketch folded to ``SKETCH`` longs, so all of them can be compared."""
+def _folded(a: Column, longs: int) -> Column:
+    """A sketch folded to ``longs`` longs, so all of them can be compared."""
     return F.transform(
-        F.sequence(F.lit(1), F.lit(SKETCH)),
-        lambda i: F.aggregate(F.sequence(i, F.size(a), F.lit(SKETCH)), F.lit(0).cast("long"), lambda x, j: x.bitwiseXOR(F.element_at(a, j))),
+        F.sequence(F.lit(1), F.lit(longs)),
+        lambda i: F.aggregate(F.sequence(i, F.size(a), F.lit(longs)), F.lit(0).cast("long"), lambda x, j: x.bitwiseXOR(F.element_at(a, j))),
     )
 
 
@@ -194,7 +198,7 @@ def _split(regions: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame
     rows = regions.join(big, "region")
     drawn = rows.groupBy("region").agg(*[F.min_by("set_id", F.xxhash64("set_id", F.lit(j))).alias(f"p{j}") for j in range(PIVOTS)])
     chosen = drawn.select("region", F.explode(F.array_distinct(F.array(*[F.col(f"p{j}") for j in range(PIVOTS)]))).alias("set_id"))
-    marks = sets.select("set_id", _least_sketch(F.col("sketch")).alias("mark"))
+    marks = sets.select("set_id", _folded(F.col("sketch"), SKETCH).alias("mark"))
     lists = chosen.join(marks, "set_id").groupBy("region").agg(F.array_sort(F.collect_list(F.struct("set_id", "mark"))).alias("pivots"))
     rows = rows.join(lists, "region").join(marks, "set_id")
     rows = rows.withColumn("d", F.transform("pivots", lambda p: _differ(F.col("mark"), p["mark"]))).withColumn("near", F.array_min("d"))
@@ -226,13 +230,20 @@ def _pairs(sets: DataFrame, percent: int) -> DataFrame:
         regions, any_split = _split(regions, sets, percent)
         if not any_split:
             break
-    a = regions.where("home").select("region", F.col("set_id").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"))
-    b = regions.select("region", F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"))
+    known = sets.select("set_id", "prefix", _folded(F.col("sketch"), MARK).alias("mark")).select("set_id", "prefix", *[F.col("mark")[i].alias(f"m{i}") for i in range(MARK)])
+    before = F.slice("prefix", F.greatest(F.col("place") - BEFORE, F.lit(1)), F.least(F.col("place") - 1, F.lit(BEFORE)))
+    rows = regions.join(known, "set_id").select("set_id", "n", "place", before.alias("before"), *[f"m{i}" for i in range(MARK)], "region", "home")
+    names = ("", "n", "p", "v", *[f"m{i}" for i in range(MARK)])
+    a = rows.where("home").drop("home").toDF(*[f"{x}a" for x in names], "region")
+    b = rows.drop("home").toDF(*[f"{x}b" for x in names], "region")
     total = F.col("na") + F.col("nb")
     sized = (F.col("a") < F.col("b")) & (percent * F.col("na") <= 100 * F.col("nb")) & (percent * F.col("nb") <= 100 * F.col("na"))
     # At most so many are shared up to the common shingle, and after it.
     most = F.least("pa", "pb") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    pairs = a.join(b, "region").where(sized & ((100 + percent) * most >= percent * total)).select("a", "b").distinct()
+    differ = functools.reduce(operator.add, [F.bit_count(F.col(f"m{i}a").bitwiseXOR(F.col(f"m{i}b"))) for i in range(MARK)])
+    near = ((100 + percent) * most >= percent * total) & ((100 + percent) * (total - differ) >= 2 * percent * total)
+    # A pair that shares a shingle just before met in that one's group; where it shares its first, nothing is dropped.
+    pairs = a.join(b, "region").where(sized & near & ~F.arrays_overlap("va", "vb")).select("a", "b").distinct()
     marks = sets.select("set_id", F.col("n_shingles").alias("n"), "sketch")
     pairs = pairs.join(marks.toDF("a", "na", "sa"), "a").join(marks.toDF("b", "nb", "sb"), "b")
     likely = (100 + percent) * (total - _differ(F.col("sa"), F.col("sb"))) >= 2 * percent * total
@@ -242,15 +253,15 @@ def _pairs(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _links(docs: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFrame:
-    """``a, b`` (a < b): every pair of distinct sets that link; sets of a likely pair get their shingles from the text."""
+    """``a, b, ca, cb`` (a < b): every pair of distinct sets that link, with their copies; sets of a likely pair get their shingles from the text."""
     pairs = _pairs(sets, percent)
     ids = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
-    wanted = saved(ids.join(sets.select("set_id", "d1", "d2"), "set_id"), "wanted")
+    wanted = saved(ids.join(sets.select("set_id", "d1", "d2", "copies"), "set_id"), "wanted")
     texts = pick(docs, "doc_id", "text").join(wanted.select(F.col("set_id").alias("doc_id")).distinct(), "doc_id")
     found = shingle_sets(texts, words).join(wanted.withColumnRenamed("set_id", "doc_id"), ["doc_id", "d1", "d2"])
-    arrays = saved(found.groupBy("doc_id", "d1", "d2").agg(F.any_value("shingles").alias("shingles")).select("doc_id", "shingles"), "arrays")
-    both = pairs.join(arrays.toDF("a", "sa"), "a").join(arrays.toDF("b", "sb"), "b")
-    out = saved(both.where(_linked(F.col("sa"), F.col("sb"), percent)).select("a", "b").distinct(), "links")
+    arrays = saved(found.groupBy("doc_id", "d1", "d2").agg(F.any_value("shingles").alias("shingles"), F.any_value("copies").alias("copies")).drop("d1", "d2"), "arrays")
+    both = pairs.join(arrays.toDF("a", "sa", "ca"), "a").join(arrays.toDF("b", "sb", "cb"), "b")
+    out = saved(both.where(_linked(F.col("sa"), F.col("sb"), percent)).select("a", "b", "ca", "cb").distinct(), "links")
     for table in (pairs, wanted, arrays):
         release(table)
     return out
@@ -273,10 +284,10 @@ def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> Da
     sets = saved(light.join(copies, ["d1", "d2"]), "sets")
     members = named.select("doc_id", "d1", "d2").join(sets.select("d1", "d2", "set_id"), ["d1", "d2"]).select("doc_id", "set_id")
     links = _links(docs, sets, words, percent)
-    roots = components(links)
+    roots = components(links.select("a", "b"))
     weight = sets.select("set_id", "copies")
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    partners = both.join(weight.withColumnRenamed("set_id", "b"), "b").groupBy(F.col("a").alias("set_id")).agg(F.sum("copies").alias("partners"))
+    partners = links.select(F.col("a").alias("set_id"), F.col("cb").alias("c")).unionByName(links.select(F.col("b").alias("set_id"), F.col("ca").alias("c")))
+    partners = partners.groupBy("set_id").agg(F.sum("c").alias("partners"))
     per_set = weight.join(partners, "set_id", "left").join(roots.select(F.col("node").alias("set_id"), "root"), "set_id", "left").select(
         "set_id", (F.col("copies") - 1 + F.coalesce("partners", F.lit(0))).alias("n_links"), F.coalesce("root", "set_id").alias("component_id")
     )

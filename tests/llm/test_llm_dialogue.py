@@ -128,3 +128,47 @@ def test_jaccard_of_the_table(spark, monkeypatch, leaf):
 
 def test_jaccard_of_nothing(spark):
     assert jaccard_join.jaccard_components(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def family(n: int, words: int = 60) -> list[tuple[int, str]]:
+    """``n`` near copies of one text, each with two words of its own, and as many texts that share only a line with it."""
+    line = [f"common{i}" for i in range(12)]
+    texts = []
+    for i in range(n):
+        w = [f"w{j}" for j in range(words)]
+        w[(7 * i) % words], w[(11 * i + 3) % words] = f"x{i % 5}", f"y{i}"
+        texts += [" ".join(line + w), " ".join(line + [f"z{i}_{j}" for j in range(words)])]
+    return [*enumerate(texts, 1)]
+
+
+def test_jaccard_candidates_are_few(spark, monkeypatch):
+    """Near copies and a common line: few pairs that don't link are left for the exact check, and no link is lost."""
+    monkeypatch.setattr(jaccard_join, "SAMPLE", 1)
+    rows = family(60)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = []
+    pairs = jaccard_join._pairs
+    monkeypatch.setattr(jaccard_join, "_pairs", lambda *a: seen.append(pairs(*a)) or seen[-1])
+    counted = []
+    monkeypatch.setattr(jaccard_join, "release", lambda table: counted.append(table.count()) if seen and table is seen[-1] else None)
+    got = {r["doc_id"]: tuple(r)[1:] for r in jaccard_join.jaccard_components(df).collect()}
+    want = plain.jaccard(rows)
+    assert got == want
+    assert counted[0] <= sum(x[2] for x in want.values()) + 60
+
+
+def test_jaccard_writes_no_table_of_all_shingles(spark, monkeypatch):
+    """Only prefixes and sketches are kept of texts that are like no other."""
+    kept = {}
+    saved = jaccard_join.saved
+
+    def watched(df, what):
+        out = saved(df, what)
+        kept[what] = max(kept.get(what, 0), sum(x[0] or 0 for c, t in df.dtypes if t == "array<bigint>" for x in out.selectExpr(f"sum(size({c}))").collect()))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "saved", watched)
+    rows = [(i, " ".join(f"w{i}_{j}" for j in range(2_000))) for i in range(40)]
+    got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["n_links"]) for r in got) == [(i, 1998, i, 0) for i in range(40)]
+    assert all(n < 0.2 * 40 * 1998 for n in kept.values())
