@@ -42,7 +42,7 @@ SAMPLE, OFTEN, LATE = 16, 4, 262_144
 #: Longs of the smallest sketch; a set of more than twice its bits gets a larger one, by powers of two.
 SKETCH = 8
 #: Longs of the folded sketch, and shingles of the prefix just before, that a set brings along when it meets others.
-MARK, BEFORE = 4, 3
+MARK, BEFORE = 8, 3
 #: Rows that a task hands to Spark at a time.
 ROWS = 512
 
