@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from grove.llm import line_dedup, near_dup, packing, pieces, quality_model, quality_rules, simhash, toxicity
+from grove.llm import components as component_steps
 from grove.llm.components import components
 from grove.llm.queries import vocabulary
 from tests.llm import plain
@@ -54,6 +55,27 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+@pytest.mark.parametrize("nodes", [component_steps.NODES, 0])
+def test_components_of_dense_groups(spark, monkeypatch, nodes):
+    """Groups that all link with all leave fewer links than their nodes in each task; a task that starts afresh loses none."""
+    monkeypatch.setattr(component_steps, "NODES", nodes)
+    written = []
+    saved = component_steps.saved
+
+    def watched(df, what):
+        out = saved(df, what)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(component_steps, "saved", watched)
+    groups = [range(80), range(100, 160), range(200, 202)]
+    pairs = [(a, b) if (a + b) % 2 else (b, a) for g in groups for a in g for b in g if a < b] + [(79, 100), (5, 5)]
+    tasks = 3
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(pairs, "a long, b long").repartition(tasks)).collect()}
+    assert got == {**dict.fromkeys([*range(80), *range(100, 160)], 0), 200: 200, 201: 200}
+    assert max(written) <= tasks * len(got) < len(pairs) / 10
+
+
 def test_block_tables_find_all(spark):
     prints = clustered(120, 8)
     df = spark.createDataFrame([(as_long(p),) for p in prints], "fingerprint long")
