@@ -255,7 +255,9 @@ def _pairs(sets: DataFrame, percent: int) -> DataFrame:
 def _links(docs: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFrame:
     """``a, b, ca, cb`` (a < b): every pair of distinct sets that link, with their copies; sets of a likely pair get their shingles from the text."""
     pairs = _pairs(sets, percent)
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
+    # Each end is counted down to its sets before they meet, so no table of both ends of all pairs is made.
+    ends = [pairs.select(F.col(x).alias("set_id")).distinct() for x in ("a", "b")]
+    ids = ends[0].unionByName(ends[1]).distinct()
     wanted = saved(ids.join(sets.select("set_id", "d1", "d2", "copies"), "set_id"), "wanted")
     texts = pick(docs, "doc_id", "text").join(wanted.select(F.col("set_id").alias("doc_id")).distinct(), "doc_id")
     found = shingle_sets(texts, words).join(wanted.withColumnRenamed("set_id", "doc_id"), ["doc_id", "d1", "d2"])
@@ -286,8 +288,8 @@ def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> Da
     links = _links(docs, sets, words, percent)
     roots = components(links.select("a", "b"))
     weight = sets.select("set_id", "copies")
-    partners = links.select(F.col("a").alias("set_id"), F.col("cb").alias("c")).unionByName(links.select(F.col("b").alias("set_id"), F.col("ca").alias("c")))
-    partners = partners.groupBy("set_id").agg(F.sum("c").alias("partners"))
+    ends = [links.groupBy(F.col(x).alias("set_id")).agg(F.sum(f"c{y}").alias("c")) for x, y in ("ab", "ba")]
+    partners = ends[0].unionByName(ends[1]).groupBy("set_id").agg(F.sum("c").alias("partners"))
     per_set = weight.join(partners, "set_id", "left").join(roots.select(F.col("node").alias("set_id"), "root"), "set_id", "left").select(
         "set_id", (F.col("copies") - 1 + F.coalesce("partners", F.lit(0))).alias("n_links"), F.coalesce("root", "set_id").alias("component_id")
     )

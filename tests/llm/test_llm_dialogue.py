@@ -157,6 +157,17 @@ def test_jaccard_candidates_are_few(spark, monkeypatch):
     assert counted[0] <= sum(x[2] for x in want.values()) + 60
 
 
+def test_jaccard_pairs_are_not_doubled(spark, monkeypatch):
+    """The sets of candidate pairs are found without a row for each end of each pair."""
+    plans = {}
+    saved = jaccard_join.saved
+    monkeypatch.setattr(jaccard_join, "saved", lambda df, what: plans.update({what: df._jdf.queryExecution().optimizedPlan().toString()}) or saved(df, what))
+    rows = family(12)
+    got = {r["doc_id"]: tuple(r)[1:] for r in jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == plain.jaccard(rows) and any(x[2] for x in got.values())
+    assert "Generate" not in plans["wanted"]
+
+
 def test_jaccard_writes_no_table_of_all_shingles(spark, monkeypatch):
     """Only prefixes and sketches are kept of texts that are like no other."""
     kept = {}
