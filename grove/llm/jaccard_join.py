@@ -230,10 +230,11 @@ def _pairs(sets: DataFrame, percent: int) -> DataFrame:
         regions, any_split = _split(regions, sets, percent)
         if not any_split:
             break
-    known = sets.select("set_id", "prefix", _folded(F.col("sketch"), MARK).alias("mark")).select("set_id", "prefix", *[F.col("mark")[i].alias(f"m{i}") for i in range(MARK)])
+    known = sets.select("set_id", "prefix", (F.size("sketch") > MARK).alias("more"), _folded(F.col("sketch"), MARK).alias("mark"))
+    known = known.select("set_id", "prefix", "more", *[F.col("mark")[i].alias(f"m{i}") for i in range(MARK)])
     before = F.slice("prefix", F.greatest(F.col("place") - BEFORE, F.lit(1)), F.least(F.col("place") - 1, F.lit(BEFORE)))
-    rows = regions.join(known, "set_id").select("set_id", "n", "place", before.alias("before"), *[f"m{i}" for i in range(MARK)], "region", "home")
-    names = ("", "n", "p", "v", *[f"m{i}" for i in range(MARK)])
+    rows = regions.join(known, "set_id").select("set_id", "n", "place", before.alias("before"), "more", *[f"m{i}" for i in range(MARK)], "region", "home")
+    names = ("", "n", "p", "v", "more_", *[f"m{i}" for i in range(MARK)])
     a = rows.where("home").drop("home").toDF(*[f"{x}a" for x in names], "region")
     b = rows.drop("home").toDF(*[f"{x}b" for x in names], "region")
     total = F.col("na") + F.col("nb")
@@ -243,12 +244,15 @@ def _pairs(sets: DataFrame, percent: int) -> DataFrame:
     differ = functools.reduce(operator.add, [F.bit_count(F.col(f"m{i}a").bitwiseXOR(F.col(f"m{i}b"))) for i in range(MARK)])
     near = ((100 + percent) * most >= percent * total) & ((100 + percent) * (total - differ) >= 2 * percent * total)
     # A pair that shares a shingle just before met in that one's group; where it shares its first, nothing is dropped.
-    pairs = a.join(b, "region").where(sized & near & ~F.arrays_overlap("va", "vb")).select("a", "b").distinct()
+    met = a.join(b, "region").where(sized & near & ~F.arrays_overlap("va", "vb")).select("a", "b", (F.col("more_a") | F.col("more_b")).alias("more"))
+    met = saved(met.distinct(), "met")
+    # Where both sketches are no longer than what was compared, there is no more to compare.
     marks = sets.select("set_id", F.col("n_shingles").alias("n"), "sketch")
-    pairs = pairs.join(marks.toDF("a", "na", "sa"), "a").join(marks.toDF("b", "nb", "sb"), "b")
+    pairs = met.where("more").join(marks.toDF("a", "na", "sa"), "a").join(marks.toDF("b", "nb", "sb"), "b")
     likely = (100 + percent) * (total - _differ(F.col("sa"), F.col("sb"))) >= 2 * percent * total
-    out = saved(pairs.where(likely).select("a", "b"), "pairs")
-    release(regions)
+    out = saved(met.where("NOT more").select("a", "b").unionByName(pairs.where(likely).select("a", "b")), "pairs")
+    for table in (regions, met):
+        release(table)
     return out
 
 

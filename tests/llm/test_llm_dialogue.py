@@ -168,6 +168,26 @@ def test_jaccard_pairs_are_not_doubled(spark, monkeypatch):
     assert "Generate" not in plans["wanted"]
 
 
+def test_jaccard_compares_whole_sketches_once(spark, monkeypatch):
+    """Only pairs with a set whose sketch is longer than its folded one meet their sketches again."""
+    met = []
+    saved = jaccard_join.saved
+
+    def watched(df, what):
+        out = saved(df, what)
+        if what == "met":
+            met.extend(tuple(r) for r in out.collect())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "saved", watched)
+    n = 128 * jaccard_join.MARK
+    long = [(100 + i, " ".join([*(f"v{j}" for j in range(n + 50)), *(f"q{i}_{j}" for j in range(20 * i))])) for i in range(4)]
+    rows = family(12) + long
+    got = {r["doc_id"]: tuple(r)[1:] for r in jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == plain.jaccard(rows) and got[100][2] == 3
+    assert {(a >= 100, more) for a, _, more in met} == {(False, False), (True, True)}
+
+
 def test_jaccard_writes_no_table_of_all_shingles(spark, monkeypatch):
     """Only prefixes and sketches are kept of texts that are like no other."""
     kept = {}
