@@ -124,10 +124,10 @@ class Forest:
 
     def set_cuts(self, bins: BinSet) -> Forest:
         """Bin thresholds back to cuts on original values."""
-        for tree in self.trees:
-            for node in tree.nodes:
-                if node.left >= 0:
-                    node.cut = bins.cut_value(node.feature, node.bin)
+        inner = [node for tree in self.trees for node in tree.nodes if node.left >= 0]
+        cuts = bins.cut_values((node.feature, node.bin) for node in inner)
+        for node in inner:
+            node.cut = cuts[node.feature, node.bin]
         return self
 
 

@@ -7,7 +7,7 @@ A feature with boundaries ``b_0 < b_1 < ...`` maps a value to the number of boun
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -30,7 +30,8 @@ DENSE_MAX_BINS = 65_000
 
 # A feature with more distinct values than this is cut by distributed rounds, not in one task.
 LOCAL_VALUES = 500_000
-MAX_BOUNDARIES = 20_000_000  # of the whole set: it is held by the driver and by every worker
+MAX_BOUNDARIES = 20_000_000  # of the whole set but those kept in tables: it is held by the driver and by every worker
+KEPT_BOUNDARIES = 500_000  # the boundaries of a dense feature that has more stay in a table
 CASE_BOUNDARIES = 300
 INLINE_BOUNDARIES = 16
 BROADCAST_BINS = 2_000_000  # bins that a join with long rows sends to every worker
@@ -304,14 +305,54 @@ def _fit_distributed(summary: DataFrame, max_bins: int, least: float, l2: float,
 # ---------------------------------------------------------------- the set of bins
 
 
+class KeptBoundaries:
+    """The sorted boundaries of a feature that has too many for the driver and the workers: a table ``boundary, at`` (0, 1, ...).
+
+    It stands where an array would; only a loop or ``np.asarray`` collects it.
+    """
+
+    def __init__(self, df: DataFrame, size: int):
+        self.df, self.size = df, size
+        self.known: dict[int, float] = {}
+
+    def __len__(self) -> int:
+        return self.size
+
+    def __array__(self, dtype=None, copy=None) -> np.ndarray:
+        _check_boundaries(self.size)
+        return np.sort(self.df.select("boundary").toArrow().column("boundary").to_numpy()).astype(dtype or float)
+
+    def __iter__(self) -> Iterator[float]:
+        return iter(np.asarray(self))
+
+    def values(self, at: Iterable[int]) -> dict[int, float]:
+        """The boundaries at some places."""
+        missing = sorted(set(map(int, at)) - set(self.known))
+        if missing:
+            self.known.update(self.df.where(F.col("at").isin(missing)).select("at", "boundary").collect())
+        return self.known
+
+    def places(self, cuts: Iterable[float]) -> dict[float, int]:
+        """The first places of boundaries that are known to be there."""
+        found = self.df.where(F.col("boundary").isin(sorted(map(float, cuts)))).groupBy("boundary").agg(F.min("at")).collect()
+        return {r[0]: int(r[1]) for r in found}
+
+    def with_cuts(self, cuts: Iterable[float]) -> KeptBoundaries:
+        added = self.df.sparkSession.createDataFrame([(float(c),) for c in cuts], "value double")
+        values = self.df.select(F.col("boundary").alias("value")).unionByName(added).distinct()
+        kept = cut_lineage(_ranked(values.withColumn("feature", F.lit(0)), TARGET_ROWS).withColumnRenamed("value", "boundary"))
+        size = kept.count()
+        return KeptBoundaries(kept.unpersist(), size)
+
+
 @dataclass
 class BinSet:
-    """Boundaries per feature. ``sparse`` sets hold the kept features only.
+    """Boundaries per feature, an array or ``KeptBoundaries`` each. ``sparse`` sets hold the kept features only.
 
     An absent sparse cell is the lowest bin, or the bin of value 0 when ``missing`` is ``zero``.
     """
 
-    boundaries: dict[int, np.ndarray]
+    boundaries: dict[int, np.ndarray | KeptBoundaries]
     gains: dict[int, float] = field(default_factory=dict)
     sparse: bool = False
     missing: str = "lowest"
@@ -328,8 +369,21 @@ class BinSet:
     def sizes(self) -> dict[int, int]:
         return {f: len(b) + 1 for f, b in self.boundaries.items()}
 
-    def cut_value(self, feature: int, bin_: int) -> float:
-        return float(self.boundaries[feature][bin_])
+    @property
+    def kept(self) -> dict[int, KeptBoundaries]:
+        return {f: b for f, b in self.boundaries.items() if isinstance(b, KeptBoundaries)}
+
+    def cut_values(self, cuts: Iterable[tuple[int, int]]) -> dict[tuple[int, int], float]:
+        """The values of cuts ``(feature, bin)``; those in a table are looked up by one job a feature."""
+        cuts = set(cuts)
+        edges = {f: b.values(i for g, i in cuts if g == f) for f, b in self.kept.items()}
+        return {(f, i): float((edges[f] if f in edges else self.boundaries[f])[i]) for f, i in cuts}
+
+    def cut_bins(self, cuts: Iterable[tuple[int, float]]) -> dict[tuple[int, float], int]:
+        """The bins of cuts ``(feature, value)``."""
+        cuts = set(cuts)
+        places = {f: b.places(c for g, c in cuts if g == f) for f, b in self.kept.items()}
+        return {(f, c): places[f][c] if f in places else int(np.searchsorted(self.boundaries[f], c)) for f, c in cuts}
 
     def to_df(self, spark: SparkSession) -> DataFrame:
         """One row per bin: ``(lo, hi]``."""
@@ -358,36 +412,57 @@ class BinSet:
         )
 
 
+def _check_boundaries(total: int) -> None:
+    if total > MAX_BOUNDARIES:
+        raise ValueError(f"{total} boundaries, which every worker would hold: set max_bins (coarser bins) or max_features")
+
+
 def _collect_bins(fitted: DataFrame, sparse: bool, extra: list[tuple]) -> BinSet:
     """Boundaries for the driver and the workers; their number is known before any is collected."""
     kept = cut_lineage(fitted)
-    total = (kept.agg(F.sum(F.size("boundaries"))).first()[0] or 0) + sum(len(r[1]) for r in extra)
-    if total > MAX_BOUNDARIES:
-        raise ValueError(f"{total} boundaries, which every worker would hold: set max_bins (coarser bins) or max_features")
+    _check_boundaries((kept.agg(F.sum(F.size("boundaries"))).first()[0] or 0) + sum(len(r[1]) for r in extra))
     rows = [tuple(r) for r in kept.collect()] + extra
     kept.unpersist()
     return BinSet({r[0]: np.array(r[1], float) for r in rows}, {r[0]: float(r[2]) for r in rows}, sparse)
 
 
-def _midpoints(summary: DataFrame, max_bins: int | None, target_rows: int = TARGET_ROWS) -> DataFrame:
-    """``feature, boundary``: midpoints between neighbouring distinct values of the features of at most ``max_bins``
-    values, one row each. Neighbours come from running windows inside ordered buckets, so no task holds a whole feature."""
+def _ranked(values: DataFrame, target_rows: int) -> DataFrame:
+    """``feature, value, next_value, at`` of distinct values: the place of each in its feature."""
+    ones = values.select("feature", "value", F.lit(1).cast("bigint").alias("one"))
+    return running_sums(ones, ["feature"], "value", ["one"], target_rows).select("feature", "value", "next_value", (F.col("cum_one") - 1).alias("at"))
+
+
+def _midpoints(summary: DataFrame, max_bins: int | None, target_rows: int = TARGET_ROWS, ranked: bool = False) -> DataFrame:
+    """``feature, boundary`` (with ``ranked`` also its place ``at``): midpoints between neighbouring distinct values of the features
+    of at most ``max_bins`` values, one row each. Neighbours come from running windows inside ordered buckets, so no task holds a whole feature."""
     if max_bins is not None:
         few = summary.groupBy("feature").agg(F.count(F.lit(1)).alias("_v")).filter(F.col("_v") <= max_bins)
         summary = summary.join(few, "feature", "left_semi")
-    ordered = running_sums(summary.select("feature", "value"), ["feature"], "value", [], target_rows)
-    return ordered.where(F.col("next_value").isNotNull()).select("feature", (0.5 * (F.col("value") + F.col("next_value"))).alias("boundary"))
+    if ranked:
+        ordered = _ranked(summary, target_rows)
+    else:
+        ordered = running_sums(summary.select("feature", "value"), ["feature"], "value", [], target_rows)
+    middle = (0.5 * (F.col("value") + F.col("next_value"))).alias("boundary")
+    return ordered.where(F.col("next_value").isNotNull()).select("feature", middle, *(["at"] if ranked else []))
+
 
+def _collect_midpoints(long: DataFrame, features: list[int], sparse: bool, wide: Iterable[int] = ()) -> BinSet:
+    """The boundaries of a ``feature, boundary`` table, counted before any is collected; rows come from every task.
 
-def _collect_midpoints(long: DataFrame, features: list[int], sparse: bool) -> BinSet:
-    """The boundaries of a ``feature, boundary`` table, counted before any is collected; rows come from every task."""
+    Those of ``wide`` features stay in the table, which has their places ``at`` then.
+    """
     kept = cut_lineage(long)
-    total = kept.count()
-    if total > MAX_BOUNDARIES:
-        raise ValueError(f"{total} boundaries, which every worker would hold: set max_bins (coarser bins) or max_features")
-    pdf = kept.toPandas()
+    sizes = {r["feature"]: r["n"] for r in kept.where(F.col("feature").isin(*wide)).groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()} if wide else {}
+    few = kept.where(~F.col("feature").isin(*wide)) if wide else kept
+    _check_boundaries(few.count())
+    rows = few.select("feature", "boundary").toArrow()
     kept.unpersist()
-    found = {int(f): np.sort(g["boundary"].to_numpy(float)) for f, g in pdf.groupby("feature")}
+    names, edges = rows.column("feature").to_numpy(), rows.column("boundary").to_numpy()
+    order = np.lexsort((edges, names))
+    names, edges = names[order], edges[order]
+    starts = np.flatnonzero(np.diff(names, prepend=names[:1] - 1))
+    found = {int(names[s]): e for s, e in zip(starts, np.split(edges, starts[1:]))}
+    found |= {f: KeptBoundaries(kept.where(F.col("feature") == f).select("boundary", "at"), sizes[f]) for f in wide}
     return BinSet({f: found.get(f, np.zeros(0)) for f in features}, dict.fromkeys(features, 0.0), sparse)
 
 
@@ -400,7 +475,7 @@ def fit_fine_bins(
 ) -> BinSet:
     """Every distinct value its own bin; with ``max_bins``, features of more values than that get greedy bins instead.
 
-    For sparse tables an absent cell counts as the value 0.
+    For sparse tables an absent cell counts as the value 0. Boundaries of a dense feature stay in a table where they are many.
     """
     sparse = table.schema["features"].dataType.typeName() == "map"
     summary = cut_lineage(value_summary(table, rescale=not sparse))
@@ -408,7 +483,8 @@ def fit_fine_bins(
         summary = cut_lineage(_add_absent(summary, table, min_occurrences, 0.0))
     counts = {r["feature"]: r["_v"] for r in summary.groupBy("feature").agg(F.count(F.lit(1)).alias("_v")).collect()}  # one row a feature
     fine_features = sorted(f for f, v in counts.items() if max_bins is None or v <= max_bins)
-    fine = _collect_midpoints(_midpoints(summary, max_bins, target_rows), fine_features, sparse)
+    wide = [] if sparse else [f for f in fine_features if counts[f] - 1 > KEPT_BOUNDARIES]
+    fine = _collect_midpoints(_midpoints(summary, max_bins, target_rows, bool(wide)), fine_features, sparse, wide)
     many = None
     if max_bins is not None:
         many = summary.groupBy("feature").agg(F.count(F.lit(1)).alias("_v")).filter(F.col("_v") > max_bins)
@@ -562,8 +638,31 @@ def sparse_bins(spark: SparkSession, bins: BinSet, features: str = "features") -
 
 def apply_bins(table: DataFrame, bins: BinSet, features: str = "features", out: str = "bins") -> DataFrame:
     spark = table.sparkSession
-    column = sparse_bins(spark, bins, features) if bins.sparse else dense_bins(bins, features)
-    return table.withColumn(out, column)
+    kept = bins.kept
+    if not kept:
+        column = sparse_bins(spark, bins, features) if bins.sparse else dense_bins(bins, features)
+        return table.withColumn(out, column)
+    placed = _placed_values(table, kept, features)
+    others = BinSet({f: np.zeros(0) if f in kept else b for f, b in bins.boundaries.items()})
+    joined, cases = table, ""
+    for f, edges in kept.items():
+        own = placed.where(F.col("feature") == f).select(F.col("value").alias(f"_value{f}"), F.col("bin").alias(f"_bin{f}"))
+        joined = joined.join(own.hint("merge"), F.col(features)[f].cast("double") == F.col(f"_value{f}"), "left")
+        cases += f" WHEN {f} THEN coalesce(_bin{f}, {len(edges)})"  # a null is no less than any cut
+    binned = joined.withColumn(out, dense_bins(others, features)).withColumn(out, F.expr(f"transform({out}, (b, i) -> CASE i{cases} ELSE b END)"))
+    return binned.drop(*(f"{name}{f}" for f in kept for name in ("_value", "_bin")))
+
+
+def _placed_values(table: DataFrame, kept: dict[int, KeptBoundaries], features: str) -> DataFrame:
+    """``feature, value, bin`` of every distinct value of some features: the number of boundaries below it, as a running count."""
+    cells = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(features)[f].cast("double").alias("value")) for f in kept])
+    marks = table.select(F.explode(cells).alias("c")).select("c.*", F.lit(0).cast("bigint").alias("m"), F.lit(True).alias("here")).where("value IS NOT NULL")
+    for f, edges in kept.items():
+        marks = marks.unionByName(edges.df.select(F.lit(f).alias("feature"), F.col("boundary").alias("value"), F.lit(1).cast("bigint").alias("m"), F.lit(False).alias("here")))
+    counts = cut_lineage(marks.groupBy("feature", "value").agg(F.sum("m").alias("m"), F.max("here").alias("here")))
+    ranked = running_sums(counts, ["feature"], "value", ["m"])
+    counts.unpersist()
+    return ranked.where("here").select("feature", "value", (F.col("cum_m") - F.col("m")).cast("int").alias("bin"))
 
 
 def boundary_arrays(bins: DataFrame) -> DataFrame:

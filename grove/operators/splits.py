@@ -12,23 +12,52 @@ from grove.session import cut_lineage
 RELATIVE_TIE = 1e-9  # sums of different task orders differ in the last bits
 SLOT_BITS = 16  # ranges of drawn numbers that a share of the features is counted by
 BINNED_TIE = 1e-6  # fixed value: gains this close are equal to the binned engine
+RANGE_BINS = 250_000  # bins of one feature in one node that a task runs over
 
 
-def split_candidates(hist: DataFrame, min_rows: int = 0, min_sample: float | None = None) -> DataFrame:
-    """Left and right sums of every cut ``bin <= b``.
-
-    ``min_rows`` bounds the rows of both sides; ``min_sample`` bounds both sides' share of ``h``. A window
-    here covers the bins of one feature in one node, which is bounded by the number of bins.
-    """
-    inside = Window.partitionBy("node", "feature")
-    running = inside.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    sums = hist.select(
+def _sums_by_range(hist: DataFrame) -> DataFrame:
+    """Running and whole sums of every node and feature whose bins are too many for one window: sums run inside a range
+    of bins, and the sums of the ranges before are added."""
+    ranged = hist.withColumn("_range", F.expr(f"bin div {RANGE_BINS}"))
+    running = Window.partitionBy("node", "feature", "_range").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged.select("node", "feature", "_range", "bin", *[F.sum(c).over(running).alias(f"_{c}") for c in "ghn"])
+    whole = Window.partitionBy("node", "feature")
+    before = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy("node", "feature", "_range").agg(*[F.sum(c).alias(c) for c in "ghn"]).select(
+        "node",
+        "feature",
+        "_range",
+        *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_{c}_before") for c in "ghn"],
+        *[F.sum(c).over(whole).alias(f"{c}_total") for c in "ghn"],
+    )
+    # The windows have the rows in the order of this merge.
+    return local.join(offsets.hint("merge"), ["node", "feature", "_range"]).select(
         "node",
         "feature",
         "bin",
-        *[F.sum(c).over(running).alias(f"{c}_left") for c in "ghn"],
-        *[F.sum(c).over(inside).alias(f"{c}_total") for c in "ghn"],
+        *[(F.col(f"_{c}") + F.col(f"_{c}_before")).alias(f"{c}_left") for c in "ghn"],
+        *[f"{c}_total" for c in "ghn"],
     )
+
+
+def split_candidates(hist: DataFrame, min_rows: int = 0, min_sample: float | None = None, n_bins: int = 0) -> DataFrame:
+    """Left and right sums of every cut ``bin <= b``.
+
+    ``min_rows`` bounds the rows of both sides; ``min_sample`` bounds both sides' share of ``h``. A window
+    here covers the bins of one feature in one node; where ``n_bins``, the most of a feature, are many, a range of them.
+    """
+    if n_bins > RANGE_BINS:
+        sums = _sums_by_range(hist)
+    else:
+        inside = Window.partitionBy("node", "feature")
+        running = inside.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+        sums = hist.select(
+            "node",
+            "feature",
+            "bin",
+            *[F.sum(c).over(running).alias(f"{c}_left") for c in "ghn"],
+            *[F.sum(c).over(inside).alias(f"{c}_total") for c in "ghn"],
+        )
     cand = sums.filter("n_left < n_total").select(
         "*", *[(F.col(f"{c}_total") - F.col(f"{c}_left")).alias(f"{c}_right") for c in "ghn"]
     )

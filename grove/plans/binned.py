@@ -174,7 +174,8 @@ class BinnedTrainer:
         facts = self.rows.spark.createDataFrame(
             [(s, 0, float(w)) for s, w in enumerate(starts)], "node int, depth int, weight double"
         )
-        cuts = split_gain(split_candidates(hist, min_sample=self.min_sample), "binned", l1=l1, l2=l2, node_facts=facts)
+        cand = split_candidates(hist, min_sample=self.min_sample, n_bins=max(self.rows.sizes))
+        cuts = split_gain(cand, "binned", l1=l1, l2=l2, node_facts=facts)
         for r in best_splits(cuts, BINNED_TIE).collect():
             c, x = keys[r["node"]]
             scored[c][x] = {

@@ -65,17 +65,19 @@ def _with_cuts(bins: BinSet, forest: Forest | None) -> BinSet:
         for node in tree.nodes:
             if node.left >= 0:
                 cuts.setdefault(node.feature, set()).add(node.cut)
-    merged = {f: np.array(sorted(set(map(float, b)) | cuts.get(f, set()))) for f, b in bins.boundaries.items()}
+    kept = bins.kept
+    merged = {f: np.array(sorted(set(map(float, b)) | cuts.get(f, set()))) for f, b in bins.boundaries.items() if f not in kept}
+    merged.update({f: b.with_cuts(cuts[f]) if f in cuts else b for f, b in kept.items()})
     merged.update({f: np.array(sorted(c)) for f, c in cuts.items() if f not in merged})
     return BinSet(merged, bins.gains, bins.sparse, bins.missing)
 
 
 def _trees_on_bins(forest: Forest, bins: BinSet) -> list[Tree]:
     trees = forest.copy().trees
-    for tree in trees:
-        for node in tree.nodes:
-            if node.left >= 0:
-                node.bin = int(np.searchsorted(bins.boundaries[node.feature], node.cut))
+    inner = [node for tree in trees for node in tree.nodes if node.left >= 0]
+    places = bins.cut_bins((node.feature, node.cut) for node in inner)
+    for node in inner:
+        node.bin = places[node.feature, node.cut]
     return trees
 
 

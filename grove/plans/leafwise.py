@@ -20,7 +20,7 @@ from grove.functions import gains
 from grove.functions.losses import CLASSIFICATION, EXPO_FAMILY, check_loss, loss_sql
 from grove.operators.correct import CORRECTIONS, MAX_GRAM, check_gram, gram_update
 from grove.operators.penalty import Shape, derivative_matrix, leaf_terms, split_terms
-from grove.operators.splits import best_splits, split_candidates, split_gain
+from grove.operators.splits import RANGE_BINS, best_splits, split_candidates, split_gain
 from grove.plans.rows import PENDING_NODES, TrainingRows, best_of, frontier_sql
 
 ROOT = (-1, 0)
@@ -321,8 +321,10 @@ class LeafwiseTrainer:
         allowed = self._allowed()
         if allowed is not None:
             hist = hist.filter(F.col("feature").isin([f for f, a in zip(self.rows.features, allowed) if a]))
+        widest = max(self.rows.sizes)
+        kept = hist.persist() if widest > RANGE_BINS else hist  # many bins are read several times
         scored = split_gain(
-            split_candidates(hist, self.min_rows), self._kind(), nlam, nsig, self.p.reg_depth, node_facts=table
+            split_candidates(kept, self.min_rows, n_bins=widest), self._kind(), nlam, nsig, self.p.reg_depth, node_facts=table
         )
         for key in keys:
             self.ready[key] = None
@@ -331,6 +333,8 @@ class LeafwiseTrainer:
                 "gain": r["gain"], "w_left": r["left_weight"], "w_right": r["right_weight"], "bin": r["bin"],
                 "position": self.rows.position[r["feature"]], "n_left": r["n_left"], "n_right": r["n_right"],
             }
+        if widest > RANGE_BINS:
+            kept.unpersist()
 
     # ------------------------------------------------------------ growth
 

@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 from grove.forest import Tree
 from grove.functions.losses import derivative_sql
 from grove.functions.trees import Access, forest_sql, forest_value, number, tree_case
-from grove.operators.binning import BinSet, apply_bins
+from grove.operators.binning import KEPT_BOUNDARIES, BinSet, apply_bins
 from grove.operators.histogram import node_histogram, node_histogram_sparse
 from grove.session import cut_lineage
 
-# Histograms of one job are held by the driver up to this many cells; beyond it the search is a job too.
+# Histograms of one job are held by the driver up to this many cells and bins of a feature; beyond it the search is a job too.
 DRIVER_CELLS = 10_000_000
+DRIVER_BINS = KEPT_BOUNDARIES + 1
 # Pending trees are folded into the stored score before their expression gets long.
 PENDING_NODES = 100
 SMALL_TABLE = 8_000_000
@@ -143,7 +144,8 @@ class TrainingRows:
     # ------------------------------------------------------------ sums
 
     def fits_driver(self, n_nodes: int) -> bool:
-        return n_nodes * len(self.features) * max(self.sizes) <= DRIVER_CELLS
+        widest = max(self.sizes)
+        return widest <= DRIVER_BINS and n_nodes * len(self.features) * widest <= DRIVER_CELLS
 
     def histogram(self, slot: str, deltas: list[float], totals: bool = True) -> DataFrame:
         """Histogram per slot; ``slot`` is SQL (NULL: not wanted), ``deltas`` are added to its scores.
@@ -163,17 +165,19 @@ class TrainingRows:
     def collect_histogram(self, hist: DataFrame, n_slots: int) -> np.ndarray:
         """``[slot, (g, h, n), feature position, bin]``; the caller has checked ``fits_driver``."""
         out = np.zeros((n_slots, 3, len(self.features), max(self.sizes)))
-        pdf = hist.toPandas()
-        cells = pdf[pdf["feature"] >= 0]
-        at = cells["feature"].map(self.position).to_numpy(int)
-        for k, name in enumerate("ghn"):
-            out[cells["node"].to_numpy(int), k, at, cells["bin"].to_numpy(int)] = cells[name].to_numpy(float)
+        # As columns: a row object for each cell would take many times their memory here and in the JVM.
+        found = hist.select("node", "feature", "bin", "g", "h", "n").toArrow()
+        node, feature, bin_, *sums = (c.to_numpy() for c in found.columns)
+        held = feature >= 0
+        cells = node[held], np.searchsorted(self.features, feature[held]), bin_[held]
+        for k, values in enumerate(sums):
+            out[cells[0], k, cells[1], cells[2]] = values[held]
         if self.sparse:
             absent = np.array([self.bins.default_bin(f) for f in self.features])
-            for r in pdf[pdf["feature"] < 0].itertuples():
-                unheld = np.flatnonzero(out[r.node, 2].sum(axis=1) == 0)
-                for k, value in enumerate((r.g, r.h, r.n)):
-                    out[r.node, k, unheld, absent[unheld]] = value
+            for r in np.flatnonzero(~held):
+                unheld = np.flatnonzero(out[node[r], 2].sum(axis=1) == 0)
+                for k, values in enumerate(sums):
+                    out[node[r], k, unheld, absent[unheld]] = values[r]
         return out
 
     def group_sums(self, tree: Tree, group: list[int]) -> tuple[np.ndarray, np.ndarray]:

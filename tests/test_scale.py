@@ -6,8 +6,13 @@ from pyspark.sql import functions as F
 
 from grove.operators import binning as B
 from grove.operators import splits
-from grove.operators.folds import drawn
+from grove.operators.folds import drawn, folds
+from grove.plans import leafwise
 from grove.plans import rows as rows_of_run
+from grove.plans.binned import BinnedParams
+from grove.plans.fit import fit_forest
+from grove.plans.leafwise import LeafwiseParams
+from grove.plans.validate import cross_validate
 from grove.queries import inputs
 from grove.sources import text
 
@@ -119,3 +124,87 @@ def test_partitions_of_maps_follow_their_cells(spark, monkeypatch):
     got = rows_of_run.binned_rows(table, bins, 100)
     assert got.rdd.getNumPartitions() == 40
     assert sorted(map(str, got.select("label", "bins").collect())) == sorted(map(str, B.apply_bins(table, bins).select("label", "bins").collect()))
+
+
+def many_values(spark):
+    """Four hundred rows: a feature of some 300 values, one of 9, one of some 250."""
+    rng = np.random.default_rng(11)
+    x, z, v = rng.integers(0, 700, 400), rng.integers(0, 9, 400), rng.normal(size=400).round(2)
+    rows = [([float(a), float(b), float(c)], float(a % 50 + 3 * b + 20 * c), float(1 + i % 3), i) for i, (a, b, c) in enumerate(zip(x, z, v))]
+    return spark.createDataFrame(rows, "features array<double>, label double, weight double, row_id int")
+
+
+def few_on_the_driver(monkeypatch):
+    """Features of more than 40 boundaries stay in tables; windows run over 30 bins."""
+    monkeypatch.setattr(B, "KEPT_BOUNDARIES", 40, raising=False)
+    monkeypatch.setattr(rows_of_run, "DRIVER_BINS", 41, raising=False)
+    for module in (splits, leafwise):
+        monkeypatch.setattr(module, "RANGE_BINS", 30, raising=False)
+
+
+def test_cross_validation_leaves_the_bins_of_many_values_off_the_driver(spark, monkeypatch):
+    """The same metrics as with all boundaries and histograms on the driver, which gets few rows at a time."""
+    table = folds(many_values(spark), 2, "row_id")
+    params = LeafwiseParams(max_leaf=4, opt_interval=2, test_interval=2, min_samples_leaf=20)
+    want = cross_validate(table, params).orderBy("seq").collect()
+    few_on_the_driver(monkeypatch)
+    got, kind = [], type(table)
+    for name in ("collect", "toPandas", "toArrow"):
+        plain = getattr(kind, name)
+        monkeypatch.setattr(kind, name, lambda self, plain=plain: got.append(plain(self)) or got[-1])
+    found = cross_validate(table, params).orderBy("seq").collect()
+    assert max(map(len, got)) <= 100
+    assert len(found) == len(want) == 2
+    for a, b in zip(found, want):
+        np.testing.assert_allclose(list(a), list(b), rtol=1e-9)
+
+
+@pytest.mark.parametrize("params", [
+    LeafwiseParams(max_leaf=4, min_samples_leaf=5), BinnedParams(n_estimators=1, max_leaf=3, min_samples_leaf=5, l2=1.0),
+])
+def test_forests_of_bins_in_tables(spark, monkeypatch, params):
+    """Boundaries in tables give the forest that arrays give, and one trained on from it."""
+    table = many_values(spark).drop("row_id")
+    longer = {"max_leaf": 6} if isinstance(params, LeafwiseParams) else {"n_estimators": 2}
+
+    def run():
+        bins = B.fit_fine_bins(table)
+        first = fit_forest(table, params, bins=bins).forest
+        second = fit_forest(table, type(params)(**vars(params) | longer), bins=bins, init_model=first).forest
+        return bins, [(n.feature, n.cut, n.n, round(n.weight, 8)) for f in (first, second) for t in f.trees for n in t.nodes]
+
+    plain, want = run()
+    few_on_the_driver(monkeypatch)
+    bins, found = run()
+    assert [isinstance(bins.boundaries[f], B.KeptBoundaries) for f in range(3)] == [True, False, True] and len(want) > 10
+    assert found == want
+    for f in range(3):
+        assert len(bins.boundaries[f]) == len(plain.boundaries[f]) and np.asarray(bins.boundaries[f]).tolist() == plain.boundaries[f].tolist()
+    assert sorted(bins.to_df(spark).drop("gain").collect()) == sorted(plain.to_df(spark).drop("gain").collect())
+
+
+def test_bins_in_tables_place_any_value(spark, monkeypatch):
+    """Values that were not there when bins were made, nulls, repeated rows and neighbours whose middle is one of them."""
+    near = [1.0]
+    for _ in range(6):
+        near.append(float(np.nextafter(near[-1], 2)))
+    table = spark.createDataFrame([([x, x], 1.0, 1.0) for x in [*near, *map(float, range(-40, 40)), 0.0, -0.0, 7.0, 7.0]], "features array<double>, label double, weight double")
+    other = spark.createDataFrame([([x, x],) for x in [-1e300, 1e300, 0.25, 0.5, 0.75, None, -0.0, 3.0, 3.0, *near]], "features array<double>")
+    plain = B.fit_fine_bins(table)
+    want = [sorted(map(str, B.apply_bins(t, plain).collect())) for t in (table, other)]
+    monkeypatch.setattr(B, "KEPT_BOUNDARIES", 10)
+    kept = B.fit_fine_bins(table, target_rows=20)
+    assert len(kept.kept) == 2
+    assert [sorted(map(str, B.apply_bins(t, kept).collect())) for t in (table, other)] == want
+    places = range(len(kept.boundaries[1]))
+    assert kept.cut_values((1, i) for i in places) == {(1, i): float(plain.boundaries[1][i]) for i in places}
+
+
+@pytest.mark.parametrize("rows", [0, 4])
+def test_cuts_by_ranges_of_bins(spark, monkeypatch, rows):
+    """Running sums of ranges of bins equal those of one window over a node's feature."""
+    hist = spark.range(120).selectExpr("int(id % 2) AS node", "int(id % 3) AS feature", "int(id) AS bin", "double(id % 7) - 3 AS g", "double(id % 5) + 1 AS h", "1 + id % 4 AS n")
+    want = sorted(splits.split_candidates(hist, rows, 0.1).collect())
+    monkeypatch.setattr(splits, "RANGE_BINS", 7)
+    found = splits.split_candidates(hist, rows, 0.1, n_bins=120)
+    assert sorted(found.collect()) == want and len(want) > 50 and set(found.columns) == {c for c in splits.split_candidates(hist).columns}
